@@ -47,9 +47,11 @@ def left_join_salted(left: DataFrame, right: DataFrame, key: str, min_rows: int
 
 
 def position_in_group(df: DataFrame, group: str, ordinal: str, alias: str = "position",
-                      span: int = 100_000) -> DataFrame:
+                      span: int = 100_000, tiebreak: list[str] | None = None) -> DataFrame:
     """0-based position of each row within its group, by an integer ordinal.
 
+    Give ``tiebreak`` columns when ordinals can repeat within a group.
+
     A plain row number would sort a whole group in one task. Rows are numbered
     inside (group, ordinal range) cells of at most ``span`` distinct ordinals
     instead, and shifted by the size of the cells before; the window over cells
@@ -60,7 +62,7 @@ def position_in_group(df: DataFrame, group: str, ordinal: str, alias: str = "pos
     before = W.partitionBy(group).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
     shifts = sizes.select(F.col(group).alias("_g"), F.col("_cell").alias("_c"),
                           F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(W.partitionBy(group, "_cell").orderBy(ordinal)) - 1
+    inside = F.row_number().over(W.partitionBy(group, "_cell").orderBy(ordinal, *(tiebreak or []))) - 1
     numbered = celled.withColumn("_in", inside)
     same = (numbered[group].eqNullSafe(F.col("_g"))) & (numbered["_cell"].eqNullSafe(F.col("_c")))
     return (numbered.join(shifts, same, "left")
