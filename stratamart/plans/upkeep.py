@@ -18,24 +18,45 @@ def daily_summary(daily: DataFrame) -> DataFrame:
                         "unique_customers", "net_revenue", "avg_order_value")
 
 
+# Folder of the orders whose date did not parse.
+UNDATED = "undated"
+
+
+def month_key(day: Column) -> Column:
+    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit(UNDATED))
+
+
+def with_month(df: DataFrame, day: str = "order_date") -> DataFrame:
+    return df if "order_month" in df.columns else df.withColumn("order_month", month_key(F.col(day)))
+
+
 def build_daily_summary(orders: DataFrame, path: str) -> str:
-    return write_partitioned(daily_summary(revenue_daily(orders)), path, "order_date")
+    """The summary has one row per day, so it is stored by month: a day would be a file of one row."""
+    return write_partitioned(with_month(daily_summary(revenue_daily(orders))), path, "order_month")
 
 
-def refresh_daily_summary(orders: DataFrame, touched_days: DataFrame, path: str) -> str:
-    """Recompute only the touched days and replace only their partitions.
+def refresh_daily_summary(orders: DataFrame, touched: DataFrame, path: str) -> str:
+    """Recompute only the months of the ``touched`` orders and replace only their folders.
 
-    ``touched_days`` has one column, ``order_date``. Days are recomputed from all
-    their orders, whenever those arrived, so late rows are counted and a repeated
-    refresh gives the same table. On a table stored by day, Spark prunes the scan
-    to the touched days.
+    Days are recomputed from all their orders, whenever those arrived, so late
+    rows are counted and a repeated refresh gives the same table. Where orders
+    are stored by ``order_month``, Spark prunes the scan to the touched months.
     """
-    days = touched_days.select(F.col("order_date").alias("_day")).distinct()
-    affected = orders.join(days, F.col("order_date").eqNullSafe(F.col("_day")), "left_semi")
-    return write_partitioned(daily_summary(revenue_daily(affected)), path, "order_date",
+    months = with_month(touched).select("order_month").distinct()
+    affected = with_month(orders).join(months, "order_month", "left_semi")
+    # A touched month can lose its last revenue order; its folder must then become empty, which
+    # a dynamic overwrite cannot express, so an all-NULL placeholder day stands for it.
+    fresh = with_month(daily_summary(revenue_daily(affected)))
+    emptied = months.join(fresh.select("order_month").distinct(), "order_month", "left_anti")
+    return write_partitioned(fresh.unionByName(emptied, allowMissingColumns=True), path, "order_month",
                              mode="overwrite", dynamic=True)
 
 
+def read_daily_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The stored summary; placeholder rows of emptied months are not days."""
+    return spark.read.parquet(path).where(F.col("order_count").isNotNull()).drop("order_month")
+
+
 def snapshot_table(df: DataFrame, base_table: str, root: str, taken_at: dt.datetime) -> DataFrame:
     """Dated copy of a table; returns (and appends) its registry row."""
     stamp = taken_at.strftime("%Y%m%d")

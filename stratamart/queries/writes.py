@@ -1 +1,322 @@
-"""Pending."""
+"""Operators that write and read back: sinks, stored summaries, documents and streams.
+
+Everything is written under the shared work folder, in a new path per run.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import catalog, token_search
+from ..operators.inventory import partition_stats
+from ..plans import analytics, pipeline, reporting, upkeep
+from ..plans.staging import STAGING
+from ..session import fresh_path
+from ..sources import metadata_docs, retail, sinks, tables
+from ..sources.retail import table
+from ..streaming import append, refresh
+from ..types import RAW_SCHEMAS, SECTION_SCHEMAS
+from .layers_sql import MONEY_COLUMNS, with_layers
+from .pipeline import AS_OF, SEGMENT_DAILY_SQL, mart, staged
+from .registry import query
+from .relational import _TOKENS_SQL
+
+C = F.col
+
+_C360_SQL = with_layers("SELECT * EXCLUDE (revenue_units) FROM customer_360", "customer_360")
+_STG_ORDERS_SQL = "SELECT * REPLACE ({}) FROM stg_orders".format(
+    ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MONEY_COLUMNS["orders"]))
+
+
+@query("S2_declared_schema", with_layers("SELECT * FROM raw_payments", "raw:payments"))
+def declared_schema(spark, sf_dir):
+    path = fresh_path(spark, "payments-csv")
+    retail.raw(spark, sf_dir, "payments").write.option("nullValue", "\\N").csv(path)
+    return tables.read_raw(spark, "payments", path, "csv", nullValue="\\N")
+
+
+for _id in ("S3_full_refresh", "R5_refresh_customer_segments"):
+    @query(_id, _C360_SQL)
+    def full_refresh(spark, sf_dir):
+        path = fresh_path(spark, "customer-360")
+        for _ in range(2):  # the second run replaces the first
+            pipeline.refresh_customer_segments(staged(spark, sf_dir, "customers"), staged(spark, sf_dir, "orders"), path, AS_OF)
+        return spark.read.parquet(path)
+
+
+@query("S4_scheduled_snapshot", SEGMENT_DAILY_SQL)
+def scheduled_snapshot(spark, sf_dir):
+    path = fresh_path(spark, "segment-daily")
+    pipeline.refresh_segment_snapshot(mart(spark, sf_dir, "customer_360"), path, AS_OF)
+    return spark.read.parquet(path)
+
+
+def _orders_by_month(spark: SparkSession, sf_dir: str) -> str:
+    path = fresh_path(spark, "orders-by-month")
+    return sinks.write_partitioned(upkeep.with_month(staged(spark, sf_dir, "orders")), path, "order_month")
+
+
+_MONTH = "coalesce(strftime(order_date, '%Y-%m'), 'undated') AS order_month"
+
+query("S5_partitioned_table", with_layers(
+    f"SELECT *, {_MONTH} FROM ({_STG_ORDERS_SQL})", "orders"))(
+    lambda spark, sf_dir: spark.read.parquet(_orders_by_month(spark, sf_dir)))
+
+query("S7_guarded_read", with_layers(f"""
+SELECT * FROM (SELECT order_id, total_amount, {_MONTH} FROM ({_STG_ORDERS_SQL})) WHERE order_month BETWEEN '1996-03' AND '1998-02'""", "orders"))(
+    lambda spark, sf_dir: tables.read_partitioned(
+        spark, _orders_by_month(spark, sf_dir), "order_month", "order_month BETWEEN '1996-03' AND '1998-02'"
+    ).select("order_id", "total_amount", "order_month"))
+
+
+@query("S6_clustered_table", with_layers("SELECT * FROM order_fulfillment", "order_fulfillment"))
+def clustered_table(spark, sf_dir):
+    path = fresh_path(spark, "fulfilment-clustered")
+    return spark.read.parquet(sinks.write_clustered(
+        mart(spark, sf_dir, "order_fulfillment"), path, "order_status", "payment_method"))
+
+
+@query("S8_logical_view", with_layers("""
+SELECT customer_segment, count(*) AS customer_count FROM customer_360 GROUP BY 1""", "customer_360"))
+def logical_view(spark, sf_dir):
+    tables.register_view("v_customer_segments", lambda: reporting.customer_segments(mart(spark, sf_dir, "customer_360")))
+    return spark.sql("SELECT customer_segment, customer_count FROM v_customer_segments")
+
+
+# --- metadata documents -------------------------------------------------------------------------
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per customer: a dataset, one or two tables, options and name-based findings."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    dataset = F.concat(F.lit("raw_"), F.lower("c_mktsegment"))
+    key = F.concat(F.lit("t"), C("c_custkey"))
+    ident = [C("c_name").alias("project_id"), dataset.alias("dataset_id")]
+    named = [*ident, key.alias("table_name")]
+    fields = F.array(
+        F.struct(F.lit("email").alias("name"), F.lit("STRING").alias("field_type"), F.lit("NULLABLE").alias("mode"),
+                 F.array().cast("array<struct<name:string,field_type:string,mode:string>>").alias("fields")),
+        F.struct(F.lit("home").alias("name"), F.lit("RECORD").alias("field_type"), F.lit("REPEATED").alias("mode"),
+                 F.array(F.struct(F.lit("city").alias("name"), F.lit("STRING").alias("field_type"),
+                                  F.lit("NULLABLE").alias("mode"))).alias("fields")))
+
+    def one_table(kind, rows):
+        return F.struct(*named, F.lit(kind).alias("table_type"), rows.alias("num_rows"),
+                        (rows * 1000).alias("num_bytes"),
+                        F.create_map(F.lit("pii"), F.when(C("c_acctbal") < 0, "true").otherwise("false")).alias("labels"),
+                        fields.alias("schema_fields"))
+    found = F.struct(dataset.alias("dataset_id"), key.alias("table_name"), F.lit("email").alias("column_name"),
+                     F.lit("Email Address").alias("pii_classification"), F.lit("high").alias("confidence"))
+    option = lambda name, value: F.struct(*named, F.lit(name).alias("option_name"), value.alias("option_value"))
+    column = lambda name, pos: F.struct(
+        *named, F.lit(name).alias("column_name"), F.lit(pos).cast("long").alias("ordinal_position"))
+    path = lambda col, p: F.struct(
+        *named, F.lit(col).alias("column_name"), F.lit(p).alias("field_path"), C("n_name").alias("description"))
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
+        F.struct(C("c_name").alias("project_id")).alias("extraction_metadata"),
+        F.array(F.struct(*ident, C("n_name").alias("location"),
+                         F.array(F.struct(F.lit("READER").alias("role"), F.lit("view").alias("entity_type"),
+                                          C("n_name").alias("entity_id"))).alias("access_entries"))).alias("datasets"),
+        F.when(C("c_acctbal") >= 0, F.array(one_table("BASE TABLE", C("c_custkey")), one_table("VIEW", F.lit(0).cast("long"))))
+         .otherwise(F.array(one_table("BASE TABLE", C("c_custkey")))).alias("tables"),
+        F.array(column("email", 1), column("home", 2)).alias("columns"),
+        F.array(path("email", "email"), path("home", "home"), path("home", "home.city")).alias("column_field_paths"),
+        F.when(C("c_acctbal") >= 0, F.array(F.struct(
+            *ident, key.alias("view_name"), F.concat(F.lit("SELECT "), C("c_custkey")).alias("view_definition")))
+        ).alias("views"),
+        F.array(option("owner", C("c_mktsegment")), option("zone", C("n_name"))).alias("table_options"),
+        F.when(C("c_acctbal") < 0, F.array(found)).otherwise(F.array().cast(
+            "array<struct<dataset_id:string,table_name:string,column_name:string,pii_classification:string,confidence:string>>")
+        ).alias("pii_classification"),
+        F.struct(F.array(F.struct(key.alias("upstream"), C("n_name").alias("downstream"), F.lit("copy").alias("transform"))
+                         ).alias("table_lineage")).alias("lineage"))
+
+
+def _stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = metadata_docs.write_documents(_documents(spark, sf_dir), fresh_path(spark, "documents-json"))
+    return metadata_docs.read_documents(spark, path, multi_line=False)
+
+
+_DOC_TABLE_SQL = """SELECT 'raw_' || lower(c_mktsegment) AS dataset_id, 't' || c_custkey AS table_name, kind AS table_type,
+ CASE kind WHEN 'VIEW' THEN 0 ELSE c_custkey END AS num_rows, CASE WHEN c_acctbal < 0 THEN 'true' ELSE 'false' END AS pii
+ FROM customer, (VALUES ('BASE TABLE'), ('VIEW')) AS k(kind) WHERE kind = 'BASE TABLE' OR c_acctbal >= 0"""
+
+
+@query("S9_section_tables", _DOC_TABLE_SQL)
+def section_tables(spark, sf_dir):
+    paths = metadata_docs.write_sections(_stored_documents(spark, sf_dir), fresh_path(spark, "sections"), ["tables"])
+    return spark.read.parquet(paths["tables"]).select(
+        "dataset_id", "table_name", "table_type", "num_rows", C("labels")["pii"].alias("pii"))
+
+
+query("S10_metadata_documents", f"""
+SELECT t.dataset_id, t.table_name, t.table_type, f.pos AS ordinal_position, f.path AS field_path, f.ft AS field_type
+ FROM ({_DOC_TABLE_SQL}) t, (VALUES (CAST(1 AS BIGINT), 'email', 'STRING'), (2, 'home', 'RECORD'), (2, 'home.city', 'STRING')) AS f(pos, path, ft)
+""".replace("t.table_type, ", ""))(
+    lambda spark, sf_dir: metadata_docs.schema_fields(_stored_documents(spark, sf_dir)).drop("mode"))
+
+_CUSTOMER_NATION = "FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"
+
+
+@query("D22_typed_registries", f"""
+SELECT 'datasets' AS section, c_name AS project_id, 'raw_' || lower(c_mktsegment) AS dataset_id, n_name AS detail {_CUSTOMER_NATION}
+ UNION ALL SELECT 'views', c_name, 'raw_' || lower(c_mktsegment), 'SELECT ' || c_custkey FROM customer WHERE c_acctbal >= 0
+ UNION ALL SELECT 'table_options', c_name, 'raw_' || lower(c_mktsegment), CASE o WHEN 'owner' THEN c_mktsegment ELSE n_name END
+ {_CUSTOMER_NATION}, (SELECT unnest(['owner', 'zone']) AS o)""")
+def typed_registries(spark, sf_dir):
+    docs = _stored_documents(spark, sf_dir)
+    out = None
+    # Sections without records stay as empty typed tables and add nothing to the union.
+    details = {"datasets": "location", "views": "view_definition", "table_options": "option_value",
+               "routines": "routine_type", "routine_parameters": "parameter_name", "row_level_security": "filter_predicate",
+               "snapshots": "snapshot_time", "materialized_views": "last_refresh_time"}
+    for name, detail in details.items():
+        assert detail in SECTION_SCHEMAS[name].names
+        one = metadata_docs.section(docs, name).select(
+            F.lit(name).alias("section"), "project_id", "dataset_id", C(detail).alias("detail"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_COVERED = {"datasets": 1, "columns": 2, "column_field_paths": 3, "table_options": 2, "lineage.table_lineage": 1}
+
+
+def _coverage_sql() -> str:
+    def count(name: str) -> str:
+        if name in _COVERED:
+            return f"(SELECT {_COVERED[name]} * count(*) FROM customer)"
+        if name == "tables":
+            return f"(SELECT count(*) FROM ({_DOC_TABLE_SQL}))"
+        if name == "pii_classification":
+            return "(SELECT count(*) FROM customer WHERE c_acctbal < 0)"
+        if name == "views":
+            return "(SELECT count(*) FROM customer WHERE c_acctbal >= 0)"
+        return "0"
+    rows = ", ".join(f"({i + 1}, '{n}', {count(n)})" for i, n in enumerate(catalog.COVERAGE_SECTIONS))
+    return f"""SELECT CAST(o AS BIGINT) AS ordinal, section, CAST(n AS BIGINT) AS records,
+ CASE WHEN n > 0 THEN 'populated' ELSE 'empty' END AS status FROM (VALUES {rows}) AS v(o, section, n)"""
+
+
+for _id in ("D21_coverage", "A16_section_counts"):
+    query(_id, _coverage_sql())(
+        lambda spark, sf_dir: catalog.coverage_report(catalog.section_counts(_stored_documents(spark, sf_dir))))
+query("D21_coverage_summary", f"SELECT count(*) AS sections, count(*) FILTER (WHERE records > 0) AS populated FROM ({_coverage_sql()})")(
+    lambda spark, sf_dir: catalog.coverage_summary(catalog.section_counts(_stored_documents(spark, sf_dir))))
+
+
+@query("J5_table_details", f"""
+SELECT 'raw_' || lower(c_mktsegment) AS dataset_id, 't' || c_custkey AS table_name, col AS column_name, n_name AS description,
+ CAST(2 AS BIGINT) AS option_count, CASE WHEN c_acctbal >= 0 THEN 'SELECT ' || c_custkey END AS view_definition
+ {_CUSTOMER_NATION}, (SELECT unnest(['email', 'home']) AS col)""")
+def table_details(spark, sf_dir):
+    docs = _stored_documents(spark, sf_dir)
+    s = lambda n: metadata_docs.section(docs, n)
+    return catalog.table_details(s("columns"), s("column_field_paths"), s("table_options"), s("views")).select(
+        "dataset_id", "table_name", "column_name", "description", "option_count", "view_definition")
+
+
+# --- stored summaries, snapshots, retention -----------------------------------------------------
+
+_SUMMARY_SQL = with_layers("""
+SELECT order_date, gross_revenue AS total_revenue, order_count, unique_customers, net_revenue, avg_order_value FROM revenue_daily""",
+                           "revenue_daily")
+
+
+@query("M1_daily_summary", _SUMMARY_SQL)
+def daily_summary(spark, sf_dir):
+    """Built from the standard shipments alone, then refreshed for the months the express orders touch."""
+    orders = staged(spark, sf_dir, "orders")
+    path = fresh_path(spark, "daily-summary")
+    upkeep.build_daily_summary(orders.where(C("shipping_method") == "standard"), path)
+    upkeep.refresh_daily_summary(orders, orders.where(C("shipping_method") == "express"), path)
+    return upkeep.read_daily_summary(spark, path)
+
+
+@query("M2_snapshot", _C360_SQL)
+def snapshot(spark, sf_dir):
+    root = fresh_path(spark, "snapshots")
+    c360 = mart(spark, sf_dir, "customer_360")
+    upkeep.snapshot_table(c360.limit(0), "customer_360", root, dt.datetime(2026, 1, 5))
+    upkeep.snapshot_table(c360, "customer_360", root, dt.datetime(2026, 2, 5))
+    return upkeep.read_snapshot(spark, f"{root}/snapshot_registry", "customer_360", dt.datetime(2026, 2, 6))
+
+
+query("M3_retention", "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1998-12-31' - INTERVAL 90 DAY")(
+    lambda spark, sf_dir: upkeep.retained(table(spark, sf_dir, "orders"), "o_orderdate", dt.datetime(1998, 12, 31)))
+
+
+@query("M3_expired_partitions", """
+SELECT * EXCLUDE (o_orderdate), CAST(date_trunc('year', o_orderdate) AS DATE) AS order_year FROM orders
+ WHERE date_trunc('year', o_orderdate) >= DATE '1998-12-31' - 90""")
+def expired_partitions(spark, sf_dir):
+    path = fresh_path(spark, "orders-by-year")
+    dated = table(spark, sf_dir, "orders").withColumn("order_year", F.trunc("o_orderdate", "year")).drop("o_orderdate")
+    sinks.write_partitioned(dated, path, "order_year")
+    sinks.drop_expired_partitions(spark, path, "order_year", dt.date(1998, 12, 31), 90)
+    return spark.read.parquet(path)
+
+
+@query("M4_staged_orders", with_layers(_STG_ORDERS_SQL, "orders"))
+def staged_orders(spark, sf_dir):
+    path = upkeep.store_staged_orders(staged(spark, sf_dir, "orders"), fresh_path(spark, "staged-orders"))
+    return spark.read.parquet(path)
+
+
+# File sizes and times are not visible to SQL.
+query("D9_partition_files")(lambda spark, sf_dir: partition_stats(
+    spark.read.parquet(_orders_by_month(spark, sf_dir)), C("order_month")))
+
+
+# --- streams ------------------------------------------------------------------------------------
+
+def _streamed_events(spark: SparkSession, sf_dir: str) -> str:
+    schema = table(spark, sf_dir, "events").schema
+    sink, state = fresh_path(spark, "events-landed"), fresh_path(spark, "events-checkpoint")
+    arrivals = append.read_arrivals(spark, sf_dir, schema, "parquet", glob="events.parquet")
+    append.append_stream(arrivals, sink, state).awaitTermination()
+    return sink
+
+
+for _id in ("T1_stream_append", "S11_incremental_append"):
+    query(_id, "SELECT * FROM events")(lambda spark, sf_dir: spark.read.parquet(_streamed_events(spark, sf_dir)))
+
+query("T2_buffer_stats", "SELECT count(*) AS estimated_rows, min(ts) AS oldest_entry_time FROM events")(
+    lambda spark, sf_dir: append.buffer_stats(
+        spark.read.parquet(_streamed_events(spark, sf_dir)), "ts").drop("estimated_bytes"))
+
+
+for _id in ("T3_stream_refresh", "T4_scheduled_refresh"):
+    @query(_id, _SUMMARY_SQL)
+    def stream_refresh(spark, sf_dir):
+        """Raw orders arrive as four files, one per micro-batch; the end state equals the batch result."""
+        arrivals = fresh_path(spark, "orders-arriving")
+        retail.raw(spark, sf_dir, "orders").repartition(4, "order_id").write.parquet(arrivals)
+        landing, summary, state = (fresh_path(spark, n) for n in ("orders-landed", "summary", "orders-checkpoint"))
+        stream = append.read_arrivals(spark, arrivals, RAW_SCHEMAS["orders"], "parquet", files_per_batch=1)
+        refresh.keep_daily_summary(stream, landing, summary, state).awaitTermination()
+        return upkeep.read_daily_summary(spark, summary)
+
+
+@query("T3_stream_customers", _C360_SQL)
+def stream_customers(spark, sf_dir):
+    """New orders refresh the marts' customer buckets; customers without orders come from the first build."""
+    customers = STAGING["customers"](retail.raw(spark, sf_dir, "customers"))
+    path, state, arrivals, landed = (fresh_path(spark, n) for n in ("c360", "c360-checkpoint", "orders-new", "orders-kept"))
+    build = lambda c, o: analytics.customer_360(c, o, AS_OF)
+    orders = staged(spark, sf_dir, "orders")
+    first = build(customers, orders.limit(0)).withColumn("bucket", refresh.customer_bucket(16))
+    sinks.write_partitioned(first, path, "bucket")
+    orders.repartition(2, "order_id").write.parquet(arrivals)
+    stream = append.read_arrivals(spark, arrivals, orders.schema, "parquet", files_per_batch=1)
+    append.append_stream(stream, landed, fresh_path(spark, "orders-kept-checkpoint")).awaitTermination()
+    refresh.keep_customer_360(stream, lambda: customers, lambda: spark.read.parquet(landed), build, path, state, 16).awaitTermination()
+    return spark.read.parquet(path).drop("bucket")
+
+
+@query("P13_stored_token_search", f"""
+SELECT doc_id FROM ({_TOKENS_SQL}) WHERE token IN ('en', 'src1', 'the') GROUP BY 1 HAVING count(DISTINCT token) = 3""")
+def stored_token_search(spark, sf_dir):
+    path = token_search.write_token_table(table(spark, sf_dir, "documents"), "doc_id", fresh_path(spark, "tokens"), 16)
+    return token_search.search_tokens(spark.read.parquet(path), "doc_id", "The en, SRC1", 16)

@@ -64,9 +64,10 @@ def write_partitioned_clustered(df: DataFrame, path: str, partition_column: str,
     return path
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> str:
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> str:
     """Catalog table bucketed and sorted on a join key; joins on the key then skip their shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
     return table
 
 

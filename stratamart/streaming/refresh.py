@@ -9,29 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.staging import stg_orders
-from ..plans.upkeep import refresh_daily_summary
+from ..plans.upkeep import refresh_daily_summary, with_month
+from ..sources.sinks import write_partitioned
 
 
-def land_batch(batch: DataFrame, batch_id: int, landing: str) -> None:
+def land_batch(batch: DataFrame, batch_id: int, landing: str) -> str:
     """Each micro-batch owns one folder, so a replayed batch replaces itself."""
-    (batch.hint("rebalance", "order_date").write.mode("overwrite")
-     .partitionBy("order_date").parquet(f"{landing}/batch={batch_id}"))
+    return write_partitioned(with_month(batch), f"{landing}/batch={batch_id}", "order_month")
 
 
 def keep_daily_summary(raw_orders: DataFrame, landing: str, summary: str, checkpoint: str,
                        stage: Callable[[DataFrame], DataFrame] = stg_orders) -> StreamingQuery:
-    """Land staged orders and recompute the summary of the days they touch.
+    """Land staged orders and recompute the summary of the months they touch.
 
     No state is kept between batches: a day is always recomputed from every
     landed order of that day. Runs to the end of the available input and stops.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        land_batch(stage(batch), batch_id, landing)
-        spark = batch.sparkSession
-        # Folder values are read back as text; the schema of the landed files types them again.
-        everything = spark.read.schema(stage(batch).schema).parquet(landing)
-        touched = spark.read.schema(stage(batch).schema).parquet(f"{landing}/batch={batch_id}").select("order_date").distinct()
-        refresh_daily_summary(everything, touched, summary)
+        staged = stage(batch)
+        landed = land_batch(staged, batch_id, landing)
+        read = batch.sparkSession.read.schema(with_month(staged).schema)
+        refresh_daily_summary(read.parquet(landing), read.parquet(landed), summary)
 
     return (raw_orders.writeStream.foreachBatch(on_batch).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -44,12 +42,15 @@ def keep_customer_360(arrivals: DataFrame, customers: Callable[[], DataFrame], o
 
     Parquet replaces whole partitions, so the unit of refresh is the bucket of a
     touched customer; ``customers`` and ``orders`` return the staged tables as
-    of now. The bucket of a busy customer is no larger than any other customer's.
+    of now. Staged tables stored by ``bucket`` are pruned to the touched buckets.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         touched = batch.select(customer_bucket(buckets)).distinct()
-        pick = lambda df: df.withColumn("bucket", customer_bucket(buckets)).join(
-            touched, "bucket", "left_semi").drop("bucket")
+
+        def pick(df: DataFrame) -> DataFrame:
+            keyed = df if "bucket" in df.columns else df.withColumn("bucket", customer_bucket(buckets))
+            return keyed.join(touched, "bucket", "left_semi").drop("bucket")
+
         fresh = build(pick(customers()), pick(orders())).withColumn("bucket", customer_bucket(buckets))
         (fresh.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("bucket").parquet(path))
