@@ -44,12 +44,10 @@ def refresh_daily_summary(orders: DataFrame, touched: DataFrame, path: str) -> s
     """
     months = with_month(touched).select("order_month").distinct()
     affected = with_month(orders).join(months, "order_month", "left_semi")
-    # A touched month can lose its last revenue order; its folder must then become empty, which
-    # a dynamic overwrite cannot express, so an all-NULL placeholder day stands for it.
     fresh = with_month(daily_summary(revenue_daily(affected)))
-    emptied = months.join(fresh.select("order_month").distinct(), "order_month", "left_anti")
-    return write_partitioned(fresh.unionByName(emptied, allowMissingColumns=True), path, "order_month",
-                             mode="overwrite", dynamic=True)
+    # A touched month may be left without revenue orders. A dynamic overwrite replaces a folder
+    # only if it gets a row, so the left join leaves such a month one row without a day.
+    return write_partitioned(months.join(fresh, "order_month", "left"), path, "order_month", dynamic=True)
 
 
 def read_daily_summary(spark: SparkSession, path: str) -> DataFrame:
@@ -88,6 +86,10 @@ def retained(df: DataFrame, ts: str, as_of: dt.datetime, days: int = 90) -> Data
     return df.where(within_days(F.col(ts), as_of, days))
 
 
-def store_staged_orders(orders: DataFrame, path: str) -> str:
-    """Staged orders by day, sorted by customer inside each file."""
-    return write_partitioned_clustered(orders, path, "order_date", "customer_id")
+def store_staged_orders(orders: DataFrame, path: str, by: str = "order_date") -> str:
+    """Staged orders partitioned by day, sorted by customer inside each file.
+
+    ``by="order_month"`` suits tables whose days are far smaller than a file.
+    """
+    dated = with_month(orders) if by == "order_month" else orders
+    return write_partitioned_clustered(dated, path, by, "customer_id")

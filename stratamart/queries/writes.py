@@ -260,8 +260,8 @@ def expired_partitions(spark, sf_dir):
 
 @query("M4_staged_orders", with_layers(_STG_ORDERS_SQL, "orders"))
 def staged_orders(spark, sf_dir):
-    path = upkeep.store_staged_orders(staged(spark, sf_dir, "orders"), fresh_path(spark, "staged-orders"))
-    return spark.read.parquet(path)
+    path = upkeep.store_staged_orders(staged(spark, sf_dir, "orders"), fresh_path(spark, "staged-orders"), "order_month")
+    return spark.read.parquet(path).drop("order_month")
 
 
 # File sizes and times are not visible to SQL.
@@ -287,16 +287,18 @@ query("T2_buffer_stats", "SELECT count(*) AS estimated_rows, min(ts) AS oldest_e
         spark.read.parquet(_streamed_events(spark, sf_dir)), "ts").drop("estimated_bytes"))
 
 
-for _id in ("T3_stream_refresh", "T4_scheduled_refresh"):
-    @query(_id, _SUMMARY_SQL)
-    def stream_refresh(spark, sf_dir):
-        """Raw orders arrive as four files, one per micro-batch; the end state equals the batch result."""
-        arrivals = fresh_path(spark, "orders-arriving")
-        retail.raw(spark, sf_dir, "orders").repartition(4, "order_id").write.parquet(arrivals)
-        landing, summary, state = (fresh_path(spark, n) for n in ("orders-landed", "summary", "orders-checkpoint"))
-        stream = append.read_arrivals(spark, arrivals, RAW_SCHEMAS["orders"], "parquet", files_per_batch=1)
-        refresh.keep_daily_summary(stream, landing, summary, state).awaitTermination()
-        return upkeep.read_daily_summary(spark, summary)
+def _streamed_summary(spark: SparkSession, sf_dir: str, files: int, per_batch: int | None) -> DataFrame:
+    arrivals = fresh_path(spark, "orders-arriving")
+    retail.raw(spark, sf_dir, "orders").repartition(files, "order_id").write.parquet(arrivals)
+    landing, summary, state = (fresh_path(spark, n) for n in ("orders-landed", "summary", "orders-checkpoint"))
+    stream = append.read_arrivals(spark, arrivals, RAW_SCHEMAS["orders"], "parquet", files_per_batch=per_batch)
+    refresh.keep_daily_summary(stream, landing, summary, state).awaitTermination()
+    return upkeep.read_daily_summary(spark, summary)
+
+
+# Two micro-batches that touch the same months, and one scheduled run over everything that arrived.
+query("T3_stream_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 2, 1))
+query("T4_scheduled_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 2, None))
 
 
 @query("T3_stream_customers", _C360_SQL)
