@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
 # Fixed value: hops followed in each direction.
 MAX_HOPS = 10
 
@@ -23,22 +21,27 @@ def _first_edge(edges: DataFrame, side: str) -> DataFrame:
     return edges.groupBy(F.col(side).alias("at")).agg(best).select("at", "e.*")
 
 
-def _walk(starts: DataFrame, step: DataFrame, side: str, hops: int, checkpoint_every: int) -> DataFrame:
-    """Follow ``step`` (unique per node) from every start at once; a start never gets more than one row per hop."""
-    spark = starts.sparkSession
-    frontier = starts.select(F.col("start"), F.col("start").alias("at"))
-    found = None
-    for hop in range(1, hops + 1):
-        took = frontier.join(step, "at").select(
-            "start", F.lit(hop).alias("hop"), "ordinal", "upstream", "downstream", "transform")
-        if checkpoint_every and hop % checkpoint_every == 0 and hop < hops:
-            took = cut_lineage(spark, took)
-        found = took if found is None else found.unionByName(took)
-        frontier = took.select("start", F.col(side).alias("at"))
-    return found
-
+def _walk(starts: DataFrame, step: DataFrame, side: str, hops: int) -> DataFrame:
+    """Follow ``step`` (unique per node) from every start at once, one join per hop.
 
-def trace(edges: DataFrame, starts: DataFrame, hops: int = MAX_HOPS, checkpoint_every: int = 5) -> DataFrame:
+    A start stays one row and carries its path, so the rows never multiply and
+    every hop joins against the same shuffled ``step``. A finished start moves
+    to a key of its own that no node has: its rows keep spreading over the
+    tasks instead of meeting at one NULL key.
+    """
+    edge = F.struct("upstream", "downstream", "transform")
+    walk = starts.select("start", F.col("start").alias("at"),
+                         F.array().cast("array<struct<upstream:string,downstream:string,transform:string>>").alias("path"))
+    onward = step.select("at", edge.alias("edge"), F.col(side).alias("next"))
+    for _ in range(hops):
+        walk = walk.join(onward, "at", "left").select(
+            "start", F.coalesce("next", F.concat(F.lit("\0"), F.col("start"))).alias("at"),
+            F.when(F.col("edge").isNull(), F.col("path")).otherwise(F.array_append("path", F.col("edge"))).alias("path"))
+    return walk.select("start", F.posexplode("path").alias("i", "e")).select(
+        "start", (F.col("i") + 1).alias("hop"), "e.*")
+
+
+def trace(edges: DataFrame, starts: DataFrame, hops: int = MAX_HOPS) -> DataFrame:
     """Upstream chain (root first), then downstream chain, of every start node.
 
     At each hop only the first matching edge is followed, so the walk stays as
@@ -46,8 +49,8 @@ def trace(edges: DataFrame, starts: DataFrame, hops: int = MAX_HOPS, checkpoint_
     uses up its hops. ``starts`` has one column, ``start``; ``position`` orders
     the rows of a start.
     """
-    up = _walk(starts, _first_edge(edges, "downstream"), "upstream", hops, checkpoint_every)
-    down = _walk(starts, _first_edge(edges, "upstream"), "downstream", hops, checkpoint_every)
+    up = _walk(starts, _first_edge(edges, "downstream"), "upstream", hops)
+    down = _walk(starts, _first_edge(edges, "upstream"), "downstream", hops)
     return up.select("start", F.lit("up").alias("direction"), (-F.col("hop")).alias("position"),
                      "upstream", "downstream", "transform").unionByName(
         down.select("start", F.lit("down").alias("direction"), F.col("hop").alias("position"),

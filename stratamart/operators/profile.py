@@ -40,45 +40,59 @@ def _is_time(t: T.DataType) -> bool:
     return isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
-def _value_key(c: Column, t: T.DataType) -> Column | None:
-    """Text that is equal exactly when the values are; NULL for NULL; None if there is none."""
+def _comparable(c: Column, t: T.DataType, utc: bool) -> tuple[str, Column] | None:
+    """A value that is equal exactly when the cells are, and the slot of the long form it goes to.
+
+    Numbers, flags and times keep a fixed-width slot; other values become text.
+    None for types whose values cannot be compared.
+    """
     if isinstance(t, (T.FloatType, T.DoubleType)):
-        text = (c + F.lit(0.0).cast(t)).cast("string")  # -0.0 equals 0.0
+        return "d", c.cast("double")
+    if isinstance(t, (T.IntegralType, T.BooleanType)):
+        return "l", c.cast("long")
+    if isinstance(t, T.DateType):
+        return "l", F.unix_date(c).cast("long")
+    if isinstance(t, T.TimestampType) or (isinstance(t, T.TimestampNTZType) and utc):
+        return "l", F.unix_micros(c.cast("timestamp"))
+    if isinstance(t, (T.DecimalType, T.TimestampNTZType)):
+        return "t", c.cast("string")
+    if isinstance(t, T.StringType):
+        text = c
     elif isinstance(t, T.BinaryType):
         text = F.base64(c)
     elif isinstance(t, T.MapType):
         text = F.to_json(F.array_sort(F.map_entries(c)))
     elif isinstance(t, (T.ArrayType, T.StructType)):
         text = F.when(c.isNotNull(), F.to_json(c))
-    elif isinstance(t, (T.StringType, T.NumericType, T.BooleanType)) or _is_time(t):
-        text = c.cast("string")
     else:
         return None
-    bounded = isinstance(t, (T.NumericType, T.BooleanType)) or _is_time(t)
-    return text if bounded else F.when(
-        F.length(text) <= MAX_PLAIN_VALUE, F.concat(F.lit("v"), text)).otherwise(
+    return "t", F.when(F.length(text) <= MAX_PLAIN_VALUE, F.concat(F.lit("v"), text)).otherwise(
         F.concat(F.lit("h"), F.sha2(text, 256)))
 
 
-def _distinct_counts(df: DataFrame, keyed: dict[int, Column]) -> DataFrame:
+def _distinct_counts(df: DataFrame, keyed: dict[int, tuple[str, Column]]) -> DataFrame:
+    slots = {"l": "long", "d": "double", "t": "string"}
+    used = [s for s in slots if any(k[0] == s for k in keyed.values())]
     cells: list[Column] = []
-    for i, key in keyed.items():
-        cells += [F.lit(i), key]
-    long = df.select(F.stack(F.lit(len(keyed)), *cells).alias("i", "v")).where(F.col("v").isNotNull())
-    return long.distinct().groupBy("i").agg(F.count("*").alias("n_distinct"))
+    for i, (slot, value) in keyed.items():
+        cells += [F.lit(i), *[value if s == slot else F.lit(None).cast(slots[s]) for s in used]]
+    long = df.select(F.stack(F.lit(len(keyed)), *cells).alias("i", *used))
+    filled = reduce(lambda a, b: a | b, [F.col(s).isNotNull() for s in used])
+    return (long.where(filled).distinct().groupBy("i").agg(F.count("*").alias("n_distinct")))
 
 
-def profile_table(spec: TableSpec, distinct: str = "exact", rsd: float = 0.02) -> DataFrame:
+def profile_table(spec: TableSpec, distinct: str = "exact", rsd: float = 0.05) -> DataFrame:
     """One row per column of one table."""
     df, fields = spec.df, spec.df.schema.fields
     dbl, txt = T.DoubleType(), T.StringType()
     none = lambda t: F.lit(None).cast(t)
     aggs: list[Column] = [F.count("*").alias("total")]
-    keyed: dict[int, Column] = {}
+    utc = df.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC"
+    keyed: dict[int, tuple[str, Column]] = {}
     rows: list[Column] = []
     for i, f in enumerate(fields):
         c, t = F.col(f"`{f.name}`"), f.dataType
-        key = _value_key(c, t)
+        key = _comparable(c, t, utc)
         aggs.append(F.count(c).alias(f"n{i}"))
         number = [none(dbl)] * 4
         text = [none(txt)] * 2
@@ -99,7 +113,7 @@ def profile_table(spec: TableSpec, distinct: str = "exact", rsd: float = 0.02) -
         if key is not None:
             keyed[i] = key
             if distinct == "approx":
-                aggs.append(F.approx_count_distinct(key, rsd).alias(f"d{i}"))
+                aggs.append(F.approx_count_distinct(c if isinstance(t, T.AtomicType) else key[1], rsd).alias(f"d{i}"))
                 approx = F.col(f"d{i}")
         names = ["i", "column_name", "data_type", "present", "min_number", "max_number", "mean", "stddev",
                  "min_text", "max_text", "min_length", "max_length", "avg_length", "approx"]

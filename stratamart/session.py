@@ -66,10 +66,3 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path under the work folder that no other run has written to."""
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(spark: SparkSession, df):
-    """Reliable checkpoint in the shared folder, for iterative jobs."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
-    return df.checkpoint(eager=True)
