@@ -27,12 +27,12 @@ def _has_files(df: DataFrame) -> bool:
         return False
 
 
-def files_of(df: DataFrame, *group: Column) -> DataFrame:
-    """Rows per file (and group), with the file's size and time."""
+def files_of(df: DataFrame, *group: Column, also: tuple[Column, ...] = ()) -> DataFrame:
+    """Rows per file (and group), with the file's size and time, and any further aggregates."""
     facts = file_facts(df) if _has_files(df) else [
         F.lit(None).cast("string").alias("file_path"), F.lit(None).cast("long").alias("file_size"),
         F.lit(None).cast("timestamp").alias("file_modified")]
-    return df.groupBy(*group, *facts).agg(F.count("*").alias("rows"))
+    return df.groupBy(*group, *facts).agg(F.count("*").alias("rows"), *also)
 
 
 def table_inventory(specs: list[TableSpec]) -> DataFrame:
@@ -64,18 +64,19 @@ def table_inventory(specs: list[TableSpec]) -> DataFrame:
 
 
 def overview(inventory: DataFrame, **section_counts: DataFrame) -> DataFrame:
-    """Totals over the inventory, plus the size of any sibling section given by name."""
-    totals = inventory.agg(
+    """Totals over the inventory, plus the size of any sibling section given by name.
+
+    Every input becomes one row with its own columns; the rows are then merged into one.
+    """
+    parts = [inventory.agg(
         F.coalesce(F.sum("column_count"), F.lit(0)).alias("total_columns"),
         F.coalesce(F.sum("num_rows"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum("num_bytes"), F.lit(0)).alias("total_bytes"),
         F.count_if(F.col("table_type") == "VIEW").alias("views"),
-        F.count_if(F.col("table_type") != "VIEW").alias("tables"))
-    out = totals.withColumn("_one", F.lit(1))
-    for name, df in section_counts.items():
-        # Both sides are a single row.
-        out = out.join(df.agg(F.count("*").alias(name)).withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+        F.count_if(F.col("table_type") != "VIEW").alias("tables"))]
+    parts += [df.agg(F.count("*").alias(name)) for name, df in section_counts.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def column_inventory(spark: SparkSession, specs: list[TableSpec]) -> DataFrame:

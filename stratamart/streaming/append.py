@@ -37,8 +37,8 @@ def buffer_stats(landed: DataFrame, arrived_at: str, since=None) -> DataFrame:
     Bytes are whole files that hold at least one of the rows.
     """
     fresh = landed if since is None else landed.where(F.col(arrived_at) > F.lit(since))
-    oldest = fresh.agg(F.min(arrived_at).alias("oldest_entry_time"), F.lit(1).alias("_one"))
-    sizes = files_of(fresh).agg(
+    per_file = files_of(fresh, also=(F.min(arrived_at).alias("oldest"),))
+    return per_file.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("estimated_rows"),
-        F.coalesce(F.sum("file_size"), F.lit(0)).alias("estimated_bytes"), F.lit(1).alias("_one"))
-    return sizes.join(oldest, "_one").drop("_one")  # one row each
+        F.coalesce(F.sum("file_size"), F.lit(0)).alias("estimated_bytes"),
+        F.min("oldest").alias("oldest_entry_time"))
