@@ -19,31 +19,35 @@ def hot_keys(df: DataFrame, key: str, min_rows: int, sample_fraction: float) ->
     return (sampled.groupBy(key).count()
             .where(F.col("count") >= max(1.0, min_rows * sample_fraction))
             .orderBy(F.col("count").desc(), F.col(key)).limit(MAX_HOT_KEYS)
-            .select(F.col(key), F.lit(True).alias("_hot")))
+            .select(key))
 
 
-def left_join_salted(left: DataFrame, right: DataFrame, key: str, min_rows: int = 2_000_000,
-                     sample_fraction: float = 0.01, salts: int = 64) -> DataFrame:
+def left_join_hot(left: DataFrame, right: DataFrame, key: str, min_rows: int = 2_000_000,
+                  sample_fraction: float = 0.01, salts: int = 64,
+                  sample_from: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right`` where some keys may dominate the *right* side.
 
     Adaptive execution can split the streamed (left) side of a left join, never
-    the right one. Here right rows of a hot key spread over ``salts`` join
-    keys and the left rows of that key are repeated for each of them; a repeat
-    that meets no right row is not a result and is dropped (a hot key has right
-    rows by definition, so its left rows are always matched elsewhere). Which
-    keys count as hot changes the plan's balance only, never its result.
+    the right one. So the hot keys of the right side are joined apart: their
+    right rows spread over ``salts`` sub-keys and their left rows are repeated
+    for each. All other keys take the ordinary join, which keeps the key's
+    partitioning for the joins around it. Usually no key is hot; the adaptive
+    planner then drops the salted half before it reads anything.
+
+    Which keys count as hot changes the balance only, never the result: a hot
+    key comes from the right side, so its left rows always find a partner and an
+    inner join is enough for them. When ``right`` is costly to sample, pass its
+    source as ``sample_from``; every key of it must occur in ``right``.
     """
-    hot = F.broadcast(hot_keys(right, key, min_rows, sample_fraction))
-    r = (right.where(F.col(key).isNotNull()).join(hot, key, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*right.columns), F.lit(salts)))
-                     .otherwise(F.lit(0)).cast("int"))
-         .drop("_hot").withColumn("_matched", F.lit(True)))
-    lf = (left.join(hot, key, "left")
-          .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                         .otherwise(F.array(F.lit(0))))))
-    joined = lf.join(r, [key, "_salt"], "left")
-    # A hot key may be an overestimate of the sample but it does occur on the right.
-    return joined.where(F.col("_hot").isNull() | F.col("_matched")).drop("_salt", "_hot", "_matched")
+    sampled = right if sample_from is None else sample_from
+    hot = F.broadcast(hot_keys(sampled, key, min_rows, sample_fraction))
+    present = right.where(F.col(key).isNotNull())
+    ordinary = left.join(hot, key, "left_anti").join(present.join(hot, key, "left_anti"), key, "left")
+    salt = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
+    spread = present.join(hot, key, "left_semi").withColumn("_salt", salt)
+    repeated = left.join(hot, key, "left_semi").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return ordinary.unionByName(repeated.join(spread, [key, "_salt"]).drop("_salt"))
 
 
 def position_in_group(df: DataFrame, group: str, ordinal: str, alias: str = "position",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import average_of, ratio, subtract, times, to_numeric
-from ..operators.skew import left_join_salted
+from ..operators.skew import left_join_hot
 
 # Least number of distinct orders for each segment, best first.
 SEGMENTS = [("VIP", 5), ("Regular", 3), ("Occasional", 1)]
@@ -131,15 +131,15 @@ def order_fulfillment(orders: DataFrame, payments: DataFrame, shipping: DataFram
     """One row per order and distinct payment; an order paid twice has two rows.
 
     The three inputs are brought to their distinct keys before joining (minimum
-    times do not change under repetition), and the payment join is salted
-    because the payments of one order may dominate the right side.
+    times do not change under repetition), and orders that dominate the payments
+    are joined apart.
     """
     base = orders.select("order_id", "customer_id", "order_date", "order_status", "shipping_method",
                          "total_amount").distinct()
     paid = payments.select("order_id", "payment_method", "payment_status",
                            F.col("processed_at").alias("payment_processed_at")).distinct()
-    joined = left_join_salted(base.join(shipping_milestones(shipping), "order_id", "left"),
-                              paid, "order_id", **skew)
+    joined = left_join_hot(base.join(shipping_milestones(shipping), "order_id", "left"),
+                              paid, "order_id", sample_from=payments, **skew)
     return joined.select(
         *base.columns, "payment_method", "payment_status", "payment_processed_at",
         "picked_up_at", "delivered_at", "returned_at",

@@ -30,11 +30,7 @@ def _tag(prefix: str, key: str) -> Column:
 
 
 def _day(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
-
-
-def _instant(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    return c.cast("date").cast("string")
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,14 +164,17 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_shipping_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per line: a pickup, a delivery when the line is finished, a return when it was returned."""
     li = table(spark, sf_dir, "lineitem")
-    kinds = F.filter(F.array(
+    kinds = F.array_compact(F.array(
         F.lit("picked_up"),
         F.when(F.col("l_linestatus") == "F", "delivered").otherwise("in_transit"),
-        F.when(F.col("l_returnflag") == "R", "returned")), lambda k: k.isNotNull())
+        F.when(F.col("l_returnflag") == "R", "returned")))
     hours = (F.when(F.col("kind") == "picked_up", F.col("l_linenumber"))
              .when(F.col("kind") == "returned", F.lit(400))
              .otherwise(F.col("l_quantity").cast("int")))
-    at = F.timestamp_add("MINUTE", hours * 50, F.col("l_shipdate"))
+    minutes = (hours * 50).cast("int")  # ship dates are midnights
+    two = lambda n: F.lpad(n.cast("int").cast("string"), 2, "0")
+    at = F.concat(_day(F.date_add(F.col("l_shipdate").cast("date"), F.floor(minutes / 1440).cast("int"))), F.lit("T"),
+                  two(F.floor(minutes % 1440 / 60)), F.lit(":"), two(minutes % 60), F.lit(":00"))
     return li.withColumn("kind", F.explode(kinds)).select(
         F.concat(_tag("SE-", "l_orderkey"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
                  F.col("kind")).alias("event_id"),
@@ -183,7 +182,7 @@ def raw_shipping_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("carrier").alias("carrier"),
         _tag("T", "l_suppkey").alias("tracking_number"),
         F.col("kind").alias("event_type"),
-        _instant(at).alias("event_timestamp"),
+        at.alias("event_timestamp"),
         _tag("W", "l_suppkey").alias("location"),
         F.lit("logistics").alias("source_system"),
         F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),

@@ -29,14 +29,14 @@ def hot(spark):
 def test_salted_join_equals_plain_join(hot, min_rows):
     left, right = hot
     want = sorted(left.join(right, "key", "left").select("key", "l", "r").collect(), key=str)
-    got = skew.left_join_salted(left, right, "key", min_rows=min_rows, sample_fraction=1.0, salts=7)
+    got = skew.left_join_hot(left, right, "key", min_rows=min_rows, sample_fraction=1.0, salts=7)
     assert sorted(got.select("key", "l", "r").collect(), key=str) == want
 
 
 def test_salted_join_with_a_sample(hot):
     left, right = hot
     want = left.join(right, "key", "left").count()
-    assert skew.left_join_salted(left, right, "key", min_rows=50, sample_fraction=0.3, salts=3).count() == want
+    assert skew.left_join_hot(left, right, "key", min_rows=50, sample_fraction=0.3, salts=3).count() == want
 
 
 def test_hot_key_is_found(hot):
