@@ -9,6 +9,8 @@ not rounded or nulled.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,15 @@ def parse_timestamp(c: Column) -> Column:
     return F.when(c.rlike(TIMESTAMP_FORMAT), c.try_cast(T.TimestampType()))
 
 
+def utc_instant(value: dt.datetime | Column) -> Column:
+    """A Python datetime as a literal; without a zone it is UTC, whatever the driver machine's zone."""
+    if isinstance(value, Column):
+        return value
+    if value.tzinfo is not None:
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def to_numeric(c: Column) -> Column:
     return c.cast(NUMERIC)
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import utc_instant
+
 
 def contains_ignoring_case(c: Column, needle: str) -> Column:
     return F.coalesce(F.lower(c).contains(needle.lower()), F.lit(False))
@@ -28,8 +30,7 @@ def any_element_contains(array_column: str, field: str, text: str) -> Column:
 
 def within_days(ts: Column, as_of: dt.datetime | Column, days: int) -> Column:
     """Strictly after ``as_of`` minus the given days."""
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return ts > F.timestamp_add("DAY", F.lit(-days), now)
+    return ts > F.timestamp_add("DAY", F.lit(-days), utc_instant(as_of))
 
 
 def quality_filter(df: DataFrame, choice: str = "all") -> DataFrame:

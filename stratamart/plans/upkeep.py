@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.casts import utc_instant
 from ..operators.predicates import within_days
 from ..sources.sinks import write_partitioned, write_partitioned_clustered
 from .analytics import revenue_daily
@@ -60,9 +61,10 @@ def snapshot_table(df: DataFrame, base_table: str, root: str, taken_at: dt.datet
     stamp = taken_at.strftime("%Y%m%d")
     path = f"{root}/{base_table}_snapshot_{stamp}"
     df.write.mode("overwrite").parquet(path)
-    row = df.sparkSession.createDataFrame(
-        [(f"{base_table}_snapshot_{stamp}", base_table, taken_at, path)],
-        "snapshot_table_name string, base_table_name string, snapshot_time timestamp, path string")
+    row = df.sparkSession.range(1).select(
+        F.lit(f"{base_table}_snapshot_{stamp}").alias("snapshot_table_name"),
+        F.lit(base_table).alias("base_table_name"),
+        utc_instant(taken_at).cast("timestamp").alias("snapshot_time"), F.lit(path).alias("path"))
     row.write.mode("append").parquet(f"{root}/snapshot_registry")
     return row
 
@@ -70,7 +72,7 @@ def snapshot_table(df: DataFrame, base_table: str, root: str, taken_at: dt.datet
 def read_snapshot(spark: SparkSession, registry_path: str, base_table: str, at: dt.datetime) -> DataFrame:
     """The newest snapshot not later than ``at``. The registry row is a single record."""
     found = (spark.read.parquet(registry_path)
-             .where((F.col("base_table_name") == base_table) & (F.col("snapshot_time") <= F.lit(at)))
+             .where((F.col("base_table_name") == base_table) & (F.col("snapshot_time") <= utc_instant(at)))
              .orderBy(F.col("snapshot_time").desc()).limit(1).collect())
     if not found:
         raise LookupError(f"no snapshot of {base_table} at or before {at}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.casts import utc_instant
 from ..operators.inventory import files_of
 
 
@@ -36,7 +37,7 @@ def buffer_stats(landed: DataFrame, arrived_at: str, since=None) -> DataFrame:
 
     Bytes are whole files that hold at least one of the rows.
     """
-    fresh = landed if since is None else landed.where(F.col(arrived_at) > F.lit(since))
+    fresh = landed if since is None else landed.where(F.col(arrived_at) > utc_instant(since))
     per_file = files_of(fresh, also=(F.min(arrived_at).alias("oldest"),))
     return per_file.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("estimated_rows"),

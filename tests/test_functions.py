@@ -122,3 +122,9 @@ def test_other_display(spark):
 def test_traffic_lights(spark, pct, nulls, distinct):
     assert one(spark, lambda: fn.null_bucket(F.lit(pct))) == nulls
     assert one(spark, lambda: fn.distinct_bucket(F.lit(pct))) == distinct
+
+
+def test_datetimes_are_utc_whatever_the_machine_zone(spark):
+    oslo = dt.timezone(dt.timedelta(hours=2))
+    for value in (dt.datetime(2024, 5, 1, 10), dt.datetime(2024, 5, 1, 12, tzinfo=oslo)):
+        assert one(spark, lambda: fn.utc_instant(value).cast("string")) == "2024-05-01 10:00:00"
