@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, secrets
+from . import chat_format, decontaminate, exact_dedup, mixing, near_dedup, quality, secrets, toxicity
 
 OWN_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -55,3 +55,29 @@ FROM n"""
 
 QUERIES = {"op2_chat_format": op2_chat_format, "op3_secrets": op3_secrets, "op4_exact_dedup": op4_exact_dedup}
 ORACLES = {"op2_chat_format": OP2_SQL, "op4_exact_dedup": OP4_SQL}
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES |= {"op1_decontaminate": op1_decontaminate, "op6_quality": op6_quality, "op7_mix": op7_mix, "op8_toxicity": op8_toxicity}
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), words=2)
+
+
+QUERIES |= {"op5_near_dedup": op5_near_dedup}
