@@ -115,3 +115,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
              .groupBy("row").agg(F.sum(F.col("words") * F.col("uses")).alias("taken")))
     return numbered.join(taken, "row", "left").select(
         "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with size, source_size, target and taken beside their own columns.
+
+    Rows that repeat an id are one document: their taken words are added up. Columns
+    of ``docs`` named like the added ones are replaced.
+    """
+    added = ("size", "source_size", "target", "taken")
+    rows = mix(docs, **how).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
+        F.max("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+        F.sum("taken").alias("taken")).filter("taken > 0")
+    own = docs.drop(*added)
+    return own.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))).select(
+        *own.columns, *added)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, mixing, near_dedup, quality, secrets, toxicity
+from . import chat_format, decontaminate, exact_dedup, lm_score, mixing, near_dedup, quality, secrets, suffix_dedup, toxicity
 
 OWN_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -81,3 +81,14 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op5_near_dedup": op5_near_dedup}
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(documents(spark, sf_dir))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(documents(spark, sf_dir))
+
+
+QUERIES |= {"op9_repeats": op9_repeats, "op10_lm_score": op10_lm_score}
