@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.display import coverage_bucket
 from .dedup import latest_per_key
+from .predicates import contains_ignoring_case
 from .skew import collect_members
 
 TABLE_KEY = ["dataset_id", "table_name"]
@@ -28,16 +29,33 @@ def options_long(tables: DataFrame, options_column: str = "options") -> DataFram
     return tables.select(*TABLE_KEY, F.explode(options_column).alias("option_name", "option_value"))
 
 
-def options_grouped(options: DataFrame, ordinal: str, chunk_rows: int = 10_000) -> DataFrame:
-    """Options listed per table, in ordinal order."""
+def options_grouped(options: DataFrame, ordinal: str) -> DataFrame:
+    """Options of each table in ordinal order, one row per option with its position."""
     keyed = options.withColumn("table", F.concat_ws(".", *TABLE_KEY))
-    return collect_members(keyed, "table", ordinal, ["option_name", "option_value"], chunk_rows).select(
-        "table", "chunk", F.col("members").alias("options"))
+    return collect_members(keyed, "table", ordinal, ["option_name", "option_value"])
+
+
+def search_options(options: DataFrame, needle: str) -> DataFrame:
+    """All options of the tables whose name, or the name of any of whose options, contains ``needle``.
+
+    The matching tables are found first, one row each, so a table keeps every option
+    however many it has.
+    """
+    found = options.where(contains_ignoring_case(F.col("option_name"), needle)
+                          | contains_ignoring_case(F.concat_ws(".", *TABLE_KEY), needle)).select(*TABLE_KEY).distinct()
+    return options.join(found, TABLE_KEY, "left_semi")
 
 
 def current_options(log: DataFrame, applied_at: str, sequence: str) -> DataFrame:
-    """Last writer wins per table and option; a later label set replaces the earlier one whole."""
-    return latest_per_key(log, [*TABLE_KEY, "option_name"], applied_at, [sequence])
+    """Last writer wins per table and option; a later label set replaces the earlier one whole.
+
+    Maps have no order, so map columns travel through the comparison as sorted
+    entries and come out as maps again.
+    """
+    maps = {f.name: f.dataType for f in log.schema.fields if f.dataType.typeName() == "map"}
+    flat = log.withColumns({c: F.array_sort(F.map_entries(c)) for c in maps})
+    latest = latest_per_key(flat, [*TABLE_KEY, "option_name"], applied_at, [sequence])
+    return latest.withColumns({c: F.map_from_entries(c).cast(t) for c, t in maps.items()}).select(*log.columns)
 
 
 def table_details(columns: DataFrame, paths: DataFrame, options: DataFrame, views: DataFrame) -> DataFrame:

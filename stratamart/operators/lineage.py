@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: hops followed in each direction.
-MAX_HOPS = 10
+from .skew import stored
+
+EDGE = ["upstream", "downstream", "transform"]
 
 
 def edges_from(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
@@ -17,44 +18,58 @@ def edges_from(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFra
 
 def _first_edge(edges: DataFrame, side: str) -> DataFrame:
     """Per node, the edge with the least ordinal on the given side; unique on that side."""
-    best = F.min(F.struct("ordinal", "upstream", "downstream", "transform")).alias("e")
-    return edges.groupBy(F.col(side).alias("at")).agg(best).select("at", "e.*")
+    best = F.min(F.struct("ordinal", *EDGE)).alias("e")
+    return edges.groupBy(F.col(side).alias("at")).agg(best).select("at", *[F.col(f"e.{c}") for c in EDGE])
 
 
-def _walk(starts: DataFrame, step: DataFrame, side: str, hops: int) -> DataFrame:
-    """Follow ``step`` (unique per node) from every start at once, one join per hop.
+def _walk(starts: DataFrame, step: DataFrame, side: str, hops: int | None) -> DataFrame:
+    """Edges reached from every start, with the least number of hops, until no start reaches anything new.
 
-    A start stays one row and carries its path, so the rows never multiply and
-    every hop joins against the same shuffled ``step``. A finished start moves
-    to a key of its own that no node has: its rows keep spreading over the
-    tasks instead of meeting at one NULL key.
+    A round joins the newly reached (start, node) pairs with ``step`` and drops the
+    pairs reached before, which also ends every cycle. Each round's pairs and edges
+    are written, so the plan does not grow with the number of rounds.
     """
-    edge = F.struct("upstream", "downstream", "transform")
-    walk = starts.select("start", F.col("start").alias("at"),
-                         F.array().cast("array<struct<upstream:string,downstream:string,transform:string>>").alias("path"))
-    onward = step.select("at", edge.alias("edge"), F.col(side).alias("next"))
-    for _ in range(hops):
-        walk = walk.join(onward, "at", "left").select(
-            "start", F.coalesce("next", F.concat(F.lit("\0"), F.col("start"))).alias("at"),
-            F.when(F.col("edge").isNull(), F.col("path")).otherwise(F.array_append("path", F.col("edge"))).alias("path"))
-    return walk.select("start", F.posexplode("path").alias("i", "e")).select(
-        "start", (F.col("i") + 1).alias("hop"), "e.*")
-
-
-def trace(edges: DataFrame, starts: DataFrame, hops: int = MAX_HOPS) -> DataFrame:
-    """Upstream chain (root first), then downstream chain, of every start node.
-
-    At each hop only the first matching edge is followed, so the walk stays as
-    wide as the set of starts whatever the shape of the graph, and a cycle just
-    uses up its hops. ``starts`` has one column, ``start``; ``position`` orders
-    the rows of a start.
+    spark = starts.sparkSession
+    frontier = starts.select("start", F.col("start").alias("node")).distinct()
+    reached = [stored(frontier, "reached")]
+    found, hop = [], 0
+    while hops is None or hop < hops:
+        hop += 1
+        edges = stored(reached[-1].join(step, F.col("node") == F.col("at")).select(
+            "start", F.lit(hop).cast("long").alias("hop"), *EDGE), "walk")
+        seen = reached[0]
+        for r in reached[1:]:
+            seen = seen.unionByName(r)
+        new = stored(edges.select("start", F.col(side).alias("node")).distinct().join(seen, ["start", "node"], "left_anti"), "reached")
+        found.append(edges)
+        if new.isEmpty():
+            break
+        reached.append(new)
+    schema = "start string, hop long, upstream string, downstream string, transform string"
+    out = spark.createDataFrame([], schema)
+    for f in found:
+        out = out.unionByName(f)
+    return out
+
+
+def trace(edges: DataFrame, starts: DataFrame, first_only: bool = True, hops: int | None = None) -> DataFrame:
+    """Everything upstream and downstream of every start node, as (start, direction, position, edge).
+
+    ``first_only`` follows the first edge of a node only, which makes a chain in
+    each direction; otherwise all edges are followed, the full closure. A cycle
+    ends where it meets a node already reached; its closing edge is reported.
+    ``hops`` bounds the walk, by default it goes on until nothing new is found.
+    ``position`` is minus the hop upstream and the hop downstream.
     """
-    up = _walk(starts, _first_edge(edges, "downstream"), "upstream", hops)
-    down = _walk(starts, _first_edge(edges, "upstream"), "downstream", hops)
-    return up.select("start", F.lit("up").alias("direction"), (-F.col("hop")).alias("position"),
-                     "upstream", "downstream", "transform").unionByName(
-        down.select("start", F.lit("down").alias("direction"), F.col("hop").alias("position"),
-                    "upstream", "downstream", "transform"))
+    def step(side: str) -> DataFrame:
+        if first_only:
+            return _first_edge(edges, side)
+        return edges.select(F.col(side).alias("at"), *EDGE)
+
+    up = _walk(starts, step("downstream"), "upstream", hops)
+    down = _walk(starts, step("upstream"), "downstream", hops)
+    return up.select("start", F.lit("up").alias("direction"), (-F.col("hop")).alias("position"), *EDGE).unionByName(
+        down.select("start", F.lit("down").alias("direction"), F.col("hop").alias("position"), *EDGE))
 
 
 def neighbourhood(edges: DataFrame, node: str) -> DataFrame:

@@ -6,84 +6,91 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Upper bound on the number of keys salted by hand. It bounds a broadcast, not
-# the result: keys beyond it are joined the ordinary way.
-MAX_HOT_KEYS = 1000
+from ..session import fresh_path
+
+SAMPLE_RING = 1_000_000
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written under the shared folder and read back: every use sees the same rows."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int, sample_fraction: float) -> DataFrame:
-    """Keys estimated to hold at least ``min_rows`` rows, from a sample of the key column."""
-    sampled = df.select(key).where(F.col(key).isNotNull())
+    """Keys estimated to hold at least ``min_rows`` rows, each with how many tasks its rows deserve.
+
+    The sample is chosen by a hash of the row's flat values, so it does not depend
+    on the order of the rows; equal rows are in it together. The result is stored
+    once: the number of keys is at most the number of rows over ``min_rows``.
+    """
+    flat = [F.col(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    sampled = df.where(F.col(key).isNotNull())
     if sample_fraction < 1.0:
-        sampled = sampled.sample(fraction=sample_fraction, seed=11)
-    return (sampled.groupBy(key).count()
-            .where(F.col("count") >= max(1.0, min_rows * sample_fraction))
-            .orderBy(F.col("count").desc(), F.col(key)).limit(MAX_HOT_KEYS)
-            .select(key))
+        sampled = sampled.where(F.pmod(F.xxhash64(*flat), F.lit(SAMPLE_RING)) < int(SAMPLE_RING * sample_fraction))
+    counted = sampled.groupBy(key).agg(F.count("*").alias("n"))
+    rows = F.col("n") / sample_fraction
+    return stored(counted.where(rows >= max(1, min_rows)).select(
+        key, F.ceil(rows / max(1, min_rows)).cast("int").alias("_salts")), "hot-keys")
 
 
 def left_join_hot(left: DataFrame, right: DataFrame, key: str, min_rows: int = 2_000_000,
-                  sample_fraction: float = 0.01, salts: int = 64,
-                  sample_from: DataFrame | None = None) -> DataFrame:
+                  sample_fraction: float = 0.01, sample_from: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right`` where some keys may dominate the *right* side.
 
     Adaptive execution can split the streamed (left) side of a left join, never
-    the right one. So the hot keys of the right side are joined apart: their
-    right rows spread over ``salts`` sub-keys and their left rows are repeated
-    for each. All other keys take the ordinary join, which keeps the key's
-    partitioning for the joins around it. Usually no key is hot; the adaptive
-    planner then drops the salted half before it reads anything.
+    the right one. So the hot keys of the right side are joined apart: a key's
+    right rows spread over as many sub-keys as its estimated rows ask for, and its
+    left rows are repeated for each. All other keys take the ordinary join, which
+    keeps the key's partitioning for the joins around it; without a hot key it is
+    the whole plan.
 
     Which keys count as hot changes the balance only, never the result: a hot
     key comes from the right side, so its left rows always find a partner and an
     inner join is enough for them. When ``right`` is costly to sample, pass its
     source as ``sample_from``; every key of it must occur in ``right``.
     """
-    sampled = right if sample_from is None else sample_from
-    hot = F.broadcast(hot_keys(sampled, key, min_rows, sample_fraction))
+    hot = hot_keys(right if sample_from is None else sample_from, key, min_rows, sample_fraction)
+    if hot.isEmpty():
+        return left.join(right, key, "left")
     present = right.where(F.col(key).isNotNull())
     ordinary = left.join(hot, key, "left_anti").join(present.join(hot, key, "left_anti"), key, "left")
-    salt = F.pmod(F.xxhash64(*right.columns), F.lit(salts)).cast("int")
-    spread = present.join(hot, key, "left_semi").withColumn("_salt", salt)
-    repeated = left.join(hot, key, "left_semi").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = present.join(hot, key).withColumn(
+        "_salt", F.pmod(F.xxhash64(*right.columns), F.col("_salts")).cast("int")).drop("_salts")
+    repeated = left.join(hot, key).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
     return ordinary.unionByName(repeated.join(spread, [key, "_salt"]).drop("_salt"))
 
 
-def position_in_group(df: DataFrame, group: str, ordinal: str, alias: str = "position",
-                      span: int = 100_000, tiebreak: list[str] | None = None) -> DataFrame:
-    """0-based position of each row within its group, by an integer ordinal.
-
-    Give ``tiebreak`` columns when ordinals can repeat within a group.
+def position_in_group(df: DataFrame, group: str, ordinal: str, tiebreak: list[str], alias: str = "position") -> DataFrame:
+    """0-based position of each row within its group, by an ordinal and ``tiebreak`` columns.
 
-    A plain row number would sort a whole group in one task. Rows are numbered
-    inside (group, ordinal range) cells of at most ``span`` distinct ordinals
-    instead, and shifted by the size of the cells before; the window over cells
-    sees one row per cell.
+    A plain row number would sort a whole group in one task. The rows are range
+    partitioned by (group, ordinal, tiebreak) and stored with the number of their
+    range; they are numbered inside (group, range) and shifted by the group's rows
+    in the ranges before. The window over ranges sees one row per range and group,
+    however the ordinals are spread.
     """
-    celled = df.withColumn("_cell", F.floor(F.col(ordinal) / span))
-    sizes = celled.groupBy(group, "_cell").count()
-    before = W.partitionBy(group).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
-    shifts = sizes.select(F.col(group).alias("_g"), F.col("_cell").alias("_c"),
-                          F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(W.partitionBy(group, "_cell").orderBy(ordinal, *(tiebreak or []))) - 1
-    numbered = celled.withColumn("_in", inside)
-    same = (numbered[group].eqNullSafe(F.col("_g"))) & (numbered["_cell"].eqNullSafe(F.col("_c")))
+    order = [group, ordinal, *[t for t in tiebreak if t not in (group, ordinal)]]
+    ranged = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy(group, "_range").agg(F.count("*").alias("_n"))
+    before = W.partitionBy(group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    shifts = sizes.select(F.col(group).alias("_g"), F.col("_range").alias("_r"),
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    inside = F.row_number().over(W.partitionBy(group, "_range").orderBy(*order[1:])) - 1
+    numbered = ranged.withColumn("_in", inside)
+    same = numbered[group].eqNullSafe(F.col("_g")) & (numbered["_range"] == F.col("_r"))
     return (numbered.join(shifts, same, "left")
             .withColumn(alias, (F.col("_in") + F.col("_shift")).cast("long"))
-            .drop("_cell", "_in", "_shift", "_g", "_c"))
+            .drop("_range", "_in", "_shift", "_g", "_r"))
 
 
-def collect_members(df: DataFrame, group: str, ordinal: str, members: list[str],
-                    chunk_rows: int = 10_000) -> DataFrame:
-    """Group members as lists (A13): one row per group, or several for a large group.
+def collect_members(df: DataFrame, group: str, ordinal: str, members: list[str]) -> DataFrame:
+    """Group members in order (A13): one row per member with its 0-based position.
 
-    A list is one value in one task, so a group larger than ``chunk_rows`` comes
-    as consecutive chunks; all members are kept, in ordinal order.
+    The shape is the same for a group of any size; no value holds a whole group.
+    Equal ordinals go by the members' own values.
     """
-    placed = position_in_group(df.select(group, ordinal, *[m for m in members if m != ordinal]),
-                               group, ordinal, "_pos")
-    rows = placed.groupBy(group, F.floor(F.col("_pos") / chunk_rows).alias("chunk")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_pos"), *[F.col(m) for m in members]))).alias("_m"))
-    return rows.select(group, "chunk", F.transform(
-        "_m", lambda x: F.struct(*[x[m].alias(m) for m in members])).alias("members"))
+    placed = position_in_group(df.select(group, ordinal, *[m for m in members if m != ordinal]), group, ordinal, members)
+    return placed.select(group, "position", *members)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import average_of, ratio, subtract, times, to_numeric
@@ -70,19 +71,29 @@ def customer_360(customers: DataFrame, orders: DataFrame, as_of: dt.date | None
 
 
 def product_performance(products: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Units, revenue, margin, orders and buyers per product; unsold products keep NULL margin_pct."""
+    """Units, revenue, margin, orders and buyers per product; unsold products keep NULL margin_pct.
+
+    Items and orders are each shuffled once, by order: buyers, join and the
+    reduction to one row per order, product and buyer all reuse that. Orders are
+    then counted as rows, which leaves a single distinct count, the buyers.
+    """
     # Repeated copies of an order multiply its items; carry the number of copies instead of the rows.
-    buyers = orders.where(F.col("order_id").isNotNull()).groupBy("order_id", "customer_id").agg(
-        F.count("*").alias("copies"))
+    buyers = orders.where(F.col("order_id").isNotNull()).select("order_id", "customer_id").repartition("order_id").groupBy(
+        "order_id", "customer_id").agg(F.count("*").alias("copies"))
+    # An order under several customers counts once: on the first of them.
+    one = F.row_number().over(W.partitionBy("order_id").orderBy(F.col("customer_id").asc_nulls_first()))
+    buyers = buyers.withColumn("first_buyer", one == 1)
     sold = (items.where(F.col("product_id").isNotNull())
-            .select("product_id", "order_id", "quantity", "subtotal")
+            .select("product_id", "order_id", "quantity", "subtotal").repartition("order_id")
             .join(buyers, "order_id", "left"))
     repeated = F.col("copies") > 1
-    per_product = sold.groupBy("product_id").agg(
+    per_order = sold.groupBy("order_id", "product_id", "customer_id", "first_buyer").agg(
         F.sum(F.when(repeated, F.col("quantity") * F.col("copies")).otherwise(F.col("quantity"))).alias("units"),
         F.sum(F.when(repeated, times(F.col("copies"), F.col("subtotal")))
-              .otherwise(F.col("subtotal"))).alias("revenue"),
-        F.count_distinct("order_id").alias("n_orders"),
+              .otherwise(F.col("subtotal"))).alias("revenue"))
+    per_product = per_order.groupBy("product_id").agg(
+        F.sum("units").alias("units"), F.sum("revenue").alias("revenue"),
+        F.count_if(F.col("order_id").isNotNull() & F.coalesce("first_buyer", F.lit(True))).alias("n_orders"),
         F.count_distinct("customer_id").alias("n_buyers"))
     profile = ["product_id", "product_name", "category", "subcategory", "brand", "unit_price",
                "cost_price", "is_active"]
@@ -130,14 +141,14 @@ def shipping_milestones(shipping: DataFrame) -> DataFrame:
 def order_fulfillment(orders: DataFrame, payments: DataFrame, shipping: DataFrame, **skew) -> DataFrame:
     """One row per order and distinct payment; an order paid twice has two rows.
 
-    The three inputs are brought to their distinct keys before joining (minimum
-    times do not change under repetition), and orders that dominate the payments
-    are joined apart.
+    Each input is shuffled once, by order, and brought to its distinct rows there
+    (minimum times do not change under repetition); both joins reuse that. Orders
+    that dominate the payments are joined apart.
     """
     base = orders.select("order_id", "customer_id", "order_date", "order_status", "shipping_method",
-                         "total_amount").distinct()
+                         "total_amount").repartition("order_id").distinct()
     paid = payments.select("order_id", "payment_method", "payment_status",
-                           F.col("processed_at").alias("payment_processed_at")).distinct()
+                           F.col("processed_at").alias("payment_processed_at")).repartition("order_id").distinct()
     joined = left_join_hot(base.join(shipping_milestones(shipping), "order_id", "left"),
                               paid, "order_id", sample_from=payments, **skew)
     return joined.select(

@@ -36,19 +36,35 @@ def build_daily_summary(orders: DataFrame, path: str) -> str:
     return write_partitioned(with_month(daily_summary(revenue_daily(orders))), path, "order_month")
 
 
+# A partition listing is held by the driver; this many months are eight hundred years.
+MAX_PARTITIONS = 10_000
+
+
+def touched_values(df: DataFrame, column: str) -> list:
+    """Distinct values of a partition column, for use as a literal predicate. Their number is checked."""
+    found = [r[0] for r in df.select(column).distinct().limit(MAX_PARTITIONS + 1).collect()]
+    if len(found) > MAX_PARTITIONS:
+        raise ValueError(f"{column} has more than {MAX_PARTITIONS} values; it does not suit a partition column")
+    return sorted(found)
+
+
 def refresh_daily_summary(orders: DataFrame, touched: DataFrame, path: str) -> str:
     """Recompute only the months of the ``touched`` orders and replace only their folders.
 
     Days are recomputed from all their orders, whenever those arrived, so late
-    rows are counted and a repeated refresh gives the same table. Where orders
-    are stored by ``order_month``, Spark prunes the scan to the touched months.
+    rows are counted and a repeated refresh gives the same table. The touched months
+    become a literal predicate: where orders are stored by ``order_month``, only
+    those folders are listed and read.
     """
-    months = with_month(touched).select("order_month").distinct()
-    affected = with_month(orders).join(months, "order_month", "left_semi")
+    months = touched_values(with_month(touched), "order_month")
+    if not months:
+        return path
+    affected = with_month(orders).where(F.col("order_month").isin(months))
     fresh = with_month(daily_summary(revenue_daily(affected)))
     # A touched month may be left without revenue orders. A dynamic overwrite replaces a folder
     # only if it gets a row, so the left join leaves such a month one row without a day.
-    return write_partitioned(months.join(fresh, "order_month", "left"), path, "order_month", dynamic=True)
+    all_months = orders.sparkSession.createDataFrame([(m,) for m in months], "order_month string")
+    return write_partitioned(all_months.join(fresh, "order_month", "left"), path, "order_month", dynamic=True)
 
 
 def read_daily_summary(spark: SparkSession, path: str) -> DataFrame:
@@ -57,15 +73,19 @@ def read_daily_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def snapshot_table(df: DataFrame, base_table: str, root: str, taken_at: dt.datetime) -> DataFrame:
-    """Dated copy of a table; returns (and appends) its registry row."""
-    stamp = taken_at.strftime("%Y%m%d")
-    path = f"{root}/{base_table}_snapshot_{stamp}"
+    """Copy of a table as of an instant; returns (and records) its registry row.
+
+    The folder carries the whole instant, so two snapshots of one day stay apart.
+    Taking the same snapshot again replaces both the copy and its record.
+    """
+    utc = taken_at.astimezone(dt.timezone.utc) if taken_at.tzinfo else taken_at
+    name = f"{base_table}_snapshot_{utc.strftime('%Y%m%dT%H%M%S%f')}"
+    path = f"{root}/{name}"
     df.write.mode("overwrite").parquet(path)
     row = df.sparkSession.range(1).select(
-        F.lit(f"{base_table}_snapshot_{stamp}").alias("snapshot_table_name"),
-        F.lit(base_table).alias("base_table_name"),
+        F.lit(name).alias("snapshot_table_name"), F.lit(base_table).alias("base_table_name"),
         utc_instant(taken_at).cast("timestamp").alias("snapshot_time"), F.lit(path).alias("path"))
-    row.write.mode("append").parquet(f"{root}/snapshot_registry")
+    row.write.mode("overwrite").parquet(f"{root}/snapshot_registry/record={name}")
     return row
 
 

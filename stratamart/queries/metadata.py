@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.display import last_two_parts
@@ -13,24 +14,33 @@ from ..operators.pipeline_lineage import column_edges, table_edges
 from ..operators.specs import TableSpec
 from ..sources import retail
 from ..sources.retail import table
-from .layers_sql import with_layers
+from .layers_sql import MARGIN_PCT, with_layers
 from .pipeline import mart, staged
 from .registry import query
 
-STAR = ("region nation customer supplier part orders lineitem events documents pages benchmark labels "
-        "conversations").split()
+STAR = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+        "pages", "benchmark", "labels", "conversations"]
 
 # Column kinds of the star schema, for the check SQL only.
 _N, _S, _T = "number", "text", "time"
 STAR_COLUMNS = {
+    "region": {"r_regionkey": _N, "r_name": _S},
+    "nation": {"n_nationkey": _N, "n_name": _S, "n_regionkey": _N},
+    "customer": {"c_custkey": _N, "c_name": _S, "c_nationkey": _N, "c_acctbal": _N, "c_mktsegment": _S},
+    "supplier": {"s_suppkey": _N, "s_name": _S, "s_nationkey": _N, "s_acctbal": _N},
+    "part": {"p_partkey": _N, "p_name": _S, "p_brand": _S, "p_type": _S, "p_size": _N, "p_retailprice": _N},
     "orders": {"o_orderkey": _N, "o_custkey": _N, "o_orderstatus": _S, "o_totalprice": _N, "o_orderdate": _T,
                "o_orderpriority": _S},
     "lineitem": {"l_orderkey": _N, "l_partkey": _N, "l_suppkey": _N, "l_linenumber": _N, "l_quantity": _N,
                  "l_extendedprice": _N, "l_discount": _N, "l_tax": _N, "l_returnflag": _S, "l_linestatus": _S,
                  "l_shipdate": _T},
     "events": {"event_id": _N, "ts": _T, "user_id": _N, "event_type": _S, "value": _N, "props": _S},
-    "customer": {"c_custkey": _N, "c_name": _S, "c_nationkey": _N, "c_acctbal": _N, "c_mktsegment": _S},
     "documents": {"doc_id": _N, "text": _S, "lang": _S, "source": _S, "n_chars": _N},
+    "embeddings": {"vec_id": _N, "embedding": "list", "label": _N},
+    "pages": {"page_id": _N, "url": _S, "html": _S},
+    "benchmark": {"item_id": _N, "text": _S},
+    "labels": {"doc_id": _N, "quality": _N, "toxic": _N},
+    "conversations": {"conv_id": _N, "turn": _N, "role": _S, "text": _S},
 }
 
 
@@ -62,7 +72,7 @@ def _profile(spark, sf_dir, *names) -> DataFrame:
     return profile.profile_tables([_spec(spark, sf_dir, n) for n in names])
 
 
-_PROFILED = ["orders", "lineitem", "events", "documents"]
+_PROFILED = STAR
 
 
 @query("D1_column_profile", "\nUNION ALL ".join(profile_sql("star", n, STAR_COLUMNS[n]) for n in _PROFILED))
@@ -71,17 +81,26 @@ def column_profile(spark, sf_dir):
     return _profile(spark, sf_dir, *_PROFILED).drop("data_type", "min_text", "max_text")
 
 
-# Damaged text columns of the raw layer, to see NULLs in every kind of column.
+# The staged tables, typed from damaged text, with NULLs in every kind of column.
 _STAGED_COLUMNS = {
-    "customers": {"customer_id": _S, "date_of_birth": _T, "gender": _S, "created_at": _T},
-    "orders": {"order_id": _S, "customer_id": _S, "order_date": _T, "total_amount": _N},
-    "payments": {"payment_id": _S, "card_last_four": _S, "amount": _N, "processed_at": _T},
+    "customers": {"customer_id": _S, "first_name": _S, "last_name": _S, "email": _S, "phone": _S, "date_of_birth": _T, "gender": _S,
+                  "address_line1": _S, "city": _S, "state": _S, "country": _S, "postal_code": _S, "created_at": _T, "updated_at": _T,
+                  "source_system": _S, "_ingested_at": _T},
+    "products": {"product_id": _S, "product_name": _S, "category": _S, "subcategory": _S, "brand": _S, "unit_price": _N, "cost_price": _N,
+                 "weight_kg": _N, "is_active": "flag", "created_at": _T, "source_system": _S},
+    "orders": {"order_id": _S, "customer_id": _S, "order_date": _T, "order_status": _S, "shipping_method": _S, "shipping_address_city": _S,
+               "shipping_address_state": _S, "shipping_address_country": _S, "total_amount": _N, "discount_amount": _N, "tax_amount": _N,
+               "currency": _S, "source_system": _S, "_ingested_at": _T},
+    "order_items": {"order_item_id": _S, "order_id": _S, "product_id": _S, "quantity": _N, "unit_price": _N, "subtotal": _N, "_ingested_at": _T},
+    "payments": {"payment_id": _S, "order_id": _S, "payment_method": _S, "payment_status": _S, "amount": _N, "currency": _S,
+                 "processed_at": _T, "gateway_reference": _S, "card_last_four": _S, "source_system": _S, "_ingested_at": _T},
+    "shipping_events": {"event_id": _S, "order_id": _S, "carrier": _S, "tracking_number": _S, "event_type": _S, "event_timestamp": _T,
+                        "location": _S, "source_system": _S, "_ingested_at": _T},
 }
 
 
 def _staged_profile(spark, sf_dir) -> DataFrame:
-    return profile.profile_tables([
-        TableSpec("staging", n, staged(spark, sf_dir, n).select(*cols)) for n, cols in _STAGED_COLUMNS.items()])
+    return profile.profile_tables([TableSpec("staging", n, staged(spark, sf_dir, n)) for n in _STAGED_COLUMNS])
 
 
 _STAGED_PROFILE_SQL = "\nUNION ALL ".join(
@@ -142,7 +161,7 @@ def _inventory(spark, sf_dir) -> DataFrame:
 
 
 _STAR_WIDTH = dict(region=2, nation=3, customer=5, supplier=4, part=6, orders=6, lineitem=11, events=6,
-                   documents=5, pages=3, benchmark=2, labels=3, conversations=4)
+                   documents=5, embeddings=3, pages=3, benchmark=2, labels=3, conversations=4)
 _INVENTORY_SQL = "\nUNION ALL ".join(
     [f"SELECT 'star' AS dataset_id, '{n}' AS table_name, 'TABLE' AS table_type, count(*) AS num_rows, "
      f"CAST({w} AS BIGINT) AS column_count FROM {n}" for n, w in _STAR_WIDTH.items()]
@@ -163,12 +182,24 @@ SELECT CAST(sum(column_count) AS BIGINT) AS total_columns, CAST(sum(num_rows) AS
         _inventory(spark, sf_dir), jobs=table(spark, sf_dir, "events"), labels=table(spark, sf_dir, "labels")
     ).drop("total_bytes"))
 
-_RAW_PII = {"customers": 16, "orders": 14, "payments": 11}
+_MART_COLUMNS = {
+    "customer_360": ["customer_id", "first_name", "last_name", "email", "city", "state", "country", "account_created_at", "account_age_days",
+                     "total_orders", "lifetime_revenue", "avg_order_value", "last_order_date", "first_order_date", "completed_orders",
+                     "returned_orders", "cancelled_orders", "customer_segment"],
+    "product_performance": ["product_id", "product_name", "category", "subcategory", "brand", "current_price", "cost_price", "is_active",
+                            "total_units_sold", "total_revenue", "gross_margin", "margin_pct", "order_count", "unique_buyers"],
+    "revenue_daily": ["order_date", "year", "month", "day_of_week", "order_count", "gross_revenue", "total_discounts", "total_tax",
+                      "net_revenue", "avg_order_value", "unique_customers"],
+    "order_fulfillment": ["order_id", "customer_id", "order_date", "order_status", "shipping_method", "total_amount", "payment_method",
+                          "payment_status", "payment_processed_at", "picked_up_at", "delivered_at", "returned_at", "delivery_hours"],
+}
 
 
 def _raw_columns_with_rows(spark, sf_dir) -> DataFrame:
-    """Column inventory of raw tables with the filled rows of each column."""
-    specs = [TableSpec("raw_ecommerce", n, retail.raw(spark, sf_dir, n)) for n in _RAW_PII]
+    """Every column of the raw, staged and mart tables with its filled rows."""
+    specs = [TableSpec("raw_ecommerce", n, retail.raw(spark, sf_dir, n)) for n in _STAGED_COLUMNS]
+    specs += [TableSpec("staging_ecommerce", f"stg_{n}", staged(spark, sf_dir, n)) for n in _STAGED_COLUMNS]
+    specs += [TableSpec("analytics_ecommerce", n, mart(spark, sf_dir, n)) for n in _MART_COLUMNS]
     filled = None
     for s in specs:
         one = inventory.field_paths(s).select("dataset_id", "table_name", "column_name", "present_rows")
@@ -176,15 +207,18 @@ def _raw_columns_with_rows(spark, sf_dir) -> DataFrame:
     return inventory.column_inventory(spark, specs).join(filled, ["dataset_id", "table_name", "column_name"])
 
 
-def _raw_columns_sql(names=None) -> str:
+def _raw_columns_sql() -> str:
     from ..types import RAW_SCHEMAS
+    tables = [("raw_ecommerce", n, f"raw_{n}", RAW_SCHEMAS[n].names) for n in _STAGED_COLUMNS]
+    tables += [("staging_ecommerce", f"stg_{n}", f"stg_{n}", list(c)) for n, c in _STAGED_COLUMNS.items()]
+    tables += [("analytics_ecommerce", n, n, c) for n, c in _MART_COLUMNS.items()]
     return "\nUNION ALL ".join(
-        f"SELECT 'raw_ecommerce' AS dataset_id, '{t}' AS table_name, '{f.name}' AS column_name, "
-        f"CAST({i + 1} AS BIGINT) AS ordinal_position, count(\"{f.name}\") AS present_rows FROM raw_{t}"
-        for t in _RAW_PII for i, f in enumerate(RAW_SCHEMAS[t].fields) if names is None or (t, f.name) in names)
+        f"SELECT '{d}' AS dataset_id, '{t}' AS table_name, '{c}' AS column_name, "
+        f"CAST({i + 1} AS BIGINT) AS ordinal_position, count({MARGIN_PCT if c == 'margin_pct' else chr(34) + c + chr(34)}) AS present_rows FROM {source}"
+        for d, t, source, columns in tables for i, c in enumerate(columns))
 
 
-_RAW_LAYERS = [f"raw:{n}" for n in _RAW_PII]
+_RAW_LAYERS = [f"raw:{n}" for n in _STAGED_COLUMNS] + [*_STAGED_COLUMNS, *_MART_COLUMNS]
 
 query("D7_column_inventory", with_layers(_raw_columns_sql(), *_RAW_LAYERS))(
     lambda spark, sf_dir: _raw_columns_with_rows(spark, sf_dir).select(
@@ -266,31 +300,38 @@ def _grouped_options(spark, sf_dir) -> DataFrame:
     return catalog.options_grouped(current, "sequence")
 
 
-_GROUPED_SQL = f"""SELECT dataset_id || '.' || table_name AS "table", CAST(0 AS BIGINT) AS chunk,
- string_agg(option_name || '=' || option_value, ';' ORDER BY sequence) AS options, bool_or(contains(option_name, 'err')) AS has_err
- FROM ({_CURRENT_SQL}) GROUP BY ALL"""
+_GROUPED_SQL = f"""SELECT dataset_id || '.' || table_name AS "table", row_number() OVER (PARTITION BY dataset_id, table_name
+ ORDER BY sequence, option_name, option_value) - 1 AS position, option_name, option_value FROM ({_CURRENT_SQL})"""
 
+query("D11_options_grouped", _GROUPED_SQL)(_grouped_options)
 
-def _options_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("options", F.array_join(F.transform(
-        "options", lambda o: F.concat(o["option_name"], F.lit("="), o["option_value"])), ";"))
+query("P9_search_nested", f"""SELECT * FROM ({_CURRENT_SQL}) o WHERE contains(lower(dataset_id || '.' || table_name), 'err')
+ OR EXISTS (SELECT 1 FROM events e WHERE 't' || e.user_id = o.table_name AND contains(e.event_type, 'err'))""")(
+    lambda spark, sf_dir: catalog.search_options(
+        catalog.current_options(_option_log(spark, sf_dir), "applied_at", "sequence"), "ERR"))
 
 
-query("D11_options_grouped", f"SELECT * EXCLUDE (has_err) FROM ({_GROUPED_SQL})")(
-    lambda spark, sf_dir: _options_text(_grouped_options(spark, sf_dir)))
+@query("P9_search_large_groups", """
+WITH o AS (SELECT 'star' AS dataset_id, 'p' || l_partkey % 7 AS table_name, 'o' || l_orderkey || '-' || l_linenumber AS option_name,
+ l_shipdate AS option_value, l_orderkey, l_partkey FROM lineitem)
+SELECT dataset_id, table_name, option_name, strftime(option_value, '%Y-%m-%d') AS option_value FROM o WHERE table_name IN
+ (SELECT table_name FROM o WHERE l_orderkey < 100 AND l_partkey % 7 < 3)""")
+def search_large_groups(spark, sf_dir):
+    """Seven tables with thousands of options each: a hit brings the whole group."""
+    needle = (F.col("l_orderkey") < 100) & (F.col("l_partkey") % 7 < 3)
+    options = table(spark, sf_dir, "lineitem").select(
+        F.lit("star").alias("dataset_id"), F.concat(F.lit("p"), F.col("l_partkey") % 7).alias("table_name"),
+        F.concat(F.when(needle, "needle:").otherwise(""), F.lit("o"), "l_orderkey", F.lit("-"), "l_linenumber").alias("option_name"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("option_value"))
+    found = catalog.search_options(options, "NEEDLE")
+    return found.withColumn("option_name", F.regexp_replace("option_name", "^needle:", ""))
 
-query("P9_search_nested", f"SELECT * EXCLUDE (has_err) FROM ({_GROUPED_SQL}) WHERE has_err OR contains(\"table\", 'err')")(
-    lambda spark, sf_dir: _options_text(_grouped_options(spark, sf_dir).where(
-        predicates.any_element_contains("options", "option_name", "ERR")
-        | predicates.contains_ignoring_case(F.col("table"), "ERR"))))
 
 query("A13_collect_members", """
-SELECT o_custkey, CAST(0 AS BIGINT) AS chunk, string_agg(CAST(o_orderkey AS VARCHAR) || ':' || o_orderstatus, ',' ORDER BY o_orderkey) AS members
- FROM orders GROUP BY o_custkey""")(
+SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_orderstatus) - 1 AS position, o_orderkey, o_orderstatus
+ FROM orders""")(
     lambda spark, sf_dir: skew.collect_members(
-        table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", ["o_orderkey", "o_orderstatus"]
-    ).withColumn("members", F.array_join(F.transform("members", lambda m: F.concat(
-        m["o_orderkey"].cast("string"), F.lit(":"), m["o_orderstatus"])), ",")))
+        table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", ["o_orderkey", "o_orderstatus"]))
 
 
 def _datasets(spark, sf_dir) -> DataFrame:
@@ -335,26 +376,34 @@ def _fk_sql(name: str, child: str, ck: str, parent: str, pk: str) -> str:
  count(*) FILTER (WHERE {orphan}), min(CASE WHEN {orphan} THEN CAST({ck} AS VARCHAR) END) FROM {child} c"""
 
 
-@query("D13_constraint_report", with_layers("\nUNION ALL ".join([
-    _pk_sql("pk_raw_customers", "raw_customers", "customer_id"),
-    _pk_sql("pk_raw_orders", "raw_orders", "order_id"),
-    _pk_sql("pk_lineitem", "lineitem", "l_orderkey", "l_linenumber"),
-    _fk_sql("fk_orders_customer", "raw_orders", "customer_id", "raw_customers", "customer_id"),
-    _fk_sql("fk_order_items_order", "raw_order_items", "order_id", "raw_orders", "order_id"),
-    _fk_sql("fk_order_items_product", "raw_order_items", "product_id", "raw_products", "product_id"),
-    _fk_sql("fk_payments_order", "raw_payments", "order_id", "raw_orders", "order_id"),
-]), "raw:customers", "raw:orders", "raw:order_items", "raw:products", "raw:payments"))
+# Declared keys: (name, table, key) and (name, child, key, parent, key).
+_PRIMARY_KEYS = [
+    ("pk_raw_customers", "raw_customers", "customer_id"), ("pk_raw_products", "raw_products", "product_id"),
+    ("pk_raw_orders", "raw_orders", "order_id"), ("pk_raw_payments", "raw_payments", "payment_id"),
+    ("pk_stg_customers", "stg_customers", "customer_id"), ("pk_stg_products", "stg_products", "product_id"),
+    ("pk_stg_orders", "stg_orders", "order_id"), ("pk_customer_360", "customer_360", "customer_id"),
+]
+_FOREIGN_KEYS = [
+    ("fk_orders_customer", "raw_orders", "customer_id", "raw_customers", "customer_id"),
+    ("fk_order_items_order", "raw_order_items", "order_id", "raw_orders", "order_id"),
+    ("fk_order_items_product", "raw_order_items", "product_id", "raw_products", "product_id"),
+    ("fk_payments_order", "raw_payments", "order_id", "raw_orders", "order_id"),
+    ("fk_stg_orders_customer", "stg_orders", "customer_id", "stg_customers", "customer_id"),
+]
+_KEYED_LAYERS = ["raw:customers", "raw:products", "raw:orders", "raw:payments", "raw:order_items", "customers", "products", "orders", "customer_360"]
+
+
+@query("D13_constraint_report", with_layers("\nUNION ALL ".join(
+    [_pk_sql("pk_lineitem", "lineitem", "l_orderkey", "l_linenumber")] + [_pk_sql(*k) for k in _PRIMARY_KEYS]
+    + [_fk_sql(*k) for k in _FOREIGN_KEYS]), *_KEYED_LAYERS))
 def constraint_report(spark, sf_dir):
-    r = {n: retail.raw(spark, sf_dir, n) for n in ("customers", "orders", "order_items", "products", "payments")}
-    fk = constraints.foreign_key_check
+    tables = {f"raw_{n}": retail.raw(spark, sf_dir, n) for n in ("customers", "products", "orders", "payments", "order_items")}
+    tables |= {f"stg_{n}": staged(spark, sf_dir, n) for n in ("customers", "products", "orders")}
+    tables["customer_360"] = mart(spark, sf_dir, "customer_360")
     return constraints.constraint_report(
-        constraints.primary_key_check(r["customers"], "pk_raw_customers", "customer_id"),
-        constraints.primary_key_check(r["orders"], "pk_raw_orders", "order_id"),
         constraints.primary_key_check(table(spark, sf_dir, "lineitem"), "pk_lineitem", "l_orderkey", "l_linenumber"),
-        fk(r["orders"], "fk_orders_customer", "customer_id", r["customers"], "customer_id"),
-        fk(r["order_items"], "fk_order_items_order", "order_id", r["orders"], "order_id"),
-        fk(r["order_items"], "fk_order_items_product", "product_id", r["products"], "product_id"),
-        fk(r["payments"], "fk_payments_order", "order_id", r["orders"], "order_id"))
+        *[constraints.primary_key_check(tables[t], name, key) for name, t, key in _PRIMARY_KEYS],
+        *[constraints.foreign_key_check(tables[c], name, ck, tables[p], pk) for name, c, ck, p, pk in _FOREIGN_KEYS])
 
 
 query("J7_foreign_key_orphans", with_layers("""
@@ -563,6 +612,40 @@ for _id in ("G3_trace", "J6_bounded_walk"):
         edges = _part_edges(spark, sf_dir)
         return lineage.trace(edges, lineage.node_names(edges).toDF("start"))
 
+
+@query("G3_trace_closure", f"""WITH RECURSIVE edges AS MATERIALIZED ({_EDGE_LIST_SQL}),
+ nodes AS (SELECT 'staging.supplier.s' || s_suppkey AS start FROM supplier UNION SELECT 'analytics.nation.n' || n_nationkey FROM nation),
+ up AS (SELECT start, start AS node, CAST(0 AS BIGINT) AS hop FROM nodes
+  UNION SELECT up.start, e.upstream, hop + 1 FROM up JOIN edges e ON e.downstream = up.node),
+ down AS (SELECT start, start AS node, CAST(0 AS BIGINT) AS hop FROM nodes
+  UNION SELECT down.start, e.downstream, hop + 1 FROM down JOIN edges e ON e.upstream = down.node)
+ SELECT start, 'up' AS direction, -(hop + 1) AS position, upstream, downstream, transform FROM up JOIN edges ON downstream = node
+ UNION ALL SELECT start, 'down', hop + 1, upstream, downstream, transform FROM down JOIN edges ON upstream = node""")
+def trace_closure(spark, sf_dir):
+    """Every edge around every supplier and nation; the graph has no cycle and each node one distance."""
+    edges = _part_edges(spark, sf_dir)
+    starts = lineage.node_names(edges).toDF("start").where(
+        F.col("start").startswith("staging.supplier.") | F.col("start").startswith("analytics.nation."))
+    return lineage.trace(edges, starts, first_only=False)
+
+
+@query("G3_trace_deep", """
+WITH RECURSIVE o AS (SELECT o_orderkey AS k, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS nxt FROM orders),
+ walk AS (SELECT k AS start, k AS node, CAST(0 AS BIGINT) AS hop FROM (SELECT min(o_orderkey) AS k FROM orders GROUP BY o_custkey)
+  UNION ALL SELECT start, nxt, hop + 1 FROM walk JOIN o ON k = node WHERE nxt IS NOT NULL)
+ SELECT 'o.' || start AS start, 'down' AS direction, hop + 1 AS position, 'o.' || node AS upstream, 'o.' || nxt AS downstream,
+  'next' AS transform FROM walk JOIN o ON k = node WHERE nxt IS NOT NULL""")
+def trace_deep(spark, sf_dir):
+    """Each customer's orders as a chain, followed from the first order to the last, however many there are."""
+    orders = table(spark, sf_dir, "orders")
+    after = F.lead("o_orderkey").over(W.partitionBy("o_custkey").orderBy("o_orderkey"))
+    name = lambda c: F.concat(F.lit("o."), c)
+    edges = orders.withColumn("after", after).where("after IS NOT NULL").select(
+        F.col("o_orderkey").alias("ordinal"), name(F.col("o_orderkey")).alias("upstream"), name(F.col("after")).alias("downstream"),
+        F.lit("next").alias("transform"))
+    starts = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("k")).select(name(F.col("k")).alias("start"))
+    return lineage.trace(edges, starts).where("direction = 'down'")
+
 for _id in ("O5_lineage_nodes", "U2_union_distinct"):
     query(_id, f"SELECT upstream AS node FROM ({_EDGE_LIST_SQL}) UNION SELECT downstream FROM ({_EDGE_LIST_SQL})")(
         lambda spark, sf_dir: lineage.node_names(_part_edges(spark, sf_dir)).orderBy("node"))
@@ -593,7 +676,7 @@ def layer_nodes(spark, sf_dir):
     layered = inventory.layer_nodes(first.select(
         "ordinal", F.split_part("node", F.lit("."), F.lit(1)).alias("dataset_id"), F.col("node").alias("table_name")))
     return skew.position_in_group(
-        first.join(layered, F.col("node") == F.col("table_name")), "layer", "ordinal", tiebreak=["node"]).select("layer", "node", "position")
+        first.join(layered, F.col("node") == F.col("table_name")), "layer", "ordinal", ["node"]).select("layer", "node", "position")
 
 
 def _pipeline_inventory(spark, sf_dir) -> DataFrame:
@@ -626,9 +709,8 @@ def _volume_sql(edge_rows: str, prefix: bool) -> str:
                        *_VOLUME_LAYERS, *MARTS)
 
 
-def _edge_values(text: str) -> str:
-    from ..operators.pipeline_lineage import _rows
-    values = ", ".join(f"({i}, '{u}', '{d}', '{t}')" for i, (u, d, t) in enumerate(_rows(text)))
+def _edge_values(edges: list[tuple[str, str, str]]) -> str:
+    values = ", ".join(f"({i}, '{u}', '{d}', '{t}')" for i, (u, d, t) in enumerate(edges))
     return f"SELECT CAST(o AS BIGINT) AS ordinal, upstream, downstream, transform FROM (VALUES {values}) AS v(o, upstream, downstream, transform)"
 
 

@@ -234,13 +234,20 @@ def daily_summary(spark, sf_dir):
     return upkeep.read_daily_summary(spark, path)
 
 
-@query("M2_snapshot", _C360_SQL)
+@query("M2_snapshot", with_layers("""
+SELECT 'noon' AS read_at, * EXCLUDE (revenue_units) FROM customer_360 WHERE customer_segment = 'VIP'
+ UNION ALL SELECT 'night', * EXCLUDE (revenue_units) FROM customer_360""", "customer_360"))
 def snapshot(spark, sf_dir):
+    """Two snapshots of one day, one retaken; each is read as of an instant after it."""
     root = fresh_path(spark, "snapshots")
     c360 = mart(spark, sf_dir, "customer_360")
-    upkeep.snapshot_table(c360.limit(0), "customer_360", root, dt.datetime(2026, 1, 5))
-    upkeep.snapshot_table(c360, "customer_360", root, dt.datetime(2026, 2, 5))
-    return upkeep.read_snapshot(spark, f"{root}/snapshot_registry", "customer_360", dt.datetime(2026, 2, 6))
+    morning, evening = dt.datetime(2026, 2, 5, 8), dt.datetime(2026, 2, 5, 20)
+    for _ in range(2):
+        upkeep.snapshot_table(c360.where(C("customer_segment") == "VIP"), "customer_360", root, morning)
+    upkeep.snapshot_table(c360, "customer_360", root, evening)
+    at = lambda name, hour, day=5: upkeep.read_snapshot(
+        spark, f"{root}/snapshot_registry", "customer_360", dt.datetime(2026, 2, day, hour)).select(F.lit(name).alias("read_at"), "*")
+    return at("noon", 12).unionByName(at("night", 2, 6))
 
 
 query("M3_retention", "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1998-12-31' - INTERVAL 90 DAY")(
@@ -272,19 +279,31 @@ query("D9_partition_files")(lambda spark, sf_dir: partition_stats(
 # --- streams ------------------------------------------------------------------------------------
 
 def _streamed_events(spark: SparkSession, sf_dir: str) -> str:
-    schema = table(spark, sf_dir, "events").schema
-    sink, state = fresh_path(spark, "events-landed"), fresh_path(spark, "events-checkpoint")
-    arrivals = append.read_arrivals(spark, sf_dir, schema, "parquet", glob="events.parquet")
-    append.append_stream(arrivals, sink, state).awaitTermination()
+    """Events arriving in four slices of event ids, one file and micro-batch each."""
+    events = table(spark, sf_dir, "events")
+    arrivals, sink, state = (fresh_path(spark, n) for n in ("events-arriving", "events-landed", "events-checkpoint"))
+    events.repartitionByRange(4, "event_id").write.parquet(arrivals)
+    stream = append.read_arrivals(spark, arrivals, events.schema, "parquet", files_per_batch=1)
+    append.append_stream(stream, sink, state).awaitTermination()
     return sink
 
 
 for _id in ("T1_stream_append", "S11_incremental_append"):
     query(_id, "SELECT * FROM events")(lambda spark, sf_dir: spark.read.parquet(_streamed_events(spark, sf_dir)))
 
-query("T2_buffer_stats", "SELECT count(*) AS estimated_rows, min(ts) AS oldest_entry_time FROM events")(
-    lambda spark, sf_dir: append.buffer_stats(
-        spark.read.parquet(_streamed_events(spark, sf_dir)), "ts").drop("estimated_bytes"))
+query("T2_buffer_stats", """SELECT count(*) AS estimated_rows, min(ts) AS oldest_entry_time,
+ count(*) > 0 AS has_bytes, true AS one_file_per_slice FROM events""")(
+    lambda spark, sf_dir: _buffer_stats(spark, _streamed_events(spark, sf_dir)))
+
+
+def _buffer_stats(spark: SparkSession, sink: str) -> DataFrame:
+    """Bytes differ from run to run; what must hold of them is checked: they are the sizes of the four landed files."""
+    landed = spark.read.parquet(sink)
+    files = landed.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("size")).agg(
+        F.sum("size").alias("sizes"), F.count("*").alias("files"))
+    stats = append.buffer_stats(landed, "ts").withColumn("one", F.lit(1)).join(files.withColumn("one", F.lit(1)), "one")
+    return stats.select("estimated_rows", "oldest_entry_time", (C("estimated_bytes") == C("sizes")).alias("has_bytes"),
+                        (C("files") == 4).alias("one_file_per_slice"))
 
 
 def _streamed_summary(spark: SparkSession, sf_dir: str, files: int, per_batch: int | None) -> DataFrame:
@@ -296,8 +315,8 @@ def _streamed_summary(spark: SparkSession, sf_dir: str, files: int, per_batch: i
     return upkeep.read_daily_summary(spark, summary)
 
 
-# Two micro-batches that touch the same months, and one scheduled run over everything that arrived.
-query("T3_stream_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 2, 1))
+# Three micro-batches that touch the same months, and one scheduled run over everything that arrived.
+query("T3_stream_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 3, 1))
 query("T4_scheduled_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 2, None))
 
 
@@ -305,15 +324,14 @@ query("T4_scheduled_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summ
 def stream_customers(spark, sf_dir):
     """New orders refresh the marts' customer buckets; customers without orders come from the first build."""
     customers = STAGING["customers"](retail.raw(spark, sf_dir, "customers"))
-    path, state, arrivals, landed = (fresh_path(spark, n) for n in ("c360", "c360-checkpoint", "orders-new", "orders-kept"))
+    path, state, arrivals, landing = (fresh_path(spark, n) for n in ("c360", "c360-checkpoint", "orders-new", "orders-kept"))
     build = lambda c, o: analytics.customer_360(c, o, AS_OF)
     orders = staged(spark, sf_dir, "orders")
     first = build(customers, orders.limit(0)).withColumn("bucket", refresh.customer_bucket(16))
     sinks.write_partitioned(first, path, "bucket")
-    orders.repartition(2, "order_id").write.parquet(arrivals)
+    orders.repartition(3, "order_id").write.parquet(arrivals)
     stream = append.read_arrivals(spark, arrivals, orders.schema, "parquet", files_per_batch=1)
-    append.append_stream(stream, landed, fresh_path(spark, "orders-kept-checkpoint")).awaitTermination()
-    refresh.keep_customer_360(stream, lambda: customers, lambda: spark.read.parquet(landed), build, path, state, 16).awaitTermination()
+    refresh.keep_customer_360(stream, landing, lambda: customers, build, path, state, 16).awaitTermination()
     return spark.read.parquet(path).drop("bucket")
 
 

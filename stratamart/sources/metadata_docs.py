@@ -10,13 +10,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..types import METADATA_DOCUMENT, SECTION_SCHEMAS
 
+CORRUPT = "_corrupt_document"
+
 
 def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """``multi_line`` for pretty-printed dumps, one object per file; else one object per line."""
-    return spark.read.schema(METADATA_DOCUMENT).json(path, multiLine=multi_line)
+    """``multi_line`` for pretty-printed dumps, one object per file; else one object per line.
+
+    A document that cannot be read is kept as a row whose text is in ``CORRUPT``;
+    ``broken_documents`` counts them.
+    """
+    schema = T.StructType([*METADATA_DOCUMENT.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(schema).json(path, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT)
+
+
+def broken_documents(documents: DataFrame) -> DataFrame:
+    """One row: documents read, those with a header, and those that could not be parsed."""
+    return documents.agg(F.count("*").alias("documents"), F.count("extraction_metadata").alias("with_header"),
+                         F.count(CORRUPT).alias("broken"))
 
 
 def section(documents: DataFrame, name: str) -> DataFrame:
@@ -52,5 +66,5 @@ def write_sections(documents: DataFrame, root: str, names: list[str] | None = No
 
 def write_documents(documents: DataFrame, path: str) -> str:
     """Nested JSON, one document per line. Timestamps are already ISO text in the records."""
-    documents.write.mode("overwrite").json(path)
+    documents.drop(CORRUPT).write.mode("overwrite").json(path)
     return path

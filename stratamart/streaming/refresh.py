@@ -9,13 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.staging import stg_orders
-from ..plans.upkeep import refresh_daily_summary, with_month
+from ..plans.upkeep import refresh_daily_summary, touched_values, with_month
 from ..sources.sinks import write_partitioned
 
 
-def land_batch(batch: DataFrame, batch_id: int, landing: str) -> str:
-    """Each micro-batch owns one folder, so a replayed batch replaces itself."""
-    return write_partitioned(with_month(batch), f"{landing}/batch={batch_id}", "order_month")
+def land_batch(batch: DataFrame, batch_id: int, landing: str, by: str = "order_month") -> DataFrame:
+    """Write a micro-batch under (partition, batch) and return it as landed.
+
+    A partition's folder holds its batches, so a reader of some partitions lists
+    only those. A replayed batch replaces its own folders.
+    """
+    numbered = batch.withColumn("batch", F.lit(batch_id))
+    write_partitioned(numbered, landing, by, "batch", dynamic=True)
+    return landed(batch, landing).where(F.col("batch") == batch_id)
+
+
+def landed(like: DataFrame, landing: str) -> DataFrame:
+    """All landed rows, with the columns of ``like`` and their batch."""
+    return like.sparkSession.read.schema(like.withColumn("batch", F.lit(0)).schema).parquet(landing)
 
 
 def keep_daily_summary(raw_orders: DataFrame, landing: str, summary: str, checkpoint: str,
@@ -23,37 +34,43 @@ def keep_daily_summary(raw_orders: DataFrame, landing: str, summary: str, checkp
     """Land staged orders and recompute the summary of the months they touch.
 
     No state is kept between batches: a day is always recomputed from every
-    landed order of that day. Runs to the end of the available input and stops.
+    landed order of that day, and only the touched months are read. Runs to the end
+    of the available input and stops.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        staged = stage(batch)
-        landed = land_batch(staged, batch_id, landing)
-        read = batch.sparkSession.read.schema(with_month(staged).schema)
-        refresh_daily_summary(read.parquet(landing), read.parquet(landed), summary)
+        staged = with_month(stage(batch))
+        new = land_batch(staged, batch_id, landing)
+        refresh_daily_summary(landed(staged, landing), new, summary)
 
     return (raw_orders.writeStream.foreachBatch(on_batch).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def keep_customer_360(arrivals: DataFrame, customers: Callable[[], DataFrame], orders: Callable[[], DataFrame],
+def keep_customer_360(arrivals: DataFrame, landing: str, customers: Callable[[], DataFrame],
                       build: Callable[[DataFrame, DataFrame], DataFrame], path: str, checkpoint: str,
                       buckets: int = 64) -> StreamingQuery:
-    """Recompute the customers named in new orders, in a mart stored by customer bucket.
-
-    Parquet replaces whole partitions, so the unit of refresh is the bucket of a
-    touched customer; ``customers`` and ``orders`` return the staged tables as
-    of now. Staged tables stored by ``bucket`` are pruned to the touched buckets.
+    """Land new orders and recompute the customers they name, in a mart stored by customer bucket.
+
+    Landing and refresh are one step of one stream, so no order is refreshed before
+    it has landed. Orders are landed by bucket and only the touched buckets are read.
+    Parquet replaces whole partitions, so the unit of refresh is the bucket: with B
+    buckets a batch of few customers rewrites few of them; choose B so that a bucket
+    is about a file. ``customers`` returns the staged customers as of now; where they
+    are stored by ``bucket``, they are pruned too.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(customer_bucket(buckets)).distinct()
+        keyed = batch.withColumn("bucket", customer_bucket(buckets))
+        new = land_batch(keyed, batch_id, landing, "bucket")
+        touched = touched_values(new, "bucket")
+        if not touched:
+            return
 
         def pick(df: DataFrame) -> DataFrame:
-            keyed = df if "bucket" in df.columns else df.withColumn("bucket", customer_bucket(buckets))
-            return keyed.join(touched, "bucket", "left_semi").drop("bucket")
+            bucketed = df if "bucket" in df.columns else df.withColumn("bucket", customer_bucket(buckets))
+            return bucketed.where(F.col("bucket").isin(touched)).drop("bucket", "batch")
 
-        fresh = build(pick(customers()), pick(orders())).withColumn("bucket", customer_bucket(buckets))
-        (fresh.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bucket").parquet(path))
+        fresh = build(pick(customers()), pick(landed(keyed, landing))).withColumn("bucket", customer_bucket(buckets))
+        write_partitioned(fresh, path, "bucket", dynamic=True)
 
     return (arrivals.writeStream.foreachBatch(on_batch).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -11,6 +11,7 @@ from stratamart.operators import (catalog, constraints, inventory, lineage, pii,
 from stratamart.operators.dedup import latest_per_key
 from stratamart.operators.pipeline_lineage import column_edges, table_edges
 from stratamart.operators.specs import TableSpec
+from stratamart.session import fresh_path
 from stratamart.sources.tables import read_partitioned
 
 
@@ -29,34 +30,48 @@ def hot(spark):
 def test_salted_join_equals_plain_join(hot, min_rows):
     left, right = hot
     want = sorted(left.join(right, "key", "left").select("key", "l", "r").collect(), key=str)
-    got = skew.left_join_hot(left, right, "key", min_rows=min_rows, sample_fraction=1.0, salts=7)
+    got = skew.left_join_hot(left, right, "key", min_rows=min_rows, sample_fraction=1.0)
     assert sorted(got.select("key", "l", "r").collect(), key=str) == want
 
 
 def test_salted_join_with_a_sample(hot):
     left, right = hot
     want = left.join(right, "key", "left").count()
-    assert skew.left_join_hot(left, right, "key", min_rows=50, sample_fraction=0.3, salts=3).count() == want
+    assert skew.left_join_hot(left, right, "key", min_rows=50, sample_fraction=0.3).count() == want
 
 
 def test_hot_key_is_found(hot):
-    assert [r.key for r in skew.hot_keys(hot[1], "key", 100, 1.0).collect()] == ["hot"]
+    assert [(r.key, r._salts) for r in skew.hot_keys(hot[1], "key", 100, 1.0).collect()] == [("hot", 3)]
+    again = [skew.hot_keys(hot[1].repartition(n), "key", 20, 0.5).orderBy("key").collect() for n in (1, 5)]
+    assert again[0] == again[1]  # the sample does not depend on the order of rows
 
 
 def test_position_in_group(spark):
     rows = [("a" if i % 3 else None, i * 37 % 1001) for i in range(1001)]
-    got = skew.position_in_group(spark.createDataFrame(rows, "g string, o long"), "g", "o", span=50).collect()
+    got = skew.position_in_group(spark.createDataFrame(rows, "g string, o long"), "g", "o", ["o"]).collect()
     for g in ("a", None):
         want = sorted(o for k, o in rows if k == g)
         assert [r.o for r in sorted((r for r in got if r.g == g), key=lambda r: r.position)] == want
         assert sorted(r.position for r in got if r.g == g) == list(range(len(want)))
 
 
-def test_collect_members_chunks_large_groups(spark):
-    df = spark.range(25).select(F.lit("g").alias("g"), F.col("id").alias("o"), (F.col("id") * 2).alias("v"))
-    got = sorted(skew.collect_members(df, "g", "o", ["v"], chunk_rows=10).collect(), key=lambda r: r.chunk)
-    assert [len(r.members) for r in got] == [10, 10, 5]
-    assert [m.v for r in got for m in r.members] == [2 * i for i in range(25)]
+def test_collect_members_has_one_shape(spark):
+    df = spark.range(25).select(F.lit("g").alias("g"), (F.col("id") % 5).alias("o"), (F.col("id") * 2).alias("v"))
+    got = sorted(skew.collect_members(df.union(spark.sql("SELECT 'h', 1L, 7L")), "g", "o", ["v"]).collect())
+    assert [(r.position, r.v) for r in got if r.g == "g"] == list(enumerate(2 * (5 * k + o) for o in range(5) for k in range(5)))
+    assert [(r.position, r.v) for r in got if r.g == "h"] == [(0, 7)]
+
+
+def test_search_keeps_whole_groups(spark):
+    rows = [("d", "t1", f"o{i}", "x") for i in range(25)] + [("d", "t1", "Needle", "y"), ("d", "t2", "o1", "z"), ("d", "a_needle", "p", "q")]
+    got = catalog.search_options(spark.createDataFrame(rows, "dataset_id string, table_name string, option_name string, option_value string"), "NEEDLE")
+    assert sorted(r.table_name for r in got.collect()) == ["a_needle"] + ["t1"] * 26
+
+
+def test_label_maps_are_replaced_whole(spark):
+    rows = [("d", "t", "labels", {"a": "1", "b": "2"}, 1, 1), ("d", "t", "labels", {"b": "3"}, 2, 2), ("d", "u", "labels", None, 1, 3)]
+    log = spark.createDataFrame(rows, "dataset_id string, table_name string, option_name string, option_value map<string,string>, at int, seq int")
+    assert {r.table_name: r.option_value for r in catalog.current_options(log, "at", "seq").collect()} == {"t": {"b": "3"}, "u": None}
 
 
 def test_latest_per_key(spark):
@@ -177,11 +192,18 @@ def test_trace_takes_the_first_edge_and_survives_cycles(spark):
     edges = lineage.edges_from(spark, [("a", "b", "1"), ("x", "b", "2"), ("b", "c", "3"), ("b", "d", "4"), ("c", "a", "5")])
     start = spark.createDataFrame([("b",), ("nowhere",)], "start string")
     got = lineage.trace(edges, start).collect()
-    assert {r.start for r in got} == {"b"} and len(got) == 20
-    down = [r.transform for r in sorted((r for r in got if r.direction == "down"), key=lambda r: r.position)]
-    assert down == ["3", "5", "1", "3", "5", "1", "3", "5", "1", "3"]
-    short = lineage.trace(edges, start, hops=2).where("direction = 'up'").orderBy("position").collect()
-    assert [r.transform for r in short] == ["5", "1"]
+    assert {r.start for r in got} == {"b"} and len(got) == 6
+    path = lambda rows, way: [r.transform for r in sorted((r for r in rows if r.direction == way), key=lambda r: abs(r.position))]
+    assert path(got, "down") == ["3", "5", "1"] and path(got, "up") == ["1", "5", "3"]  # until the cycle closes
+    assert path(lineage.trace(edges, start, hops=2).collect(), "up") == ["1", "5"]
+    every = lineage.trace(edges, start, first_only=False).collect()
+    assert sorted(path(every, "down")) == ["1", "3", "4", "5"] and sorted(path(every, "up")) == ["1", "2", "3", "5"]
+
+
+def test_trace_has_no_hop_bound(spark):
+    edges = lineage.edges_from(spark, [(f"n{i}", f"n{i + 1}", str(i)) for i in range(15)])
+    got = lineage.trace(edges, spark.createDataFrame([("n0",)], "start string")).collect()
+    assert sorted(r.position for r in got) == list(range(1, 16))
 
 
 # --- query log ------------------------------------------------------------------------------------
@@ -259,7 +281,11 @@ def test_field_paths_and_inventory(spark, sf_dir):
     assert cols["o_orderdate"].is_partitioning_column == "YES" and cols["o_custkey"].clustering_ordinal_position == 1
 
 
-@pytest.mark.parametrize("where", [None, "", "total > 3", "my_day_2 = 3"])
+@pytest.mark.parametrize("where", [None, "", "total > 3", "my_day_2 = 3", "'day' = 'day'", "id > 3 OR day IS NOT NULL",
+                                   "id > 3 /* day */", "day IS NOT NULL", "day = day"])
 def test_guarded_read_refuses(spark, where):
+    path = fresh_path(spark, "guarded")
+    spark.sql("SELECT id AS total, 1L AS my_day_2, DATE'2024-01-01' AS day, id FROM range(9)").write.partitionBy("day").parquet(path)
     with pytest.raises(ValueError):
-        read_partitioned(spark, "/nowhere", "day", where)
+        read_partitioned(spark, path, "day", where)
+    assert read_partitioned(spark, path, "day", "day >= '2024-01-01' AND total > 3").count() == 5

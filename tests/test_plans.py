@@ -45,3 +45,36 @@ def test_customer_360_adds_no_shuffle_after_the_join(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     before_join = plan.split("SortMergeJoin [customer_id")[0]
     assert "Exchange" not in before_join
+
+
+def exchanges(plan):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", re.sub(r"#\d+L?", "", plan))
+
+
+def no_broadcast(spark, build):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan_of(build())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_product_performance_shuffles_each_table_once(spark, sf_dir):
+    plan = no_broadcast(spark, lambda: mart(spark, sf_dir, "product_performance"))
+    assert "Expand" not in plan
+    by_order = [e for e in exchanges(plan) if e.startswith("order_id")]
+    assert len(by_order) == 2  # items and orders
+
+
+def test_order_fulfillment_shuffles_each_table_once(spark, sf_dir):
+    plan = no_broadcast(spark, lambda: mart(spark, sf_dir, "order_fulfillment"))
+    assert len(exchanges(plan)) == 3 and all(e.startswith("order_id") for e in exchanges(plan))
+
+
+def test_constraint_checks_share_their_shuffles(spark, sf_dir):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = no_broadcast(spark, lambda: REGISTRY["D13_constraint_report"].run(spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("ReusedExchange") >= 6

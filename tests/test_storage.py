@@ -86,6 +86,10 @@ def test_snapshots(spark, scratch):
     upkeep.snapshot_table(spark.range(5), "t", root, dt.datetime(2024, 2, 1))
     at = lambda m: upkeep.read_snapshot(spark, f"{root}/snapshot_registry", "t", dt.datetime(2024, m, 15)).count()
     assert (at(1), at(2)) == (3, 5)
+    for hour, rows in ((8, 7), (20, 9), (20, 9)):  # two on one day, the second taken twice
+        upkeep.snapshot_table(spark.range(rows), "t", root, dt.datetime(2024, 3, 1, hour))
+    on_day = lambda h: upkeep.read_snapshot(spark, f"{root}/snapshot_registry", "t", dt.datetime(2024, 3, 1, h)).count()
+    assert (on_day(12), on_day(23)) == (7, 9) and spark.read.parquet(f"{root}/snapshot_registry").count() == 4
     with pytest.raises(LookupError):
         upkeep.read_snapshot(spark, f"{root}/snapshot_registry", "t", dt.datetime(2023, 1, 1))
 
@@ -144,13 +148,37 @@ def test_stream_refresh_replays_safely(spark, shop, scratch):
     landing, summary = scratch("landing"), scratch("summary")
     staged = STAGING["orders"](shop["orders"])
     first, second = staged.where("order_id < 'O4'"), staged.where("order_id >= 'O4'")
-    read = spark.read.schema(upkeep.with_month(staged).schema)
     for batch_id, batch in [(0, first), (1, second), (1, second)]:  # the last batch is replayed
-        landed = refresh.land_batch(batch, batch_id, landing)
-        upkeep.refresh_daily_summary(read.parquet(landing), read.parquet(landed), summary)
+        dated = upkeep.with_month(batch)
+        new = refresh.land_batch(dated, batch_id, landing)
+        upkeep.refresh_daily_summary(refresh.landed(dated, landing), new, summary)
     assert stored(upkeep.read_daily_summary(spark, summary)) == stored(upkeep.daily_summary(analytics.revenue_daily(staged)))
 
 
+def test_refresh_reads_touched_months_only(spark, shop, scratch, monkeypatch):
+    landing, plans = scratch("landing"), []
+    staged = upkeep.with_month(STAGING["orders"](shop["orders"]))
+    refresh.land_batch(staged, 0, landing)
+    new = refresh.land_batch(staged.where("order_month = '2024-03'"), 1, landing)
+    write = upkeep.write_partitioned
+    monkeypatch.setattr(upkeep, "write_partitioned", lambda df, *a, **k: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a, **k))[1])
+    upkeep.refresh_daily_summary(refresh.landed(staged, landing), new, scratch("summary"))
+    assert "2024-03" in plans[0].split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_broken_documents_are_counted(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps({"datasets": [{"dataset_id": "raw"}]}))
+    (tmp_path / "bad.json").write_text('{"datasets": [{"dataset_id": ')
+    docs = metadata_docs.read_documents(spark, str(tmp_path))
+    row = metadata_docs.broken_documents(docs).first()
+    assert (row.documents, row.broken) == (2, 1)
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        (tmp_path / "rows").mkdir()
+        (tmp_path / "rows" / "a.json").write_text('{"payment_id": "p1"\n')
+        tables.read_raw(spark, "payments", str(tmp_path / "rows"), "json").collect()
+
+
 def test_metadata_dump(spark, tmp_path):
     doc = {
         "extraction_metadata": {"project_id": "p", "datasets_scanned": ["raw"]},
