@@ -93,6 +93,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     dataset = F.concat(F.lit("raw_"), F.lower("c_mktsegment"))
     key = F.concat(F.lit("t"), C("c_custkey"))
+    routine = F.concat(F.lit("refresh_"), C("c_custkey"))
     ident = [C("c_name").alias("project_id"), dataset.alias("dataset_id")]
     named = [*ident, key.alias("table_name")]
     fields = F.array(
@@ -127,6 +128,21 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             *ident, key.alias("view_name"), F.concat(F.lit("SELECT "), C("c_custkey")).alias("view_definition")))
         ).alias("views"),
         F.array(option("owner", C("c_mktsegment")), option("zone", C("n_name"))).alias("table_options"),
+        F.array(F.struct(*ident, routine.alias("routine_name"), F.lit("PROCEDURE").alias("routine_type"),
+                         F.concat(F.lit("CALL "), C("c_custkey")).alias("routine_definition"))).alias("routines"),
+        F.array(*[F.struct(*ident, routine.alias("routine_name"), F.lit(i + 1).cast("long").alias("ordinal_position"),
+                           F.lit(name).alias("parameter_name"), F.lit(kind).alias("data_type"))
+                  for i, (name, kind) in enumerate([("since", "DATE"), ("region", "STRING")])]).alias("routine_parameters"),
+        F.array(F.struct(*named, F.lit("by_region").alias("policy_name"),
+                         F.concat(F.lit("country = "), C("n_name")).alias("filter_predicate"))).alias("row_level_security"),
+        F.array(F.struct(*ident, F.concat(key, F.lit("_snapshot")).alias("snapshot_table_name"), key.alias("base_table_name"),
+                         F.lit("2024-06-01T00:00:00").alias("snapshot_time"))).alias("snapshots"),
+        F.when(C("c_acctbal") >= 0, F.array(F.struct(
+            *ident, key.alias("view_name"), F.lit("2024-06-02T00:00:00").alias("last_refresh_time")))).alias("materialized_views"),
+        F.array(F.struct(F.concat(F.lit("refresh "), key).alias("name"), C("c_name").alias("config_id"),
+                         dataset.alias("destination_dataset"), F.lit("every 24 hours").alias("schedule"),
+                         (C("c_acctbal") < 0).alias("disabled"), F.lit("SUCCEEDED").alias("state"),
+                         (C("c_acctbal") < 0).alias("schedule_options_disable_auto_scheduling"))).alias("scheduled_queries"),
         F.when(C("c_acctbal") < 0, F.array(found)).otherwise(F.array().cast(
             "array<struct<dataset_id:string,table_name:string,column_name:string,pii_classification:string,confidence:string>>")
         ).alias("pii_classification"),
@@ -164,11 +180,17 @@ _CUSTOMER_NATION = "FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"
 SELECT 'datasets' AS section, c_name AS project_id, 'raw_' || lower(c_mktsegment) AS dataset_id, n_name AS detail {_CUSTOMER_NATION}
  UNION ALL SELECT 'views', c_name, 'raw_' || lower(c_mktsegment), 'SELECT ' || c_custkey FROM customer WHERE c_acctbal >= 0
  UNION ALL SELECT 'table_options', c_name, 'raw_' || lower(c_mktsegment), CASE o WHEN 'owner' THEN c_mktsegment ELSE n_name END
- {_CUSTOMER_NATION}, (SELECT unnest(['owner', 'zone']) AS o)""")
+ {_CUSTOMER_NATION}, (SELECT unnest(['owner', 'zone']) AS o)
+ UNION ALL SELECT 'routines', c_name, 'raw_' || lower(c_mktsegment), 'PROCEDURE' FROM customer
+ UNION ALL SELECT 'routine_parameters', c_name, 'raw_' || lower(c_mktsegment), p FROM customer, (SELECT unnest(['since', 'region']) AS p)
+ UNION ALL SELECT 'row_level_security', c_name, 'raw_' || lower(c_mktsegment), 'country = ' || n_name {_CUSTOMER_NATION}
+ UNION ALL SELECT 'snapshots', c_name, 'raw_' || lower(c_mktsegment), '2024-06-01T00:00:00' FROM customer
+ UNION ALL SELECT 'materialized_views', c_name, 'raw_' || lower(c_mktsegment), '2024-06-02T00:00:00' FROM customer WHERE c_acctbal >= 0
+ UNION ALL SELECT 'scheduled_queries', c_name, 'raw_' || lower(c_mktsegment), CASE WHEN c_acctbal < 0 THEN 'disabled' ELSE 'every 24 hours' END
+  FROM customer""")
 def typed_registries(spark, sf_dir):
     docs = _stored_documents(spark, sf_dir)
     out = None
-    # Sections without records stay as empty typed tables and add nothing to the union.
     details = {"datasets": "location", "views": "view_definition", "table_options": "option_value",
                "routines": "routine_type", "routine_parameters": "parameter_name", "row_level_security": "filter_predicate",
                "snapshots": "snapshot_time", "materialized_views": "last_refresh_time"}
@@ -177,10 +199,14 @@ def typed_registries(spark, sf_dir):
         one = metadata_docs.section(docs, name).select(
             F.lit(name).alias("section"), "project_id", "dataset_id", C(detail).alias("detail"))
         out = one if out is None else out.unionByName(one)
-    return out
+    scheduled = metadata_docs.section(docs, "scheduled_queries").select(
+        F.lit("scheduled_queries").alias("section"), C("config_id").alias("project_id"), C("destination_dataset").alias("dataset_id"),
+        F.when(C("disabled") & C("schedule_options_disable_auto_scheduling"), "disabled").otherwise(C("schedule")).alias("detail"))
+    return out.unionByName(scheduled)
 
 
-_COVERED = {"datasets": 1, "columns": 2, "column_field_paths": 3, "table_options": 2, "lineage.table_lineage": 1}
+_COVERED = {"datasets": 1, "columns": 2, "column_field_paths": 3, "table_options": 2, "lineage.table_lineage": 1, "routines": 1,
+            "routine_parameters": 2, "row_level_security": 1, "snapshots": 1, "scheduled_queries": 1}
 
 
 def _coverage_sql() -> str:
@@ -191,7 +217,7 @@ def _coverage_sql() -> str:
             return f"(SELECT count(*) FROM ({_DOC_TABLE_SQL}))"
         if name == "pii_classification":
             return "(SELECT count(*) FROM customer WHERE c_acctbal < 0)"
-        if name == "views":
+        if name in ("views", "materialized_views"):
             return "(SELECT count(*) FROM customer WHERE c_acctbal >= 0)"
         return "0"
     rows = ", ".join(f"({i + 1}, '{n}', {count(n)})" for i, n in enumerate(catalog.COVERAGE_SECTIONS))
