@@ -8,9 +8,12 @@
    First each class is checked against the bucket minimum it shares most bands
    with; verified links give first components.
 3. A bucket that still holds several components is searched between them: its
-   smaller components are compared with all its members by signature, in chunks,
-   and pairs whose estimate may reach the threshold are verified too. So no pair
-   inside a component is ever formed, and no pair across components is left out.
+   smaller components are compared with all its members, in chunks, first by
+   signature, then by the 32-bit prefixes of all shingle hashes. A pair is
+   compared only in the first bucket it shares, and a class needs one link to
+   another component, so it names its two most similar members there. So no pair
+   inside a component is ever formed, none across components is left out, and
+   what leaves a task does not grow with the square of a group.
 4. Links are confirmed by exact intersection of the full sets, fetched for
    bucket members only.
 """
@@ -113,6 +116,7 @@ def _bands(batches):
             key += np.arange(1, BANDS + 1, dtype=np.uint64) * GOLDEN
             for i in range(signed.shape[2]):
                 key = mix64(key ^ signed[:, :, i].astype(np.uint64))
+            key = key - key % np.uint64(BANDS) + np.arange(BANDS, dtype=np.uint64)  # the band's number stays readable
         yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(b.column("node").to_numpy(), BANDS)),
                                           pa.array(np.repeat(b.column("n").to_numpy(), BANDS))], names=["band", "node", "n"])
 
@@ -151,36 +155,64 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(_confirm(percent), "u long, v long")
 
 
+def _prefixes(batches):
+    for b in batches:
+        cut = [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in b.column("elements").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(cut, pa.binary())], names=["node", "prefixes"])
+
+
 def _across(percent: int):
     least = percent / 100 - MARGIN
 
     def run(key, table):
+        number = key[0].as_py() % BANDS
         probe = table.column("probe").to_numpy(zero_copy_only=False)
         node, comp, n = (table.column(c).to_numpy() for c in ("node", "component", "n"))
         signed = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SLOTS)
-        base = np.flatnonzero(~probe)
+        prefixes = table.column("prefixes")
+        base, own = np.flatnonzero(~probe), {}
         u, v = [], []
         for i in np.flatnonzero(probe):
             other = base[(comp[base] != comp[i]) & (100 * np.minimum(n[base], n[i]) >= percent * np.maximum(n[base], n[i]))]
-            near = other[(signed[other] == signed[i]).mean(1) >= least]
-            u += np.maximum(node[near], node[i]).tolist()
-            v += np.minimum(node[near], node[i]).tolist()
+            equal = signed[other] == signed[i]
+            first = equal.reshape(len(other), BANDS, SLOTS // BANDS).all(2).argmax(1)
+            near = other[(equal.mean(1) >= least) & (first == number)]
+            if not len(near):
+                continue
+            for j in near:
+                if j not in own:
+                    own[j] = np.frombuffer(prefixes[int(j)].as_py(), np.uint32)
+            mine = np.frombuffer(prefixes[int(i)].as_py(), np.uint32)
+            every = np.concatenate([own[j] for j in near])
+            at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+            sizes = n[near]
+            both = np.add.reduceat((mine[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+            share = both / (sizes + n[i] - both)
+            linked = np.flatnonzero(100 * both >= percent * (sizes + n[i] - both))
+            told: dict[int, int] = {}
+            for k in linked[np.argsort(-share[linked], kind="stable")]:
+                j = near[k]
+                told[comp[j]] = told.get(comp[j], 0) + 1
+                if told[comp[j]] <= 2:
+                    u.append(max(node[j], node[i]))
+                    v.append(min(node[j], node[i]))
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
     return run
 
 
-def _pairs_across(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs between different components of a bucket that their signatures do not rule out."""
+def _pairs_across(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs between different components of a bucket that are likely linked."""
     named = members.join(labels, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("component"))
     sizes = named.groupBy("band", "component").agg(F.count("*").alias("c"))
     mixed = sizes.groupBy("band").agg(F.sum("c").alias("size"), F.count("*").alias("parts"),
                                       F.max_by("component", "c").alias("largest")).filter("parts > 1").drop("parts")
-    rows = named.join(mixed, "band").join(classes.select("node", "signature"), "node")
+    rows = (named.join(mixed, "band").join(classes.select("node", "signature"), "node")
+                 .join(sets.mapInArrow(_prefixes, "node long, prefixes binary"), "node"))
     rows = rows.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
     base = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn("probe", F.lit(False))
     probes = (rows.filter("component <> largest").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
                   .withColumn("probe", F.lit(True)))
-    columns = ["band", "chunk", "node", "component", "n", "signature", "probe"]
+    columns = ["band", "chunk", "node", "component", "n", "signature", "prefixes", "probe"]
     both = base.select(columns).unionByName(probes.select(columns))
     return both.groupBy("band", "chunk").applyInArrow(_across(percent), "u long, v long").distinct()
 
@@ -216,7 +248,7 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = PERCENT) ->
     sets = stored(texts.mapInArrow(_sets(words), "node long, elements binary").dropDuplicates(["node"]), "shingle-sets")
     links = stored(confirmed(to_pivot, sets, percent), "links-to-pivots")
     first = stored(components(links), "first-components")
-    across = stored(_pairs_across(members, first, classes, percent), "pairs-across")
+    across = stored(_pairs_across(members, first, classes, sets, percent), "pairs-across")
     more = confirmed(across, sets, percent)
     final = components(links.unionByName(more))
     ids = final.join(classes.select("node", "first_id"), "node")
