@@ -49,12 +49,17 @@ PATTERNS = {
     "addressed": r"\b(?:you|you're|youre|u)\s+(?:are\s+)?(?:an?\s+|such\s+an?\s+|so\s+|all\s+)?(?:idiot|moron|loser|clown|stupid|pathetic|worthless|disgusting|scum|trash)",
     "dismissal": r"\b(?:shut up|go away|get lost|drop dead|go to hell|hate you)\b",
     "masked": r"\b[a-z]\*{2,}[a-z]*\b|\b[a-z]+\*{2,}[a-z]\b",
-    "shouting": r"(?:\b[A-Z]{3,}\b\W+){4}",
+    "shouting": r"(?:[A-Z]{3,}[^A-Za-z]+){4}",
     "exclaiming": r"!{3,}|\?!{2,}",
 }
 _WORD = re.compile(r"[^\W\d_]+")
 _FIXED = {name: frozenset(words.split()) for name, words in LEXICONS.items()}
-_MATCH = {name: re.compile(p if name == "shouting" else f"(?i:{p})") for name, p in PATTERNS.items()}
+_MATCH = {name: re.compile(p) for name, p in PATTERNS.items()}
+# What a text must hold for a pattern to match at all: looked for first, which is much faster.
+_NEEDS = {"addressed": ("idiot", "moron", "loser", "clown", "stupid", "pathetic", "worthless", "disgusting", "scum", "trash"),
+          "dismissal": ("shut up", "go away", "get lost", "drop dead", "go to hell", "hate you"), "masked": ("**",), "shouting": (),
+          "exclaiming": ("!!!", "?!")}
+_CASELESS = ("addressed", "dismissal", "masked")
 
 
 def _thinning_key(text: bytes) -> int:
@@ -86,16 +91,18 @@ def _unit_counts(batches):
                                           pa.array([counts[0][u] for u in units], pa.int64())], names=["unit", "a", "b"])
 
 
-def mined_units(labelled: DataFrame, size: int = MINED, rows: int = MINING_ROWS, least: float = 1.0) -> list[str]:
+def mined_units(texts: DataFrame, marked: DataFrame, size: int = MINED, rows: int = MINING_ROWS, least: float = 1.0) -> list[str]:
     """Words and word beginnings that speak most for toxicity, by log odds less two deviations.
 
-    ``labelled`` has doc_id, text and label. At most about ``rows`` of its rows are
-    used, chosen by a hash of the id, and one of a set of near copies. Of units that
+    ``texts`` has doc_id and text, ``marked`` _id and label. At most about ``rows``
+    labels are used, chosen by a hash of the id; being that few, they are broadcast
+    and the texts are not shuffled. Of a set of near copies one counts. Of units that
     are beginnings of each other the best stays.
     """
-    share = min(1.0, rows / max(1, labelled.count()))
-    chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(10_000)) < int(10_000 * share))
-    texts = chosen.mapInArrow(_with_key, "text binary, label int, key long").dropDuplicates(["key"])
+    ring = 1_000_000
+    share = min(1.0, rows / max(1, marked.count()))
+    chosen = F.broadcast(marked.filter(F.pmod(F.xxhash64("_id"), F.lit(ring)) < int(ring * share)))
+    texts = texts.join(chosen, F.col("doc_id") == F.col("_id")).select("text", "label").mapInArrow(_with_key, "text binary, label int, key long").dropDuplicates(["key"])
     counts = texts.mapInArrow(_unit_counts, "unit string, a long, b long").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     n1, n0 = texts.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     if not n1 or not n0:
@@ -142,13 +149,16 @@ class Voters:
         self.memo = _Memo(whole, stems)
 
     def hits(self, text: str) -> tuple[list[int], int]:
-        words = _WORD.findall(text.lower())
+        low = text.lower()
+        words = _WORD.findall(low)
         out = [0] * len(self.names)
         for own in filter(None, map(self.memo.__getitem__, words)):
             for k in own:
                 out[k] += 1
-        for k, pattern in enumerate(_MATCH.values(), self.words):
-            out[k] = sum(1 for _ in pattern.finditer(text))
+        for k, (name, pattern) in enumerate(_MATCH.items(), self.words):
+            where = low if name in _CASELESS else text
+            if not _NEEDS[name] or any(x in where for x in _NEEDS[name]):
+                out[k] = sum(1 for _ in pattern.finditer(where))
         return out, len(words)
 
 
@@ -167,45 +177,60 @@ def _votes(voters: Voters):
 
 
 class LabelModel:
-    """P(toxic), and each voter's firing rate on toxic and clean texts, with weights shared among correlated voters."""
+    """P(toxic) and each voter's firing rate on toxic and clean texts; correlated voters share their weight.
 
-    def __init__(self, prior: float, toxic: np.ndarray, clean: np.ndarray):
-        self.prior, self.toxic, self.clean = prior, toxic, clean
+    A voter that does not fire abstains: a lexicon of one language says nothing about
+    another. A text on which none fires has the rate of toxic texts among such.
+    """
+
+    def __init__(self, prior: float, toxic: np.ndarray, clean: np.ndarray, silent: float):
+        self.prior, self.toxic, self.clean, self.silent = prior, toxic, clean, silent
         self.share = np.ones(len(toxic))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         p, q = np.clip(self.toxic, 1e-4, 1 - 1e-4), np.clip(self.clean, 1e-4, 1 - 1e-4)
-        on, off = np.log(p / q) * self.share, np.log((1 - p) / (1 - q)) * self.share
-        logit = math.log(self.prior / (1 - self.prior)) + votes @ on + (1 - votes) @ off
-        return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
+        logit = math.log(self.prior / (1 - self.prior)) + votes @ (np.log(p / q) * self.share)
+        return np.where(votes.any(1), 1 / (1 + np.exp(-np.clip(logit, -40, 40))), self.silent)
 
 
 def fit_label_model(patterns: DataFrame, seen: np.ndarray, width: int, rounds: int = ROUNDS) -> LabelModel:
     """EM over ``patterns`` (votes packed, n), begun at the rates ``seen`` on labelled rows.
 
-    ``seen`` holds, for clean and toxic labelled rows, the count and the firings of
-    each voter. They stay in every round as fixed evidence beside the unlabelled rows.
+    ``seen`` holds, for clean and toxic labelled rows, the count, the firings of each
+    voter and the rows on which none fires. They stay in every round as fixed evidence,
+    and the unlabelled rows together weigh no more than they do.
     """
-    (n0, *f0), (n1, *f1) = seen
+    (n0, *f0, none0), (n1, *f1, none1) = seen
     f0, f1 = np.array(f0), np.array(f1)
     rates = lambda fired, n: (fired + 0.5) / (n + 1.0)
     if n1 and n0:
-        model = LabelModel((n1 + 1) / (n0 + n1 + 2), rates(f1, n1), rates(f0, n0))
+        silent = (none1 + 0.5) / (none0 + none1 + 10.0)
+        model = LabelModel((n1 + 1) / (n0 + n1 + 2), rates(f1, n1), rates(f0, n0), silent)
     else:
-        model = LabelModel(0.1, np.full(width, 0.3), np.full(width, 0.02))
+        silent = 0.01
+        model = LabelModel(0.1, np.full(width, 0.3), np.full(width, 0.02), silent)
 
     def expected(b):
         votes, n = stack(b.column("votes"), width), np.asarray(b.column("n").to_pylist(), float)
         p = model.posterior(votes)
         return np.vstack([np.append(n @ (1 - p), (n * (1 - p)) @ votes), np.append(n @ p, (n * p) @ votes)])
 
+    share = _shares(patterns, model, width)
     for _ in range(rounds):
+        model.share = share
         clean, toxic = matrix_sum(patterns, (2, width + 1), expected)
-        n, t = clean[0] + toxic[0] + n0 + n1, toxic[0] + n1
-        if n == 0:
+        if clean[0] + toxic[0] == 0:
             break
-        model = LabelModel(min(0.9, max(1e-3, (t + 1) / (n + 2))), rates(toxic[1:] + f1, toxic[0] + n1), rates(clean[1:] + f0, clean[0] + n0))
+        weight = min(1.0, (n0 + n1) / (clean[0] + toxic[0])) if n0 and n1 else 1.0
+        clean, toxic = weight * clean, weight * toxic
+        n, t = clean[0] + toxic[0] + n0 + n1, toxic[0] + n1
+        model = LabelModel(min(0.9, max(1e-3, (t + 1) / (n + 2))), rates(toxic[1:] + f1, t), rates(clean[1:] + f0, n - t), silent)
+    model.share = share
+    return model
 
+
+def _shares(patterns: DataFrame, model: LabelModel, width: int) -> np.ndarray:
+    """Weight left to each voter: one over one plus its residual correlations, given the label, with those that repeat it."""
     def second(b):
         votes, n = stack(b.column("votes"), width), np.asarray(b.column("n").to_pylist(), float)
         p = model.posterior(votes)
@@ -216,13 +241,11 @@ def fit_label_model(patterns: DataFrame, seen: np.ndarray, width: int, rounds: i
         return np.vstack(out)
 
     moments = matrix_sum(patterns, (2 * width, width), second)
-    repeated = np.zeros((width, width))
-    for m in (moments[:width], moments[width:]):
-        d = np.sqrt(np.maximum(np.diag(m), 1e-9))
-        repeated = np.maximum(repeated, np.clip(m / np.outer(d, d), 0, 1))
+    repeated = moments[width:]  # among texts held toxic: clean ones hardly fire a voter
+    d = np.sqrt(np.maximum(np.diag(repeated), 1e-9))
+    repeated = np.clip(repeated / np.outer(d, d), 0, 1)
     np.fill_diagonal(repeated, 0)
-    model.share = 1 / (1 + np.where(repeated > 0.25, repeated, 0).sum(1))
-    return model
+    return 1 / (1 + np.where(repeated > 0.8, repeated, 0).sum(1))
 
 
 def _inputs(hits: np.ndarray) -> np.ndarray:
@@ -233,7 +256,10 @@ def _inputs(hits: np.ndarray) -> np.ndarray:
 
 
 def fit_classifier(rows: DataFrame, width: int, label_model: LabelModel, penalty: float = 1.0, steps: int = NEWTON) -> np.ndarray:
-    """Logistic regression on the label model's posterior of each row (hits), by Newton steps on partition sums."""
+    """Logistic regression on each row's posterior label, by Newton steps on partition sums.
+
+    The posterior of a row (hits, label) with a label is the label, of any other what the label model says.
+    """
     size = 3 * width + 1
     w = np.zeros(size)
     ridge = np.full(size, penalty)
@@ -242,6 +268,8 @@ def fit_classifier(rows: DataFrame, width: int, label_model: LabelModel, penalty
         def step(b, w=w):
             hits = stack(b.column("hits"), width + 1)
             x, y = _inputs(hits), label_model.posterior((hits[:, :-1] > 0).astype(float))
+            known = np.array([np.nan if k is None else k for k in b.column("label").to_pylist()], float)
+            y = np.where(np.isnan(known), y, known)
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             return np.vstack([(x * (p * (1 - p) + 1e-6)[:, None]).T @ x, x.T @ (y - p)])
         sums = matrix_sum(rows, (size + 1, size), step)
@@ -263,17 +291,18 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT
     """
     texts = doc_bytes(docs, id_remainder(held_out).cast("int").alias("remainder"))
     marked = labels.filter("toxic IS NOT NULL").select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("label"))
-    teach = texts.filter(F.col("remainder") != remainder)
-    taught = teach.join(marked, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
-    voters = Voters(mined_units(taught))
+    teaching = marked.filter(id_remainder(held_out, "_id") != remainder)
+    voters = Voters(mined_units(texts, teaching))
     run, width = _votes(voters)
     rows = stored(texts.mapInArrow(run, "doc_id long, remainder int, hits binary"), "toxicity-votes")
-    training = rows.filter(F.col("remainder") != remainder)
+    training = stored(rows.filter(F.col("remainder") != remainder).join(marked, F.col("doc_id") == F.col("_id"), "left")
+                      .select("hits", "label"), "toxicity-training")
 
     def firings(b):
         hits, y = stack(b.column("hits"), width + 1), np.asarray(b.column("label").to_pylist(), float)
         fired = (hits[:, :-1] > 0).astype(float)
-        return np.vstack([np.append((1 - y).sum(), (1 - y) @ fired), np.append(y.sum(), y @ fired)])
+        none = ~fired.any(1)
+        return np.vstack([[(1 - y).sum(), *((1 - y) @ fired), (1 - y) @ none], [y.sum(), *(y @ fired), y @ none]])
 
     def patterns_of(batches):
         for b in batches:
@@ -282,7 +311,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in votes.astype(float)], pa.binary()), pa.array(n, pa.int64())],
                                              names=["votes", "n"])
 
-    seen = matrix_sum(training.join(marked, F.col("doc_id") == F.col("_id")), (2, width + 1), firings)
+    seen = matrix_sum(training.filter("label IS NOT NULL"), (2, width + 2), firings)
     patterns = stored(training.mapInArrow(patterns_of, "votes binary, n long").groupBy("votes").agg(F.sum("n").alias("n")), "toxicity-patterns")
     label_model = fit_label_model(patterns, seen, width)
     weights = fit_classifier(training, width, label_model)

@@ -59,7 +59,7 @@ def test_label_model_shares_weight_among_copied_voters(spark):
     votes = np.stack([a, a, a, b, c], 1)
     patterns, n = np.unique(votes, axis=0, return_counts=True)
     df = spark.createDataFrame([(bytearray(p.astype(float).tobytes()), int(k)) for p, k in zip(patterns, n)], "votes binary, n long")
-    seen = np.array([[70, 4, 4, 4, 7, 1], [30, 21, 21, 21, 18, 15]], float)
+    seen = np.array([[70, 4, 4, 4, 7, 1, 59], [30, 21, 21, 21, 18, 15, 2]], float)
     model = T.fit_label_model(df, seen, 5)
     assert model.share[:3].max() < 0.5 < model.share[3:].min()
     assert model.toxic[0] == pytest.approx(0.7, abs=0.1) and model.clean[0] == pytest.approx(0.05, abs=0.04)
