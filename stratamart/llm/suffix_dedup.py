@@ -10,9 +10,10 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
 * A context that occurs twice repeats as a whole. An anchor with one occurrence
   repeats nothing. Only anchors with several different contexts are open; of each
   of their contexts one copy goes on.
-* Open contexts meet by anchor. A suffix array over them, sorted within each
-  alignment to the anchor, with longest common prefixes, is scanned with a stack
-  for intervals of common prefixes of at least ``length``; those whose
+* Open contexts meet by anchor. Their suffixes are sorted for each distance from
+  the anchor, the next distance by induced sorting from the last, and the longest
+  common prefixes of neighbours are kept. These enhanced suffix arrays are scanned
+  with a stack for intervals of common prefixes of at least ``length``; those whose
   occurrences have different bytes to the left are the maximal repeat groups,
   given with all occurrences. The union of the occurrences is what repeats.
 * An anchor with more than GROUP different contexts, such as a line in a third
@@ -39,7 +40,10 @@ LENGTH = 200
 PIECE = 48
 SEGMENT = 1_000_000
 CHUNK = 262_144
-GROUP = 1000
+GROUP = 20_000
+BATCH = 2_000_000
+BLOCK = 8_000_000
+HELD = 300_000
 COVERED, OPEN, HOT = 1, 2, 4
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -307,60 +311,59 @@ def _repeated_keys(key, table):
     return _table(rows, ("block", pa.int32()), ("keys", pa.binary()))
 
 
-class SuffixArray:
-    """Suffixes of a joined text within its parts, in order, with exact common prefixes of neighbours.
+def aligned_suffix_arrays(family: np.ndarray, lefts: np.ndarray, contexts: list[bytes]):
+    """Suffix arrays of contexts, one for each distance d of the suffix from the anchor, d = 0, 1, 2, ...
 
-    ``ranks[k]`` orders all positions by their next FIRST * 2**k bytes, cut at the
-    part's end; doubling goes on until it spans the longest part.
+    Yield (d, order, shared): the contexts with at least d bytes before the anchor,
+    sorted by family and by their bytes from d before the anchor on, and how many
+    bytes each shares with the one before it (0 across families). The array of d
+    follows from that of d - 1 by induced sorting: a stable sort by the byte added in
+    front. Two neighbours with the same new byte share one byte more than the least
+    that was shared anywhere between them, a range minimum.
     """
-
-    FIRST = 8
-
-    def __init__(self, data: np.ndarray, rest: np.ndarray):
-        n = len(data)
-        self.rest, self.data = rest, data
-        padded = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(self.FIRST, np.uint64)])
-        low, high = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        for i in range(self.FIRST):  # nine bits a byte: what lies beyond the part counts as less than any byte
-            digit = np.where(rest > i, padded[i:i + n], np.uint64(0))
-            if i < 4:
-                high = (high << np.uint64(9)) | digit
-            else:
-                low = (low << np.uint64(9)) | digit
-        self.ranks = [self._rank(high, low)] if n else [np.zeros(0, np.int64)]
-        span, longest = self.FIRST, int(rest.max()) if n else 0
-        while span < longest:
-            last = self.ranks[-1]
-            beyond = np.zeros(n, np.int64)
-            inside = rest > span
-            beyond[inside] = last[np.flatnonzero(inside) + span] + 1
-            self.ranks.append(self._rank(last.astype(np.uint64), beyond.astype(np.uint64)))
-            span *= 2
-
-    @staticmethod
-    def _rank(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        order = np.lexsort((second, first))
-        a, b = first[order], second[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        out = np.empty(len(a), np.int64)
-        out[order] = np.cumsum(new) - 1
+    n = len(contexts)
+    tails = [c[l:] for c, l in zip(contexts, lefts.tolist())]
+    heads = [c[:l][::-1] for c, l in zip(contexts, lefts.tolist())]
+    order = np.array(sorted(range(n), key=lambda i: (family[i], tails[i])), np.int64)
+    sizes = np.array([len(t) for t in tails])
+    width, depth = int(sizes.max()), int(lefts.max())
+    after = np.frombuffer(b"".join(t.ljust(width, b"\0") for t in tails), np.uint8).reshape(n, width)
+    ahead = np.frombuffer(b"".join(h.ljust(depth + 1, b"\0") for h in heads), np.uint8).reshape(n, depth + 1)
+    shared = np.zeros(n, np.int64)
+    if n > 1:
+        x, y = order[:-1], order[1:]
+        differ = after[x] != after[y]
+        first = np.where(differ.any(1), differ.argmax(1), width)
+        shared[1:] = np.where(family[x] == family[y], np.minimum(first, np.minimum(sizes[x], sizes[y])), 0)
+    yield 0, order, shared
+    small = family.astype(np.uint16) if family.max() < 65536 else family
+    for d in range(1, depth + 1):
+        at = np.flatnonzero(lefts[order] >= d)
+        byte = ahead[order, d - 1]
+        at = at[np.argsort(byte[at], kind="stable")]
+        at = at[np.argsort(small[order[at]], kind="stable")]
+        x, y = at[:-1], at[1:]
+        same = np.flatnonzero((byte[x] == byte[y]) & (family[order[x]] == family[order[y]]))
+        grown = np.zeros(len(at), np.int64)
+        grown[same + 1] = 1 + _range_minimum(shared, x[same] + 1, y[same] + 1)
+        order, shared = order[at], grown
+        yield d, order, shared
+
+
+def _range_minimum(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Least of ``values[first:end]`` for each pair, from minima over powers of two."""
+    out = np.empty(len(first), values.dtype)
+    if not len(first):
         return out
-
-    def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Longest common prefixes of the suffixes at x and y, within their parts."""
-        most = np.minimum(self.rest[x], self.rest[y])
-        got = np.zeros(len(x), np.int64)
-        for k in range(len(self.ranks) - 1, -1, -1):
-            step = self.FIRST << k
-            may = np.flatnonzero(got + step <= most)
-            same = self.ranks[k][x[may] + got[may]] == self.ranks[k][y[may] + got[may]]
-            got[may[same]] += step
-        for _ in range(self.FIRST - 1):
-            may = np.flatnonzero(got < most)
-            may = may[self.data[x[may] + got[may]] == self.data[y[may] + got[may]]]
-            got[may] += 1
-        return got
+    power = np.frexp((end - first).astype(float))[1] - 1
+    table = values
+    for k in range(int(power.max()) + 1):
+        if k:
+            half = 1 << (k - 1)
+            table = np.minimum(table[:-half], table[half:])
+        own = np.flatnonzero(power == k)
+        out[own] = np.minimum(table[first[own]], table[end[own] - (1 << k)])
+    return out
 
 
 def common_prefix_intervals(prefixes: np.ndarray, least: int):
@@ -386,32 +389,28 @@ def maximal_repeats(anchors: np.ndarray, lefts: np.ndarray, contexts: list[bytes
     is maximal if its occurrences continue differently to the right and have
     different bytes, or none within the context, to the left.
     """
-    sizes = np.array([len(c) for c in contexts])
-    starts = np.cumsum(sizes) - sizes
-    data = np.frombuffer(b"".join(contexts), np.uint8)
-    part = np.repeat(np.arange(len(contexts)), sizes)
-    inside = np.arange(len(data)) - starts[part]
-    rest = sizes[part] - inside
-    array = SuffixArray(data, rest)
     _, family = np.unique(anchors, return_inverse=True)
-    may = np.flatnonzero((rest >= length) & (inside <= lefts[part]))  # windows that hold the anchor
-    depth = lefts[part[may]] - inside[may]
-    alignment = family[part[may]] * (int(depth.max(initial=0)) + 1) + depth
-    order = np.lexsort((array.ranks[-1][may], alignment))
-    suffixes, alignment = may[order], alignment[order]
-    shared = np.zeros(len(suffixes), np.int64)
-    pairs = np.flatnonzero(alignment[1:] == alignment[:-1])
-    shared[pairs + 1] = array.common(suffixes[pairs], suffixes[pairs + 1])
-    shared[shared < length] = 0
-    before = np.where(inside[suffixes] > 0, data[suffixes - 1].astype(np.int64), -1 - np.arange(len(suffixes)))
-    changes = np.cumsum(np.concatenate([[0], before[1:] != before[:-1]]))
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], (shared > 0).astype(np.int8), [0]])))
-    for lo, hi in zip(edges[::2], edges[1::2]):  # runs of neighbours that share enough
-        for first, last, common in common_prefix_intervals(np.concatenate([[0], shared[lo:hi]]), length):
-            first, last = lo - 1 + first, lo - 1 + last
-            if changes[last] > changes[first]:
-                own = suffixes[first:last + 1]
-                yield part[own], inside[own], common
+    ahead = [c[:l][::-1] for c, l in zip(contexts, lefts.tolist())]
+    depth = int(lefts.max()) + 1
+    before_all = np.frombuffer(b"".join(h.ljust(depth, b"\0") for h in ahead), np.uint8).reshape(len(contexts), depth)
+    for d, order, shared in aligned_suffix_arrays(family, lefts, contexts):
+        enough = shared >= length
+        if not enough.any():
+            continue
+        before = np.where(lefts[order] > d, before_all[order, min(d, depth - 1)].astype(np.int64), -1 - np.arange(len(order)))
+        changes = np.cumsum(np.concatenate([[0], before[1:] != before[:-1]]))
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], enough.astype(np.int8), [0]])))
+        lows, highs = edges[::2], edges[1::2]  # runs of neighbours that share enough
+        diverse = changes[highs - 1] > changes[lows - 1]
+        for lo, hi in zip(lows[diverse].tolist(), highs[diverse].tolist()):
+            inner = shared[lo:hi]
+            least = int(inner.min())
+            flat = least == int(inner.max())
+            for first, last, common in [(0, hi - lo, least)] if flat else common_prefix_intervals(np.concatenate([[0], inner]), length):
+                first, last = lo - 1 + first, lo - 1 + last
+                if changes[last] > changes[first]:
+                    own = order[first:last + 1]
+                    yield own, lefts[own] - d, common
 
 
 def _intervals(length: int):
@@ -424,20 +423,29 @@ def _intervals(length: int):
         places = np.concatenate(_numbers(table.column("starts"), np.int64))
         contexts = table.column("context").to_pylist()
         edges = np.flatnonzero(np.diff(anchors, prepend=anchors[0] - 1 if anchors[0] > -2**63 else anchors[0] + 1)).tolist() + [len(anchors)]
-        out, lo = [], 0
-        while lo < len(anchors):  # about a megabyte of whole anchor groups at a time
+        out, held, lo = [], 0, 0
+
+        def compact():
+            own, starts, ends = (np.concatenate([x[i] for x in out]) for i in range(3))
+            return [_merged(own, starts, ends)]
+
+        while lo < len(anchors):  # some megabytes of whole anchor groups at a time
             hi, held = lo, 0
             for e in edges:
-                if e > lo and (hi == lo or held < SEGMENT):
+                if e > lo and (hi == lo or held < BATCH):
                     held += sum(map(len, contexts[hi:e]))
                     hi = e
             for own, at, common in maximal_repeats(anchors[lo:hi], lefts[lo:hi], contexts[lo:hi], length):
                 start = places[lo + own] - lefts[lo + own] + at
                 out.append((lo + own, start, start + common))
+                held += len(own)
+                if held >= HELD:
+                    out = compact()
+                    held = len(out[0][0]) // 2
             lo = hi
         if not out:
             return _table([], ("block", pa.int32()), ("refs", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary()))
-        own, starts, ends = (np.concatenate([x[i] for x in out]) for i in range(3))
+        own, starts, ends = compact()[0]
         rows = []
         for b in np.unique(blocks[own]):
             mine = blocks[own] == b
@@ -498,7 +506,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, piece: int = PIECE)
     carried along; a repeated row repeats its text, so all its windows go. Extra
     columns are ignored; an empty table gives no rows.
     """
-    blocks = block_count(docs)
+    blocks = block_count(docs, block_bytes=BLOCK)
     rows = doc_bytes(docs).withColumn("block", block_of(blocks))
     dealt = rows.repartition(partitions_of(docs.sparkSession), "block")
     pairs = dealt.groupBy("block").applyInArrow(_send(length, piece, blocks), _PAIRS)

@@ -73,28 +73,46 @@ def test_long_texts_are_cut_into_overlapping_segments(monkeypatch):
     assert cut == set(whole)
 
 
-def test_suffix_array_and_intervals():
+def common(a, b):
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def test_aligned_suffix_arrays():
     rnd = random.Random(7)
-    parts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 40))) for _ in range(12)]
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    rest = np.concatenate([np.arange(len(p), 0, -1) for p in parts])
-    array = S.SuffixArray(data, rest)
-    suffix = [p[i:] for p in parts for i in range(len(p))]
-    order = np.argsort(array.ranks[-1], kind="stable")
-    assert [suffix[i] for i in order] == sorted(suffix)
-    want = [next((k for k, (a, b) in enumerate(zip(suffix[x], suffix[y])) if a != b), min(len(suffix[x]), len(suffix[y]))) for x, y in zip(order, order[1:])]
-    shared = array.common(order[:-1], order[1:])
-    assert shared.tolist() == want
-    got = set(S.common_prefix_intervals(np.concatenate([[0], shared]), 3))
-    brute_intervals = set()
-    for i in range(len(order)):
-        for j in range(i + 1, len(order)):
-            least = min(want[i:j])
-            if least >= 3 and (i == 0 or want[i - 1] < least) and (j == len(order) - 1 or want[j] < least):
-                brute_intervals.add((i, j, least))
-    assert got == brute_intervals
-    strings = Counter(s[:k] for s in suffix for k in range(3, len(s) + 1))
+    contexts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(8, 30))) for _ in range(60)]
+    lefts = np.array([rnd.randint(0, min(8, len(c) - 1)) for c in contexts])
+    family = np.array([rnd.randrange(4) for _ in contexts])
+    for d, order, shared in S.aligned_suffix_arrays(family, lefts, contexts):
+        suffix = {i: (family[i], contexts[i][lefts[i] - d:]) for i in range(60) if lefts[i] >= d}
+        assert sorted(order.tolist()) == sorted(suffix)
+        rows = [suffix[i] for i in order.tolist()]
+        assert rows == sorted(rows)
+        assert shared.tolist() == [0] + [common(x[1], y[1]) if x[0] == y[0] else 0 for x, y in zip(rows, rows[1:])]
+    assert d == lefts.max()
+
+
+def test_common_prefix_intervals():
+    rnd = random.Random(8)
+    words = sorted(bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 12))) for _ in range(80))
+    shared = [common(a, b) for a, b in zip(words, words[1:])]
+    got = set(S.common_prefix_intervals(np.array([0, *shared]), 3))
+    want = set()
+    for i in range(len(words)):
+        for j in range(i + 1, len(words)):
+            least = min(shared[i:j])
+            if least >= 3 and (i == 0 or shared[i - 1] < least) and (j == len(words) - 1 or shared[j] < least):
+                want.add((i, j, least))
+    assert got == want
+
+
+def test_maximal_repeats_have_all_occurrences_and_different_bytes_before():
     groups = list(S.maximal_repeats(np.zeros(4, np.int64), np.array([3, 3, 3, 3]), [b"xyzHELLOab", b"wyzHELLOcd", b"wyzHELLOce", b"qqqHELLOzz"], 5))
-    assert {(tuple(sorted(own.tolist())), int(at[0]), common) for own, at, common in groups} == {
-        ((0, 1, 2), 1, 7), ((0, 1, 2, 3), 3, 5), ((1, 2), 0, 9)}
-    assert strings
+    assert {(tuple(sorted(own.tolist())), int(at[0]), n) for own, at, n in groups} == {((0, 1, 2), 1, 7), ((0, 1, 2, 3), 3, 5), ((1, 2), 0, 9)}
+
+
+def test_range_minimum():
+    rng = np.random.default_rng(0)
+    v = rng.integers(0, 100, 200)
+    first = rng.integers(0, 199, 300)
+    end = first + 1 + rng.integers(0, 200, 300) % (200 - first)
+    assert S._range_minimum(v, first, end).tolist() == [int(v[a:b].min()) for a, b in zip(first, end)]
