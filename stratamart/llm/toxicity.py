@@ -91,13 +91,13 @@ def _unit_counts(batches):
                                           pa.array([counts[0][u] for u in units], pa.int64())], names=["unit", "a", "b"])
 
 
-def mined_units(texts: DataFrame, marked: DataFrame, size: int = MINED, rows: int = MINING_ROWS, least: float = 1.0) -> list[str]:
+def mined_units(texts: DataFrame, marked: DataFrame, size: int = MINED, rows: int = MINING_ROWS, least: float = 1.5) -> list[str]:
     """Words and word beginnings that speak most for toxicity, by log odds less two deviations.
 
     ``texts`` has doc_id and text, ``marked`` _id and label. At most about ``rows``
     labels are used, chosen by a hash of the id; being that few, they are broadcast
     and the texts are not shuffled. Of a set of near copies one counts. Of units that
-    are beginnings of each other the best stays.
+    are beginnings of each other the best stays. A unit of fewer than five toxic texts is no unit.
     """
     ring = 1_000_000
     share = min(1.0, rows / max(1, marked.count()))
@@ -109,7 +109,7 @@ def mined_units(texts: DataFrame, marked: DataFrame, size: int = MINED, rows: in
         return []
     odds = F.log((F.col("a") + 0.5) / (F.lit(n1) - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (F.lit(n0) - F.col("b") + 0.5))
     deviation = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    best = (counts.filter("a >= 3").withColumn("low", odds - 2 * deviation).filter(F.col("low") > least)
+    best = (counts.filter("a >= 5").withColumn("low", odds - 2 * deviation).filter(F.col("low") > least)
                   .orderBy(F.desc("low"), F.length("unit"), "unit").limit(40 * size))
     kept: list[str] = []
     for r in best.collect():
