@@ -13,9 +13,8 @@ or failure arcs until there is one, and adds up log10 weights.
 
 No task holds the whole model. Texts are dealt into blocks of bounded size. A
 block sends its different runs, as sorted 64-bit keys with training counts, to
-buckets by key; a bucket adds them up over all blocks and answers a block only
-where the sum differs from the block's own count, so a run that occurs in one
-block alone travels once. The block builds the part of the automaton its own
+buckets by key; a bucket adds them up over all blocks and answers with what each
+count lacks, in the order it was sent, which packs to little. The block builds the part of the automaton its own
 texts can reach and walks it. A run that fills a third of the corpus is one entry
 per block.
 
@@ -34,17 +33,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, block_count, block_of, doc_bytes, id_remainder, mix64, partitions_of
+from .common import block_count, block_of, doc_bytes, id_remainder, mix64, partitions_of
 
 ORDER = 2
 STRENGTH = 5.0
+SLICE_TOKENS = 400_000
+BLOCK_BYTES = 6_000_000
 HELD_OUT, HELD_REMAINDER = 5, 1
 START, END = 0, 1  # token numbers in every block; their keys are not hashes of words
 _MARK_KEYS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
 _MULTIPLY = np.uint64(0xD6E8FEB86659FD93)
 
 _GRAMS = "bucket int, block int, size int, keys binary, counts binary"
-_TOTALS = "block int, size int, keys binary, counts binary"
+_TOTALS = "block int, bucket int, size int, more binary"
 _SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -79,7 +80,7 @@ class BlockGrams:
 
     ``at[k]`` numbers the run of k + 1 tokens that ends at each token (-1 at the
     start mark, or where the text is too short); ``prefix[k]`` and ``suffix[k]``
-    give the runs of k tokens it begins and ends with.
+    give the runs of k tokens it begins and ends with, ``last[k]`` its last token.
     """
 
     def __init__(self, texts: list[bytes], training: np.ndarray, order: int):
@@ -98,8 +99,10 @@ class BlockGrams:
             self.tokens[inside] = np.concatenate(words)
         train = np.repeat(training, self.sizes)
         n_words = len(vocabulary) + 2
+        del words
         hashes = np.concatenate([_MARK_KEYS, np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary), np.uint64, len(vocabulary))])
-        self.at, self.keys, self.counts, self.prefix, self.suffix = [self.tokens], [hashes], [], [None], [None]
+        del vocabulary, number
+        self.at, self.keys, self.counts, self.prefix, self.suffix, self.last = [self.tokens], [hashes], [], [None], [None], [None]
         self.counts.append(np.bincount(self.tokens[train], minlength=n_words))
         self.n_words = n_words
         for _ in range(1, order):
@@ -115,22 +118,19 @@ class BlockGrams:
             self.counts.append(np.bincount(inverse[train[fits]], minlength=len(runs)))
             self.prefix.append(before[where])
             self.suffix.append(shorter[where])
+            self.last.append(self.tokens[where])
             self.at.append(at)
             self.keys.append(keys)
 
-    def learn(self, size: int, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Replace the local counts of the runs with these keys by totals."""
-        own = self.keys[size]
-        order = np.argsort(own)
-        place = np.searchsorted(own, keys, sorter=order)
-        self.counts[size][order[place]] = counts
-
-    def tokens_of(self, k: int) -> np.ndarray:
-        """Last token of each run of k + 1 tokens."""
-        out = np.empty(len(self.keys[k]), np.int64)
-        ends = self.at[k] >= 0
-        out[self.at[k][ends]] = self.tokens[ends]
-        return out
+    def by_bucket(self, size: int, buckets: int):
+        """Run numbers in key order, and (bucket, first, end) of each bucket's share of that order. No start mark."""
+        keys = self.keys[size]
+        by = np.argsort(keys)
+        if size == 0:
+            by = by[by != START]
+        bucket = ((keys[by] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(2**63))).tolist()
+        return by, [(int(bucket[lo]), lo, hi) for lo, hi in zip(edges, [*edges[1:], len(by)])]
 
 
 class Automaton:
@@ -162,41 +162,52 @@ class Automaton:
                 self.fail[own[seen]] = self.state_of[k - 1][grams.suffix[k][seen]]
             self.fail_weight[own[seen]] = np.log10(strength / (context[k][seen] + strength))
         self.root_target = self.state_of[0] if order > 1 else np.zeros(grams.n_words, np.int64)
-        arcs, weights, targets = [], [], []
-        for k in range(1, order):
-            seen = np.flatnonzero(c[k] > 0)
-            last = grams.tokens_of(k)[seen]
-            arcs.append(self.state_of[k - 1][grams.prefix[k][seen]] * grams.n_words + last)
-            weights.append(np.log10(p[k][seen]))
-            targets.append(self.state_of[k][seen] if k < order - 1 else self.state_of[k - 1][grams.suffix[k][seen]])
-        join = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-        self.weights, self.targets = join(weights, float).tolist(), join(targets, np.int64).tolist()
-        self.arcs = dict(zip(join(arcs, np.int64).tolist(), range(len(self.weights))))
-        self.width = grams.n_words
-
-    def lists(self):
-        return self.root_weight.tolist(), self.root_target.tolist(), self.fail.tolist(), self.fail_weight.tolist()
-
-    def scores(self, texts) -> list[float]:
-        """log10 probability of each token row, read from left to right."""
-        root_weight, root_target, fail, fail_weight = self.lists()
-        arc, weights, targets, width = self.arcs.get, self.weights, self.targets, self.width
-        out = []
-        for tokens in texts:
-            state, total = self.start, 0.0
-            for w in tokens.tolist():
-                while state:
-                    a = arc(state * width + w)
-                    if a is not None:
-                        total += weights[a]
-                        state = targets[a]
-                        break
-                    total += fail_weight[state]
-                    state = fail[state]
-                else:
-                    total += root_weight[w]
-                    state = root_target[w]
-            out.append(total)
+        self.grams, self.p, self.order, self.width = grams, p, order, grams.n_words
+
+    def _arcs(self, first: int, end: int) -> tuple[dict, list, list]:
+        """Arcs that the tokens from ``first`` to ``end`` can take: (state, token) -> number; weights; target states."""
+        g, arcs, weights, targets = self.grams, [], [], []
+        for k in range(1, self.order):
+            runs = np.unique(g.at[k][first:end])
+            runs = runs[runs >= 0]
+            runs = runs[g.counts[k][runs] > 0]
+            last = np.empty(0, np.int64) if not len(runs) else g.last[k][runs]
+            arcs.append(self.state_of[k - 1][g.prefix[k][runs]] * self.width + last)
+            weights.append(np.log10(self.p[k][runs]))
+            targets.append(self.state_of[k][runs] if k < self.order - 1 else self.state_of[k - 1][g.suffix[k][runs]])
+        if not arcs:
+            return {}, [], []
+        keys = np.concatenate(arcs).tolist()
+        return dict(zip(keys, range(len(keys)))), np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
+
+    def scores(self) -> list[float]:
+        """log10 probability of each text of the block, read from left to right, a slice of texts at a time."""
+        g = self.grams
+        root_weight, root_target = self.root_weight.tolist(), self.root_target.tolist()
+        fail, fail_weight, width = self.fail.tolist(), self.fail_weight.tolist(), self.width
+        starts = g.ends - g.sizes
+        out: list[float] = []
+        at = 0
+        while at < len(starts):
+            upto = max(at + 1, int(np.searchsorted(g.ends, starts[at] + SLICE_TOKENS, "right")))
+            arcs, weights, targets = self._arcs(int(starts[at]), int(g.ends[upto - 1]))
+            arc = arcs.get
+            for lo, hi in zip((starts[at:upto] + 1).tolist(), g.ends[at:upto].tolist()):
+                state, total = self.start, 0.0
+                for w in g.tokens[lo:hi].tolist():
+                    while state:
+                        a = arc(state * width + w)
+                        if a is not None:
+                            total += weights[a]
+                            state = targets[a]
+                            break
+                        total += fail_weight[state]
+                        state = fail[state]
+                    else:
+                        total += root_weight[w]
+                        state = root_target[w]
+                out.append(total)
+            at = upto
         return out
 
 
@@ -213,20 +224,16 @@ def _send(order: int, buckets: int):
         grams, rows = _block_grams(table, order), []
         block = key[0].as_py()
         for k in range(order):
-            keep = np.arange(len(grams.keys[k])) != START if k == 0 else np.ones(len(grams.keys[k]), bool)
-            keys, counts = grams.keys[k][keep], grams.counts[k][keep]
-            by = np.argsort(keys)
-            keys, counts = keys[by], counts[by]
-            bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(2**63)))
-            for lo, hi in zip(edges, [*edges[1:], len(keys)]):
-                rows.append((int(bucket[lo]), block, k, pack_keys(keys[lo:hi]), pack_counts(counts[lo:hi])))
+            by, shares = grams.by_bucket(k, buckets)
+            for bucket, lo, hi in shares:
+                rows.append((bucket, block, k, pack_keys(grams.keys[k][by[lo:hi]]), pack_counts(grams.counts[k][by[lo:hi]])))
         return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(
             (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "block", "size", "keys", "counts"])
     return run
 
 
 def _add(key, table):
+    """What each block's counts of the bucket's keys lack to the totals, in the order in which the block sent them."""
     out = []
     sizes = np.array(table.column("size").to_pylist())
     for size in np.unique(sizes):
@@ -237,31 +244,34 @@ def _add(key, table):
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)[inverse]
         at = 0
-        for block, own, local in zip(blocks, keys, counts):
-            total = totals[at:at + len(own)]
-            at += len(own)
-            news = total != local
-            if news.any():
-                out.append((block, int(size), pack_keys(own[news]), pack_counts(total[news])))
+        for block, local in zip(blocks, counts):
+            more = totals[at:at + len(local)] - local
+            at += len(local)
+            if more.any():
+                out.append((block, key[0].as_py(), int(size), pack_counts(more)))
     return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(
-        (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "size", "keys", "counts"])
+        (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["block", "bucket", "size", "more"])
 
 
-def _walk(order: int, strength: float, tokens: int, types: int):
+def _walk(order: int, buckets: int, strength: float, tokens: int, types: int):
     def run(texts, totals):
         table = _ordered(texts)
         grams = _block_grams(table, order)
-        for size, keys, counts in zip(*(totals.column(c).to_pylist() for c in ("size", "keys", "counts"))):
-            grams.learn(size, unpack_keys(keys), unpack_counts(counts))
+        answers = {(z, b): m for z, b, m in zip(*(totals.column(c).to_pylist() for c in ("size", "bucket", "more")))}
+        for k in range(order):
+            by, shares = grams.by_bucket(k, buckets)
+            for bucket, lo, hi in shares:
+                if (k, bucket) in answers:
+                    grams.counts[k][by[lo:hi]] += unpack_counts(answers[k, bucket])
         grams.counts[0][START] = grams.counts[0][END]  # each training text begins once, as it ends once
         automaton = Automaton(grams, order, strength, tokens, types)
-        rows = [grams.tokens[e - n + 1:e] for e, n in zip(grams.ends, grams.sizes)]
-        known = grams.counts[0] > 0
+        starts = grams.ends - grams.sizes  # start marks are not tokens of the text
+        base, known = automaton.root_weight[grams.tokens], (grams.counts[0] > 0)[grams.tokens].astype(np.int64)
+        base[starts], known[starts] = 0.0, 0
         return pa.table([
-            table.column("doc_id"), table.column("held_out"), pa.array([len(r) for r in rows], pa.int64()),
-            pa.array([int(known[r].sum()) for r in rows], pa.int64()), pa.array([tokens] * len(rows), pa.int64()),
-            pa.array([float(automaton.root_weight[r].sum()) for r in rows], pa.float64()),
-            pa.array(automaton.scores(rows), pa.float64())],
+            table.column("doc_id"), table.column("held_out"), pa.array(grams.sizes - 1, pa.int64()),
+            pa.array(np.add.reduceat(known, starts), pa.int64()), pa.array([tokens] * len(starts), pa.int64()),
+            pa.array(np.add.reduceat(base, starts), pa.float64()), pa.array(automaton.scores(), pa.float64())],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
@@ -300,4 +310,4 @@ def lm_scores(docs: DataFrame, order: int = ORDER, strength: float = STRENGTH, h
     sent = dealt.groupBy("block").applyInArrow(_send(order, blocks), _GRAMS)
     totals = sent.groupBy("bucket").applyInArrow(_add, _TOTALS)
     return dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
-        _walk(order, strength, tokens, types), _SCORES)
+        _walk(order, blocks, strength, tokens, types), _SCORES)

@@ -39,7 +39,8 @@ def result(df):
 
 
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
-def test_against_the_definition(spark, order):
+def test_against_the_definition(spark, monkeypatch, order):
+    monkeypatch.setattr(M, "SLICE_TOKENS", 100)
     rnd = random.Random(order)
     rows = [(i, " ".join(rnd.choice(["a", "B", "cc", f"w{rnd.randrange(30)}", "é"]) for _ in range(rnd.choice([0, 1, 2, 9, 60])))) for i in range(80)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
