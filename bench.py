@@ -20,7 +20,7 @@ HEADLINES = [
     "Q1_customer_360", "Q2_product_performance", "Q3_revenue_daily", "Q4_order_fulfillment",
     "Q5_executive_kpis", "Q6_customer_segments", "Q7_category_performance", "Q8_fulfillment_sla",
     "W1_latest_line", "D1_column_profile", "D9_partition_stats", "D13_constraint_report",
-    "D19_job_summary", "G3_trace", "G5_usage_lineage", "P13_token_table",
+    "D19_job_summary", "G3_trace", "G5_usage_lineage", "P13_token_table", "T3_stream_refresh",
 ]
 
 
