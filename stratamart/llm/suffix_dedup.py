@@ -91,7 +91,21 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def anchors_of(texts: list[bytes], length: int = LENGTH, piece: int = PIECE):
-    """Yield (text number, positions, hashes) of the anchors of every window, for texts of any size."""
+    """Yield (text number, positions, hashes) of the anchors of every window, for texts of any size, each position once."""
+    last, told = -1, np.zeros(0, np.int64)
+    for ref, start, at, hashes in _segments(texts, length, piece):
+        if ref == last:  # windows on both sides of a border may have the same anchor
+            told = told[told >= start]
+            new = ~np.isin(at, told)
+            at, hashes = at[new], hashes[new]
+            told = np.concatenate([told, at])
+        else:
+            last, told = ref, at
+        yield ref, at, hashes
+
+
+def _segments(texts, length, piece):
+    """Yield (text number, first byte, positions, hashes) of the anchors of the windows of every segment, in order."""
     span = length - piece + 1
     parts: list[tuple[int, int, bytes]] = []
     held = 0
@@ -125,7 +139,7 @@ def _anchors(parts, length, piece, span):
     edges = np.searchsorted(own, np.arange(len(parts) + 1))
     for i, (ref, start, _) in enumerate(parts):
         mine = at[edges[i]:edges[i + 1]]
-        yield ref, mine - starts[i] + start, hashes[mine]
+        yield ref, start, mine - starts[i] + start, hashes[mine]
 
 
 def context_of(text: bytes, at: int, length: int, piece: int) -> tuple[int, bytes]:

@@ -73,6 +73,29 @@ def test_long_texts_are_cut_into_overlapping_segments(monkeypatch):
     assert cut == set(whole)
 
 
+@pytest.mark.parametrize("segment", [7, 60, 300])
+def test_an_anchor_at_a_border_of_segments_is_told_once(monkeypatch, segment):
+    rnd = random.Random(3)
+    text = bytes(rnd.choice(b"abc ") for _ in range(5000))
+    told = lambda: sorted((r, p, h) for r, at, own in S.anchors_of([text, b"x" * 70, text], 50, 10) for p, h in zip(at.tolist(), own.tolist()))
+    whole = told()
+    monkeypatch.setattr(S, "SEGMENT", segment)
+    assert told() == whole
+
+
+def test_texts_of_several_segments_lose_only_what_repeats(spark):
+    rnd = random.Random(6)
+    n = S.SEGMENT + 150
+    text = rnd.randbytes(n + 300).hex()  # two borders, nothing repeats
+    passage = text[n - 200:n + 100]
+    df = spark.createDataFrame([(1, text), (2, "z" + passage + "z")], "doc_id long, text string")
+    spans = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in S.repeated_passages(df).collect()}
+    assert spans == {1: (len(text), 300, 1), 2: (302, 300, 1)}
+    kept = hashlib.sha256((text[:n - 200] + text[n + 100:]).encode()).hexdigest()
+    assert {r["kept_sha256"] for r in S.repeated_passages(df.filter("doc_id = 1")).collect()} == {hashlib.sha256(text.encode()).hexdigest()}
+    assert kept in {r["kept_sha256"] for r in S.repeated_passages(df).collect()}
+
+
 def common(a, b):
     return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
