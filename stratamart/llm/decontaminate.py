@@ -270,7 +270,8 @@ def _search(index: Index, threshold: float, least: float):
                 if held >= CHUNK_WORDS:
                     yield hits(ids, texts)
                     ids, texts, held = [], [], 0
-            yield hits(ids, texts)
+            if ids:
+                yield hits(ids, texts)
     return run
 
 

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from stratamart.llm import decontaminate as D
@@ -81,6 +82,18 @@ def test_question_and_answer_must_both_be_there(spark):
     assert {r["doc_id"] for r in D.drop_contaminated(docs, items).collect()} >= {1, 3, 4, 5, None}
 
 
+@pytest.mark.parametrize("held", [3, 5, 6, 100])
+def test_a_batch_may_end_with_a_full_chunk(monkeypatch, held):
+    items = made_items(random.Random(3), 20)
+    index = D.Index(items, [(i, t, x) for i, w in bm25(items).items() for t, x in w.items()])
+    texts = ["one two three", " ".join(D.words_of(f"{items[4][1]} {items[4][2]}")), "", "four five six seven eight nine"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([t.encode() for t in texts[:n]], pa.binary())], names=["doc_id", "text"])
+               for n in (4, 2, 0)]
+    monkeypatch.setattr(D, "CHUNK_WORDS", held)
+    found = [(r["doc_id"], r["item_id"]) for b in D._search(index, 0.9, 0.9)(iter(batches)) for r in b.to_pylist()]
+    assert found.count((1, 4)) == 2
+
+
 def test_messy_and_empty(spark, messy, empty, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     assert D.contaminated(messy, items).count() == 0 and D.contaminated(empty, items).count() == 0
