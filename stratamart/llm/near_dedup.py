@@ -102,7 +102,8 @@ def _sign(words: int):
                 if held >= ELEMENTS:
                     yield flush(ids, sets)
                     ids, sets, held = [], [], 0
-            yield flush(ids, sets)
+            if ids:
+                yield flush(ids, sets)
     return run
 
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stratamart.llm import components as G
@@ -76,6 +77,15 @@ def test_messy_and_empty(messy, messy_rows, empty):
     assert N.near_duplicates(empty, 2).count() == 0
 
 
+@pytest.mark.parametrize("held", [1, 2, 1000])
+def test_a_batch_may_end_with_a_full_chunk(monkeypatch, held):
+    monkeypatch.setattr(N, "ELEMENTS", held)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([b"a b c", b"", b"d e f g"][:n], pa.binary())], names=["doc_id", "text"])
+               for n in (3, 1, 0)]
+    rows = [(r["doc_id"], r["n"]) for b in N._sign(2)(iter(batches)) for r in b.to_pylist()]
+    assert rows == [(0, 2), (1, 0), (2, 3), (0, 2)]
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(1)
     errors = []
