@@ -8,9 +8,9 @@
    First each class is checked against the bucket minimum it shares most bands
    with; verified links give first components.
 3. A bucket that still holds several components is searched between them: its
-   smaller components are compared with all its members, in chunks, first by
-   signature, then by the 32-bit prefixes of all shingle hashes. A pair is
-   compared only in the first bucket it shares, and a class needs one link to
+   smaller components are compared with all its members, in cells of two bounded
+   parts, first by signature, then, of those near another, by the 32-bit prefixes
+   of all shingle hashes. A pair is compared only in the first bucket it shares, and a class needs one link to
    another component, so it names its two most similar members there. So no pair
    inside a component is ever formed, none across components is left out, and
    what leaves a task does not grow with the square of a group.
@@ -31,6 +31,9 @@ from .components import components
 
 SLOTS, BANDS = 128, 32
 CHUNK = 512
+PART = 2048
+CELL_BYTES = 16_000_000
+ROW_BYTES = 600  # of a member, without its shingles
 PERCENT = 80
 MARGIN = 0.17  # five standard deviations of an estimate of 0.8 from 128 slots
 ELEMENTS = 1_000_000
@@ -162,24 +165,40 @@ def _prefixes(batches):
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(cut, pa.binary())], names=["node", "prefixes"])
 
 
-def _across(percent: int):
-    least = percent / 100 - MARGIN
+def _near_rows(key, table, least: float, percent: int):
+    """Yield (row of a probe, rows of other components near it by signature) of one cell."""
+    band, low, high, apart, i, j = (k.as_py() for k in key)
+    probe, base = (table.column(c).to_numpy(zero_copy_only=False) for c in ("probe", "base"))
+    comp, n = (table.column(c).to_numpy() for c in ("component", "n"))
+    signed = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SLOTS)
+    inside = low == high and i == j and not apart  # a part against itself
+    against = np.arange(len(n)) if inside else np.flatnonzero(base)
+    for k in np.flatnonzero(probe if inside else ~base):
+        other = against[(comp[against] != comp[k]) & (100 * np.minimum(n[against], n[k]) >= percent * np.maximum(n[against], n[k]))]
+        equal = signed[other] == signed[k]
+        first = equal.reshape(len(other), BANDS, SLOTS // BANDS).all(2).argmax(1)
+        near = other[(equal.mean(1) >= least) & (first == band % BANDS)]
+        if len(near):
+            yield k, near
+
+
+def _hits(percent: int):
+    """The rows of a cell that are near another by signature; only these get their shingles."""
+    def run(key, table):
+        hit = np.zeros(table.num_rows, bool)
+        for k, near in _near_rows(key, table, percent / 100 - MARGIN, percent):
+            hit[k] = True
+            hit[near] = True
+        return table.filter(pa.array(hit))
+    return run
 
+
+def _across(percent: int):
     def run(key, table):
-        number = key[0].as_py() % BANDS
-        probe = table.column("probe").to_numpy(zero_copy_only=False)
         node, comp, n = (table.column(c).to_numpy() for c in ("node", "component", "n"))
-        signed = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, SLOTS)
-        prefixes = table.column("prefixes")
-        base, own = np.flatnonzero(~probe), {}
+        prefixes, own = table.column("prefixes"), {}
         u, v = [], []
-        for i in np.flatnonzero(probe):
-            other = base[(comp[base] != comp[i]) & (100 * np.minimum(n[base], n[i]) >= percent * np.maximum(n[base], n[i]))]
-            equal = signed[other] == signed[i]
-            first = equal.reshape(len(other), BANDS, SLOTS // BANDS).all(2).argmax(1)
-            near = other[(equal.mean(1) >= least) & (first == number)]
-            if not len(near):
-                continue
+        for i, near in _near_rows(key, table, percent / 100 - MARGIN, percent):
             for j in near:
                 if j not in own:
                     own[j] = np.frombuffer(prefixes[int(j)].as_py(), np.uint32)
@@ -201,21 +220,56 @@ def _across(percent: int):
     return run
 
 
+def _cells(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Members of mixed buckets, dealt to cells in which all pairs between components meet, each in one cell.
+
+    A bucket of up to CHUNK members is one cell. The members of a larger one are
+    divided by size of the set, so that similar sets are in the same or the next
+    division, by whether they are of the largest component, and by hash into parts
+    of at most about PART members and CELL_BYTES. A cell is a pair of parts, so its
+    size does not grow with the bucket. Two parts of the largest component never meet.
+    """
+    named = members.join(labels, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("component"))
+    room = F.lit(ROW_BYTES) + 4 * F.col("n")
+    sizes = named.groupBy("band", "component").agg(F.count("*").alias("c"), F.sum(room).alias("bytes"))
+    mixed = sizes.groupBy("band").agg(F.sum("c").alias("size"), F.sum("bytes").alias("bytes"), F.count("*").alias("parts"),
+                                      F.max_by("component", "c").alias("largest")).filter("parts > 1")
+    wide = 1.000001 * max(1.25, 100 / percent)
+    named = stored(named.join(mixed, "band").select(
+        "band", "node", "n", "component", (F.col("component") != F.col("largest")).alias("probe"),
+        ((F.col("size") <= CHUNK) & (F.col("bytes") <= CELL_BYTES)).alias("small"),
+        F.floor(F.log(F.col("n")) / F.log(F.lit(wide))).cast("int").alias("part")), "mixed-buckets")
+    parts = named.filter("NOT small").groupBy("band", "part", "probe").agg(F.count("*").alias("c"), F.sum(room).alias("bytes"))
+    parts = parts.select("band", "part", "probe", F.greatest(F.ceil(F.col("c") / PART), F.ceil(F.col("bytes") / CELL_BYTES)).cast("int").alias("k"))
+    others = parts.select("band", F.col("part").alias("part2"), F.col("probe").alias("probe2"), F.col("k").alias("k2"))
+    roles = parts.join(others, "band").filter("abs(part - part2) <= 1 AND (probe OR probe2)")
+    rows = named.join(roles, ["band", "part", "probe"], "left").filter("small OR k2 IS NOT NULL").join(classes.select("node", "signature"), "node")
+    own, last = F.pmod(F.xxhash64("node"), F.col("k")).cast("int"), F.col("k2") - 1
+    # the lower part of two of the same kind is the probe side, and of two kinds the one outside the largest component
+    side = F.when(F.col("probe") & F.col("probe2"), F.col("part") > F.col("part2")).otherwise(~F.col("probe"))
+    rows = (rows.withColumn("own", F.when(F.col("small"), F.lit(0)).otherwise(own))
+                .withColumn("other", F.explode(F.when(F.col("small"), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), last)))))
+    same = F.col("probe") & F.col("probe2") & (F.col("part") == F.col("part2"))
+    base = F.when(F.col("small"), F.lit(False)).when(same, F.col("own") > F.col("other")).otherwise(side)
+    flat = lambda x, y: F.when(F.col("small"), F.lit(-1)).when(F.col("base"), y).otherwise(x)
+    rows = rows.withColumn("base", base)
+    return rows.select("band", flat(F.col("part"), F.col("part2")).alias("low"), flat(F.col("part2"), F.col("part")).alias("high"),
+                       F.when(F.col("small"), F.lit(False)).otherwise(F.col("probe") != F.col("probe2")).alias("apart"),
+                       F.when(F.col("base"), F.col("other")).otherwise(F.col("own")).alias("i"),
+                       F.when(F.col("base"), F.col("own")).otherwise(F.col("other")).alias("j"),
+                       "base", "probe", "node", "component", "n", "signature")
+
+
+_CELL = ["band", "low", "high", "apart", "i", "j"]
+_CELLS = ("band long, low int, high int, apart boolean, i int, j int, base boolean, probe boolean, node long, component long, n long, "
+          "signature binary")
+
+
 def _pairs_across(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs between different components of a bucket that are likely linked."""
-    named = members.join(labels, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("component"))
-    sizes = named.groupBy("band", "component").agg(F.count("*").alias("c"))
-    mixed = sizes.groupBy("band").agg(F.sum("c").alias("size"), F.count("*").alias("parts"),
-                                      F.max_by("component", "c").alias("largest")).filter("parts > 1").drop("parts")
-    rows = (named.join(mixed, "band").join(classes.select("node", "signature"), "node")
-                 .join(sets.mapInArrow(_prefixes, "node long, prefixes binary"), "node"))
-    rows = rows.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
-    base = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn("probe", F.lit(False))
-    probes = (rows.filter("component <> largest").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-                  .withColumn("probe", F.lit(True)))
-    columns = ["band", "chunk", "node", "component", "n", "signature", "prefixes", "probe"]
-    both = base.select(columns).unionByName(probes.select(columns))
-    return both.groupBy("band", "chunk").applyInArrow(_across(percent), "u long, v long").distinct()
+    hits = _cells(members, labels, classes, percent).groupBy(*_CELL).applyInArrow(_hits(percent), _CELLS)
+    rows = hits.join(sets.mapInArrow(_prefixes, "node long, prefixes binary"), "node")
+    return rows.groupBy(*_CELL).applyInArrow(_across(percent), "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 2, percent: int = PERCENT) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from stratamart.llm import components as G
 from stratamart.llm import near_dedup as N
@@ -86,6 +87,39 @@ def test_a_batch_may_end_with_a_full_chunk(monkeypatch, held):
     assert rows == [(0, 2), (1, 0), (2, 3), (0, 2)]
 
 
+@pytest.mark.parametrize("large", [0, 300])
+def test_cells_are_bounded_and_hold_every_pair_once(spark, monkeypatch, large):
+    monkeypatch.setattr(N, "PART", 40)
+    monkeypatch.setattr(N, "CHUNK", 60)
+    rnd = random.Random(large)
+    rows = [(32 * b + 7, 1000 * b + i, int(10 * 1.3 ** rnd.uniform(0, 9))) for b, size in ((1, 700), (2, 50), (3, 1)) for i in range(size)]
+    members = spark.createDataFrame(rows, "band long, node long, n long").repartition(4)
+    labels = spark.createDataFrame([(i, 1000) for b, i, _ in rows if i < 1000 + large], "node long, component long")
+    classes = members.select("node", "n", F.lit(b"s").alias("signature"))
+    cells = defaultdict(list)
+    for r in N._cells(members, labels, classes, 80).collect():
+        cells[tuple(r[c] for c in N._CELL)].append(r)
+    assert max(len(c) for c in cells.values()) <= 2 * 2 * 40
+    pairs = Counter()
+    for (band, low, high, apart, i, j), c in cells.items():
+        inside = low == high and i == j and not apart
+        probes, base = [r for r in c if (r["probe"] if inside else not r["base"])], c if inside else [r for r in c if r["base"]]
+        pairs.update({(band, *sorted((x["node"], y["node"]))) for x in probes for y in base if x["component"] != y["component"]})
+    comp = {i: 1000 if i < 1000 + large else i for _, i, _ in rows}
+    want = {(x[0], *sorted((x[1], y[1]))) for x in rows for y in rows
+            if x[0] == y[0] and comp[x[1]] != comp[y[1]] and 100 * min(x[2], y[2]) >= 80 * max(x[2], y[2])}
+    assert want <= set(pairs) and set(pairs.values()) == {1}
+
+
+def test_large_buckets_in_small_cells_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(N, "PART", 5)
+    monkeypatch.setattr(N, "CHUNK", 4)
+    rnd = random.Random(3)
+    rows = [(n, " ".join([f"p{i}" for i in range(60)] + [f"x{rnd.randrange(4)}_{k}" for k in range(rnd.randint(6, 30))])) for n in range(160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert result(N.near_duplicates(df, 2)) == sorted(brute(rows, 2), key=str)
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(1)
     errors = []
