@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, lm_score, mixing, near_dedup, quality, secrets, suffix_dedup, toxicity
+from . import (chat_format, decontaminate, divergence, exact_dedup, html_extract, lm_score, mixing, near_dedup, quality, secrets,
+               spelling, suffix_dedup, toxicity)
 
 OWN_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -92,3 +93,46 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op9_repeats": op9_repeats, "op10_lm_score": op10_lm_score}
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT k, lang, source, unnest(terms) AS term FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT k) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+cells AS (SELECT g.lang, g.source, kept.term, coalesce(n.n, 0) AS n FROM groups g JOIN kept USING (lang)
+          LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+      FROM cells JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+      FROM (SELECT lang, term, sum(n) AS n FROM cells GROUP BY ALL) JOIN v USING (lang)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+telling AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, ((p.p - q.q) * (p.p - q.q)) // (p.p + q.q) AS value
+            FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (FROM pairs UNION ALL FROM telling) QUALIFY part = 'pair' OR rank <= 10"""
+
+QUERIES |= {"op11_spelling": op11_spelling, "op12_main_text": op12_main_text, "op13_divergence": op13_divergence}
+ORACLES |= {"op13_divergence": OP13_SQL}
