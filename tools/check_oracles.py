@@ -43,7 +43,7 @@ def kind(name: str) -> str:
     n = name.lower()
     if n.startswith(("timestamp",)):
         return "timestamp"
-    return {"bigint": "bigint", "long": "bigint", "string": "varchar", "varchar": "varchar",
+    return {"bigint": "bigint", "long": "bigint", "integer": "int", "string": "varchar", "varchar": "varchar",
             "hugeint": "hugeint"}.get(n, n)
 
 
