@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from stratamart.llm import divergence
 
@@ -40,28 +41,27 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.select("lang", "source", "part", "item", "value", "rank").collect())
 
 
-@pytest.mark.parametrize("blocks", [(64, 4096), (2, 3)])
+@pytest.mark.parametrize("blocks", [(64, None), (2, 7), (1, 1)])
 def test_against_definition(spark, sf_dir, blocks):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("lang in ('de', 'fr')")
     rows = [(r["lang"], r["source"], r["text"]) for r in docs.collect()]
-    got = rows_of(divergence.audit(docs, least_docs=4, group_block=blocks[0], term_block=blocks[1] * 40))
+    got = rows_of(divergence.audit(docs, least_docs=4, group_block=blocks[0], blocks=blocks[1]))
     assert got == brute(rows, 4) and {r[2] for r in got} == {"pair", "term"}
 
 
 @pytest.mark.parametrize("least", [1, 3, 1000])
 def test_messy(spark, messy, messy_rows, empty, least):
-    got = rows_of(divergence.audit(messy, least_docs=least, group_block=2, term_block=5))
+    got = rows_of(divergence.audit(messy, least_docs=least, group_block=2, blocks=3))
     assert got == brute([(r[2], r[3], r[1]) for r in messy_rows], least)
     assert divergence.audit(empty).count() == 0
 
 
 def test_counts_flush_when_full(spark, messy):
-    one = sorted(map(str, divergence.term_counts(messy).collect()))
-    assert one == sorted(map(str, divergence.term_counts(messy, held=3).collect()))
+    one = sorted(map(str, divergence.term_blocks(messy, 1, 3).collect()))
+    assert one == sorted(map(str, divergence.term_blocks(messy, 1, 3, held=3).collect()))
 
 
-def test_probability_beyond_long(spark):
-    from pyspark.sql import functions as F
+def test_probability_beyond_long():
     n, total, v = 9 * 10**17, 10**18, 10**6
-    row = spark.range(1).select(divergence.probability(F.lit(n), F.lit(total), F.lit(v)), divergence.probability(F.lit(1), F.lit(0), F.lit(0))).first()
-    assert row[0] == 1 + 10**9 * (n + 2) // (total + 2 * v) and row[1] is None
+    assert divergence.probabilities(np.array([n]), total, v)[0] == 1 + 10**9 * (n + 2) // (total + 2 * v)
+    assert divergence.probabilities(np.array([3]), 10, 4)[0] == 1 + 10**9 * 5 // 18
