@@ -57,5 +57,21 @@ def foreign_key_check(child: DataFrame, name: str, child_key: str, parent: DataF
     ).select(F.lit(name).alias("constraint_name"), F.lit("FOREIGN KEY").alias("constraint_type"), "*")
 
 
+def violating_keys(violations: DataFrame, name: str, keys: list[str], samples: int = 10) -> DataFrame:
+    """Up to ``samples`` keys of one violated constraint, those with the most rows first, then by the key's text.
+
+    ``violations`` has a row per violating key with its rows ``n``. The limit is the report's
+    and each task sends no more than that many rows.
+    """
+    text = F.concat_ws(",", *keys)
+    return violations.select(F.lit(name).alias("constraint_name"), text.alias("key"), "n").orderBy(F.desc("n"), "key").limit(samples)
+
+
+def repeated_keys(df: DataFrame, *key: str) -> DataFrame:
+    """Complete keys that occur more than once, with their rows."""
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    return key_counts(df, *key).where(complete & (F.col("n") > 1))
+
+
 def constraint_report(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)

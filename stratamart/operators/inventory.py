@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 
 from ..functions.display import layer_of, size_mb, table_kind
 from ..sources.tables import file_facts
+from ..sources.sinks import read_layout
 from ..types import SECTION_SCHEMAS
+from .skew import stored
 from .specs import TableSpec
 
 
@@ -35,6 +37,13 @@ def files_of(df: DataFrame, *group: Column, also: tuple[Column, ...] = ()) -> Da
     return df.groupBy(*group, *facts).agg(F.count("*").alias("rows"), *also)
 
 
+def stored_spec(spark: SparkSession, dataset: str, name: str, path: str) -> TableSpec:
+    """A stored table with the layout its writer recorded; nothing is filled in by hand."""
+    layout = read_layout(spark, path)
+    return TableSpec(dataset, name, spark.read.parquet(path), partition_column=next(iter(layout["partition_columns"]), None),
+                     cluster_columns=tuple(layout["sort_columns"]))
+
+
 def table_inventory(specs: list[TableSpec]) -> DataFrame:
     """One row per table or view: rows, bytes, columns and layout."""
     def one(s: TableSpec) -> DataFrame:
@@ -79,17 +88,34 @@ def overview(inventory: DataFrame, **section_counts: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
+# Column metadata keys: Spark's own for defaults, ours for what a schema has no place for.
+_DEFAULT, _GENERATED, _ROUNDING, _SYSTEM = "CURRENT_DEFAULT", "generation_expression", "rounding_mode", "system_defined"
+
+
+def _collation(t: T.DataType) -> str | None:
+    name = getattr(t, "collation", None) if isinstance(t, T.StringType) else None
+    return None if name in (None, "UTF8_BINARY") else name
+
+
 def column_inventory(spark: SparkSession, specs: list[TableSpec]) -> DataFrame:
-    """One row per column, from schemas alone."""
+    """One row per column with all its surveyed attributes, from schemas alone.
+
+    Defaults, generation expressions, rounding modes and system columns come from the field's
+    metadata; names that start with an underscore are hidden, as they are to folder scans.
+    """
     rows = []
+    yes = lambda x: "YES" if x else "NO"
     for s in specs:
         for i, f in enumerate(s.df.schema.fields):
             clustered = s.cluster_columns.index(f.name) + 1 if f.name in s.cluster_columns else None
-            rows.append((s.dataset, s.name, f.name, i + 1, "YES" if f.nullable else "NO",
-                         f.dataType.simpleString(), "YES" if f.name == s.partition_column else "NO", clustered))
+            m = f.metadata or {}
+            rows.append((s.dataset, s.name, f.name, i + 1, yes(f.nullable), f.dataType.simpleString(), yes(f.name == s.partition_column),
+                         clustered, yes(f.name.startswith("_")), yes(m.get(_SYSTEM)), "ALWAYS" if m.get(_GENERATED) else "NEVER",
+                         m.get(_GENERATED), m.get(_DEFAULT), _collation(f.dataType), m.get(_ROUNDING)))
     schema = T.StructType([SECTION_SCHEMAS["columns"][n] for n in (
-        "dataset_id", "table_name", "column_name", "ordinal_position", "is_nullable", "data_type",
-        "is_partitioning_column", "clustering_ordinal_position")])
+        "dataset_id", "table_name", "column_name", "ordinal_position", "is_nullable", "data_type", "is_partitioning_column",
+        "clustering_ordinal_position", "is_hidden", "is_system_defined", "is_generated", "generation_expression", "column_default",
+        "collation_name", "rounding_mode")])
     return spark.createDataFrame(rows, schema)
 
 
@@ -141,6 +167,51 @@ def json_paths(df: DataFrame, column: str) -> DataFrame:
         F.count("*").alias("present_rows"), F.count("v").alias("non_null_rows"))
 
 
+def json_tree(df: DataFrame, column: str) -> DataFrame:
+    """Every path of a JSON text column, of any depth: rows (field_path, data_type, n_values, n_null).
+
+    Values are parsed once into variants. Each round counts the values of a level by path and
+    type and opens its objects (``.key``) and arrays (``[]``) for the next, so the depth comes from the
+    data. A path that holds several types has a row for each; nulls are counted on all of them.
+    Text that is no JSON is reported as one path of type ``invalid``.
+    """
+    text = F.col(f"`{column}`")
+    first = df.where(text.isNotNull()).select(F.lit(column).alias("field_path"), F.try_parse_json(text).alias("v"))
+    level, counts = first, []
+    while True:
+        kind = F.when(F.col("v").isNull(), "invalid").otherwise(F.regexp_extract(F.schema_of_variant("v"), "^[A-Za-z_]+", 0))
+        seen = stored(level.groupBy("field_path", kind.alias("data_type")).agg(F.count("*").alias("n_values")), "json-paths")
+        counts.append(seen)
+        if seen.where(F.col("data_type").isin("OBJECT", "ARRAY")).isEmpty():
+            break
+        inner = level.where(F.schema_of_variant("v").startswith("OBJECT") | F.schema_of_variant("v").startswith("ARRAY"))
+        opened = inner.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()).toDF("pos", "key", "value"))
+        step = F.when(F.col("key").isNull(), "[]").otherwise(F.concat(F.lit("."), F.col("key")))
+        level = stored(opened.select(F.concat("field_path", step).alias("field_path"), F.col("value").alias("v")), "json-level")
+    found = reduce(DataFrame.unionByName, counts)
+    nulls = found.where("data_type = 'VOID'").select("field_path", F.col("n_values").alias("n_null"))
+    typed = found.where("data_type <> 'VOID'").join(nulls, "field_path", "full")
+    return typed.select("field_path", F.coalesce("data_type", F.lit("VOID")).alias("data_type"), F.coalesce("n_values", F.lit(0)).alias("n_values"),
+                        F.coalesce("n_null", F.lit(0)).alias("n_null"))
+
+
+# Fixed value: the partition of a table that has none.
+UNPARTITIONED = "__UNPARTITIONED__"
+
+
+def all_partition_stats(specs: list[TableSpec], partition_ids: dict[str, Column]) -> DataFrame:
+    """``partition_stats`` of many tables as one plan; tables without a partition column are one partition."""
+    return reduce(DataFrame.unionByName, [partition_stats(s.df, partition_ids.get(s.name, F.lit(UNPARTITIONED))).select(
+        F.lit(s.dataset).alias("dataset_id"), F.lit(s.name).alias("table_name"), "*") for s in specs if not s.is_view])
+
+
+def all_storage_stats(partitions: DataFrame) -> DataFrame:
+    """The statistics of many tables' partitions rolled up to one row per table."""
+    return partitions.groupBy("dataset_id", "table_name").agg(
+        F.sum("total_rows").alias("total_rows"), F.count("*").alias("total_partitions"),
+        F.sum("total_logical_bytes").alias("total_logical_bytes"), F.max("last_modified_time").alias("storage_last_modified_time"))
+
+
 def partition_stats(df: DataFrame, partition_id: Column) -> DataFrame:
     """Rows, bytes and last change per partition.
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
 from .skew import stored
 
 EDGE = ["upstream", "downstream", "transform"]
@@ -16,40 +17,69 @@ def edges_from(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFra
                                  "ordinal long, upstream string, downstream string, transform string")
 
 
-def _first_edge(edges: DataFrame, side: str) -> DataFrame:
-    """Per node, the edge with the least ordinal on the given side; unique on that side."""
-    best = F.min(F.struct("ordinal", *EDGE)).alias("e")
-    return edges.groupBy(F.col(side).alias("at")).agg(best).select("at", *[F.col(f"e.{c}") for c in EDGE])
+def _steps(edges: DataFrame, first_only: bool) -> DataFrame:
+    """Both directions in one table, from one pass: (side, at, next, edge), for ``first_only`` the first edge of a node."""
+    e = edges.select("ordinal", *EDGE) if first_only else edges.select(*EDGE)
+    both = e.select("*", F.inline(F.array(
+        F.struct(F.lit("up").alias("side"), F.col("downstream").alias("at")),
+        F.struct(F.lit("down").alias("side"), F.col("upstream").alias("at"))))).where(F.col("at").isNotNull())
+    if first_only:
+        best = F.min(F.struct("ordinal", *EDGE)).alias("e")
+        both = both.groupBy("side", "at").agg(best).select("side", "at", *[F.col(f"e.{c}") for c in EDGE])
+    return both.withColumn("next", F.when(F.col("side") == "up", F.col("upstream")).otherwise(F.col("downstream")))
 
 
-def _walk(starts: DataFrame, step: DataFrame, side: str, hops: int | None) -> DataFrame:
-    """Edges reached from every start, with the least number of hops, until no start reaches anything new.
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stored`` and how many rows it wrote, without a further job."""
+    seen = Observation()
+    return stored(df.observe(seen, F.count("*").alias("n")), name), seen.get["n"]
 
-    A round joins the newly reached (start, node) pairs with ``step`` and drops the
-    pairs reached before, which also ends every cycle. Each round's pairs and edges
-    are written, so the plan does not grow with the number of rounds.
+
+def _follow(starts: DataFrame, steps: DataFrame, hops: int | None) -> DataFrame:
+    """(side, start, node, hop) of every node on the one way on from each start, by doubling the jumps.
+
+    After k rounds the jump table holds each node's 2^k-th successor, so a chain of
+    any depth takes log2(depth) rounds of two joins. Jumps end when no chain is
+    that long. Where a cycle keeps them alive, a node is kept at its least hop and the
+    rounds end when they bring no new node.
     """
+    jump, left = steps.select("side", "at", "next"), 1
+    sides = starts.select(F.explode(F.array(F.lit("up"), F.lit("down"))).alias("side"), "start")
+    found, known = _counted(sides.distinct().withColumns({"node": F.col("start"), "hop": F.lit(0).cast("long")}), "walk")
+    length = 1
+    while left and (hops is None or length < hops):
+        ahead = found.join(jump.withColumnsRenamed({"at": "node", "next": "_next"}), ["side", "node"]).select(
+            "side", "start", F.col("_next").alias("node"), (F.col("hop") + length).alias("hop"))
+        found, now = _counted(found.unionByName(ahead).groupBy("side", "start", "node").agg(F.min("hop").alias("hop")), "walk")
+        if now == known:
+            break
+        known, length = now, 2 * length
+        onward = jump.select("side", F.col("at").alias("next"), F.col("next").alias("_far"))
+        jump, left = _counted(jump.join(onward, ["side", "next"]).select("side", "at", F.col("_far").alias("next")), "jump")
+    return found
+
+
+def _spread(starts: DataFrame, steps: DataFrame, hops: int | None) -> DataFrame:
+    """(side, start, node, hop) of every node reached over any edge, hop by hop, until no start reaches anything new."""
     spark = starts.sparkSession
-    frontier = starts.select("start", F.col("start").alias("node")).distinct()
-    reached = [stored(frontier, "reached")]
-    found, hop = [], 0
-    while hops is None or hop < hops:
+    sides = starts.select(F.explode(F.array(F.lit("up"), F.lit("down"))).alias("side"), "start")
+    paths = []
+
+    def keep(df: DataFrame) -> tuple[DataFrame, int]:
+        seen, path = Observation(), fresh_path(spark, "reached")
+        df.observe(seen, F.count("*").alias("n")).write.parquet(path)
+        paths.append(path)
+        return spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
+    new, n = keep(sides.distinct().withColumns({"node": F.col("start"), "hop": F.lit(0).cast("long")}))
+    schema, hop = new.schema, 0
+    while n and (hops is None or hop < hops - 1):
         hop += 1
-        edges = stored(reached[-1].join(step, F.col("node") == F.col("at")).select(
-            "start", F.lit(hop).cast("long").alias("hop"), *EDGE), "walk")
-        seen = reached[0]
-        for r in reached[1:]:
-            seen = seen.unionByName(r)
-        new = stored(edges.select("start", F.col(side).alias("node")).distinct().join(seen, ["start", "node"], "left_anti"), "reached")
-        found.append(edges)
-        if new.isEmpty():
-            break
-        reached.append(new)
-    schema = "start string, hop long, upstream string, downstream string, transform string"
-    out = spark.createDataFrame([], schema)
-    for f in found:
-        out = out.unionByName(f)
-    return out
+        reached = spark.read.schema(schema).parquet(*paths).select("side", "start", "node")
+        ahead = new.join(steps.select("side", F.col("at").alias("node"), F.col("next").alias("_next")), ["side", "node"]).select(
+            "side", "start", F.col("_next").alias("node")).distinct()
+        new, n = keep(ahead.join(reached, ["side", "start", "node"], "left_anti").withColumn("hop", F.lit(hop).cast("long")))
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def trace(edges: DataFrame, starts: DataFrame, first_only: bool = True, hops: int | None = None) -> DataFrame:
@@ -59,17 +89,16 @@ def trace(edges: DataFrame, starts: DataFrame, first_only: bool = True, hops: in
     each direction; otherwise all edges are followed, the full closure. A cycle
     ends where it meets a node already reached; its closing edge is reported.
     ``hops`` bounds the walk, by default it goes on until nothing new is found.
-    ``position`` is minus the hop upstream and the hop downstream.
+    ``position`` is minus the hop upstream and the hop downstream. Steps, jumps and rounds
+    are written, so neither the plan nor the work on the edges grows with their number.
     """
-    def step(side: str) -> DataFrame:
-        if first_only:
-            return _first_edge(edges, side)
-        return edges.select(F.col(side).alias("at"), *EDGE)
-
-    up = _walk(starts, step("downstream"), "upstream", hops)
-    down = _walk(starts, step("upstream"), "downstream", hops)
-    return up.select("start", F.lit("up").alias("direction"), (-F.col("hop")).alias("position"), *EDGE).unionByName(
-        down.select("start", F.lit("down").alias("direction"), F.col("hop").alias("position"), *EDGE))
+    steps = stored(_steps(edges, first_only), "steps")
+    reached = (_follow if first_only else _spread)(starts, steps, hops)
+    if hops is not None:
+        reached = reached.where(F.col("hop") < hops)
+    sign = F.when(F.col("side") == "up", -1).otherwise(1)
+    return reached.withColumnRenamed("node", "at").join(steps, ["side", "at"]).select(
+        "start", F.col("side").alias("direction"), (sign * (F.col("hop") + 1)).cast("long").alias("position"), *EDGE)
 
 
 def neighbourhood(edges: DataFrame, node: str) -> DataFrame:

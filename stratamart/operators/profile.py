@@ -11,6 +11,8 @@ disappears.
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.display import percent_of
+from .skew import stored
 from .specs import TableSpec
 
 # Fixed value: the note on views, which are not profiled.
@@ -70,6 +73,12 @@ def _comparable(c: Column, t: T.DataType, utc: bool) -> tuple[str, Column] | Non
         F.concat(F.lit("h"), F.sha2(text, 256)))
 
 
+def comparable_value(c: Column, t: T.DataType, utc: bool) -> Column | None:
+    """A value that is equal exactly when the cells are, or None for types that cannot be compared."""
+    key = _comparable(c, t, utc)
+    return None if key is None else key[1]
+
+
 def _distinct_counts(df: DataFrame, keyed: dict[int, tuple[str, Column]]) -> DataFrame:
     slots = {"l": "long", "d": "double", "t": "string"}
     used = [s for s in slots if any(k[0] == s for k in keyed.values())]
@@ -154,6 +163,44 @@ def profile_tables(specs: list[TableSpec], distinct: str = "exact") -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
+# The first bracketed name in a failure's text is its error condition.
+_CONDITION = re.compile(r"\[([A-Z][A-Z0-9_]+(?:\.[A-Z0-9_]+)*)\]")
+
+
+def profile_isolated(spec: TableSpec, distinct: str = "exact") -> DataFrame:
+    """The profile of a table some of whose columns fail while they are computed.
+
+    All columns are profiled together and the result is written. If that fails with an
+    error condition of the data, the columns are halved until each failing one stands alone: it
+    gets an error row with the condition's name, every other column its profile. Without a
+    failure it is one run; a failing column adds two runs per halving. Failures
+    without a condition, such as lost machines, are raised.
+    """
+    parts: list[DataFrame] = []
+
+    def attempt(columns: list[str]) -> None:
+        try:
+            part = replace(spec, df=spec.df.select(*[F.col(f"`{c}`") for c in columns]))
+            parts.append(stored(profile_table(part, distinct), "profile"))
+        except Exception as e:
+            found = [c for c in _CONDITION.findall(str(e)) if c not in ("TASK_WRITE_FAILED", "INTERNAL_ERROR")]
+            if not found:
+                raise
+            if len(columns) > 1:
+                attempt(columns[:len(columns) // 2])
+                attempt(columns[len(columns) // 2:])
+                return
+            field = spec.df.schema[columns[0]]
+            parts.append(spec.df.sparkSession.range(1).select(
+                F.lit(spec.dataset).alias("dataset_id"), F.lit(spec.name).alias("table_name"), F.lit(field.name).alias("column_name"),
+                F.lit(field.dataType.simpleString()).alias("data_type"), F.lit(f"error: {found[0]}").alias("status")).to(PROFILE_SCHEMA))
+
+    attempt(spec.df.columns)
+    place = F.create_map(*[F.lit(x) for i, c in enumerate(spec.df.columns) for x in (c, i + 1)])
+    return reduce(DataFrame.unionByName, parts).withColumn(
+        "ordinal_position", F.element_at(place, F.col("column_name")).cast("long")).to(PROFILE_SCHEMA)
+
+
 def quality_rows(profile: DataFrame) -> DataFrame:
     """One row per profiled column for display: missing figures become zero."""
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)

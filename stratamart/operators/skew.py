@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_path
 
-SAMPLE_RING = 1_000_000
-
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written under the shared folder and read back: every use sees the same rows."""
@@ -18,49 +16,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, sample_fraction: float) -> DataFrame:
-    """Keys estimated to hold at least ``min_rows`` rows, each with how many tasks its rows deserve.
-
-    The sample is chosen by a hash of the row's flat values, so it does not depend
-    on the order of the rows; equal rows are in it together. The result is stored
-    once: the number of keys is at most the number of rows over ``min_rows``.
-    """
-    flat = [F.col(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    sampled = df.where(F.col(key).isNotNull())
-    if sample_fraction < 1.0:
-        sampled = sampled.where(F.pmod(F.xxhash64(*flat), F.lit(SAMPLE_RING)) < int(SAMPLE_RING * sample_fraction))
-    counted = sampled.groupBy(key).agg(F.count("*").alias("n"))
-    rows = F.col("n") / sample_fraction
-    return stored(counted.where(rows >= max(1, min_rows)).select(
-        key, F.ceil(rows / max(1, min_rows)).cast("int").alias("_salts")), "hot-keys")
-
-
-def left_join_hot(left: DataFrame, right: DataFrame, key: str, min_rows: int = 2_000_000,
-                  sample_fraction: float = 0.01, sample_from: DataFrame | None = None) -> DataFrame:
-    """``left LEFT JOIN right`` where some keys may dominate the *right* side.
-
-    Adaptive execution can split the streamed (left) side of a left join, never
-    the right one. So the hot keys of the right side are joined apart: a key's
-    right rows spread over as many sub-keys as its estimated rows ask for, and its
-    left rows are repeated for each. All other keys take the ordinary join, which
-    keeps the key's partitioning for the joins around it; without a hot key it is
-    the whole plan.
+def left_join_apart(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right`` where one key may hold a large share of either side.
 
-    Which keys count as hot changes the balance only, never the result: a hot
-    key comes from the right side, so its left rows always find a partner and an
-    inner join is enough for them. When ``right`` is costly to sample, pass its
-    source as ``sample_from``; every key of it must occur in ``right``.
+    Adaptive execution can split a hot key on the left side of a left join, never on the
+    right. Here rows with a partner come from an inner join, where it may split both
+    sides, and rows without one from an anti join against the right side's different keys,
+    which merge inside each task before they are shuffled. Both use the same exchanges;
+    nothing is sampled and planning runs no job.
     """
-    hot = hot_keys(right if sample_from is None else sample_from, key, min_rows, sample_fraction)
-    if hot.isEmpty():
-        return left.join(right, key, "left")
-    present = right.where(F.col(key).isNotNull())
-    ordinary = left.join(hot, key, "left_anti").join(present.join(hot, key, "left_anti"), key, "left")
-    spread = present.join(hot, key).withColumn(
-        "_salt", F.pmod(F.xxhash64(*right.columns), F.col("_salts")).cast("int")).drop("_salts")
-    repeated = left.join(hot, key).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
-    return ordinary.unionByName(repeated.join(spread, [key, "_salt"]).drop("_salt"))
+    keys = right.where(F.col(key).isNotNull()).select(key).distinct()
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != key]
+    alone = left.join(keys, key, "left_anti").select("*", *empty)
+    return left.join(right, key).unionByName(alone)
 
 
 def position_in_group(df: DataFrame, group: str, ordinal: str, tiebreak: list[str], alias: str = "position") -> DataFrame:

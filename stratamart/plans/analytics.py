@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import average_of, ratio, subtract, times, to_numeric
-from ..operators.skew import left_join_hot
+from ..operators.skew import left_join_apart
 
 # Least number of distinct orders for each segment, best first.
 SEGMENTS = [("VIP", 5), ("Regular", 3), ("Occasional", 1)]
@@ -138,19 +138,17 @@ def shipping_milestones(shipping: DataFrame) -> DataFrame:
     return shipping.groupBy("order_id").agg(*first.values())
 
 
-def order_fulfillment(orders: DataFrame, payments: DataFrame, shipping: DataFrame, **skew) -> DataFrame:
+def order_fulfillment(orders: DataFrame, payments: DataFrame, shipping: DataFrame) -> DataFrame:
     """One row per order and distinct payment; an order paid twice has two rows.
 
-    Each input is shuffled once, by order, and brought to its distinct rows there
-    (minimum times do not change under repetition); both joins reuse that. Orders
-    that dominate the payments are joined apart.
+    Orders and payments become distinct by their whole rows, merged inside the tasks, so an
+    order with very many payments is spread out until the join, which may split it.
+    Milestones are one row per order and join last.
     """
-    base = orders.select("order_id", "customer_id", "order_date", "order_status", "shipping_method",
-                         "total_amount").repartition("order_id").distinct()
+    base = orders.select("order_id", "customer_id", "order_date", "order_status", "shipping_method", "total_amount").distinct()
     paid = payments.select("order_id", "payment_method", "payment_status",
-                           F.col("processed_at").alias("payment_processed_at")).repartition("order_id").distinct()
-    joined = left_join_hot(base.join(shipping_milestones(shipping), "order_id", "left"),
-                              paid, "order_id", sample_from=payments, **skew)
+                           F.col("processed_at").alias("payment_processed_at")).distinct()
+    joined = left_join_apart(base, paid, "order_id").join(shipping_milestones(shipping), "order_id", "left")
     return joined.select(
         *base.columns, "payment_method", "payment_status", "payment_processed_at",
         "picked_up_at", "delivered_at", "returned_at",

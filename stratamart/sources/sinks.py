@@ -13,6 +13,7 @@ All writers are plain parquet. Layout work is one shuffle at most:
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +23,42 @@ def _flat_columns(df: DataFrame) -> list[Column]:
     return [F.col(f.name) for f in df.schema.fields if f.dataType.typeName() != "map"]
 
 
+# A hidden file beside the data: which columns the table is partitioned, sorted and bucketed by.
+_LAYOUT = "_layout.json"
+
+
+def _layout_file(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path, _LAYOUT)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), file
+
+
+def record_layout(spark: SparkSession, path: str, partition: tuple = (), sort: tuple = (), buckets: int | None = None) -> None:
+    """Note the layout of a table after its rows are committed; a later write of the table notes it anew."""
+    fs, file = _layout_file(spark, path)
+    out = fs.create(file, True)
+    try:
+        out.write(bytearray(json.dumps({"partition_columns": list(partition), "sort_columns": list(sort), "buckets": buckets}).encode()))
+    finally:
+        out.close()
+
+
+def read_layout(spark: SparkSession, path: str) -> dict:
+    """What the last writer noted; a table without a note has no layout."""
+    fs, file = _layout_file(spark, path)
+    if not fs.exists(file):
+        return {"partition_columns": [], "sort_columns": [], "buckets": None}
+    stream = fs.open(file)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
 def overwrite(df: DataFrame, path: str) -> str:
     """Full refresh: the stored table becomes the result of the query."""
     df.write.mode("overwrite").parquet(path)
+    record_layout(df.sparkSession, path)
     return path
 
 
@@ -35,6 +69,7 @@ def write_partitioned(df: DataFrame, path: str, *partition_columns: str, mode: s
     if dynamic:
         out = out.option("partitionOverwriteMode", "dynamic")
     out.partitionBy(*partition_columns).parquet(path)
+    record_layout(df.sparkSession, path, partition_columns)
     return path
 
 
@@ -50,6 +85,7 @@ def clustered(df: DataFrame, *cluster_columns: str, files: int | None = None) ->
 
 def write_clustered(df: DataFrame, path: str, *cluster_columns: str, files: int | None = None) -> str:
     clustered(df, *cluster_columns, files=files).write.mode("overwrite").parquet(path)
+    record_layout(df.sparkSession, path, sort=cluster_columns)
     return path
 
 
@@ -61,6 +97,7 @@ def write_partitioned_clustered(df: DataFrame, path: str, partition_column: str,
     (df.hint("rebalance", partition_column)
        .sortWithinPartitions(partition_column, *cluster_columns)
        .write.mode("overwrite").partitionBy(partition_column).parquet(path))
+    record_layout(df.sparkSession, path, (partition_column,), cluster_columns)
     return path
 
 
@@ -68,6 +105,7 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     """Catalog table bucketed and sorted on a join key; joins on the key then skip their shuffle."""
     (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
      .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    record_layout(df.sparkSession, path, sort=(key,), buckets=buckets)
     return table
 
 

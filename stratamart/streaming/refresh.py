@@ -11,36 +11,22 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.staging import stg_orders
 from ..plans.upkeep import refresh_daily_summary, touched_values, with_month
 from ..sources.sinks import write_partitioned
-
-
-def land_batch(batch: DataFrame, batch_id: int, landing: str, by: str = "order_month") -> DataFrame:
-    """Write a micro-batch under (partition, batch) and return it as landed.
-
-    A partition's folder holds its batches, so a reader of some partitions lists
-    only those. A replayed batch replaces its own folders.
-    """
-    numbered = batch.withColumn("batch", F.lit(batch_id))
-    write_partitioned(numbered, landing, by, "batch", dynamic=True)
-    return landed(batch, landing).where(F.col("batch") == batch_id)
-
-
-def landed(like: DataFrame, landing: str) -> DataFrame:
-    """All landed rows, with the columns of ``like`` and their batch."""
-    return like.sparkSession.read.schema(like.withColumn("batch", F.lit(0)).schema).parquet(landing)
+from .landing import compact, land_batch, landed
 
 
 def keep_daily_summary(raw_orders: DataFrame, landing: str, summary: str, checkpoint: str,
-                       stage: Callable[[DataFrame], DataFrame] = stg_orders) -> StreamingQuery:
+                       stage: Callable[[DataFrame], DataFrame] = stg_orders, fan: int = 8) -> StreamingQuery:
     """Land staged orders and recompute the summary of the months they touch.
 
     No state is kept between batches: a day is always recomputed from every
-    landed order of that day, and only the touched months are read. Runs to the end
-    of the available input and stops.
+    landed order of that day, and only the touched months are read. Landed segments
+    are merged ``fan`` at a time. Runs to the end of the available input and stops.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         staged = with_month(stage(batch))
         new = land_batch(staged, batch_id, landing)
         refresh_daily_summary(landed(staged, landing), new, summary)
+        compact(staged, landing, fan=fan)
 
     return (raw_orders.writeStream.foreachBatch(on_batch).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -48,7 +34,7 @@ def keep_daily_summary(raw_orders: DataFrame, landing: str, summary: str, checkp
 
 def keep_customer_360(arrivals: DataFrame, landing: str, customers: Callable[[], DataFrame],
                       build: Callable[[DataFrame, DataFrame], DataFrame], path: str, checkpoint: str,
-                      buckets: int = 64) -> StreamingQuery:
+                      buckets: int = 64, fan: int = 8) -> StreamingQuery:
     """Land new orders and recompute the customers they name, in a mart stored by customer bucket.
 
     Landing and refresh are one step of one stream, so no order is refreshed before
@@ -71,6 +57,7 @@ def keep_customer_360(arrivals: DataFrame, landing: str, customers: Callable[[],
 
         fresh = build(pick(customers()), pick(landed(keyed, landing))).withColumn("bucket", customer_bucket(buckets))
         write_partitioned(fresh, path, "bucket", dynamic=True)
+        compact(keyed, landing, "bucket", fan)
 
     return (arrivals.writeStream.foreachBatch(on_batch).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -26,24 +26,30 @@ def hot(spark):
     return (spark.createDataFrame(left, "key string, l int"), spark.createDataFrame(right, "key string, r int"))
 
 
-@pytest.mark.parametrize("min_rows", [1, 100, 10 ** 9])
-def test_salted_join_equals_plain_join(hot, min_rows):
+def test_join_apart_equals_plain_join(hot):
     left, right = hot
-    want = sorted(left.join(right, "key", "left").select("key", "l", "r").collect(), key=str)
-    got = skew.left_join_hot(left, right, "key", min_rows=min_rows, sample_fraction=1.0)
-    assert sorted(got.select("key", "l", "r").collect(), key=str) == want
-
-
-def test_salted_join_with_a_sample(hot):
-    left, right = hot
-    want = left.join(right, "key", "left").count()
-    assert skew.left_join_hot(left, right, "key", min_rows=50, sample_fraction=0.3).count() == want
-
-
-def test_hot_key_is_found(hot):
-    assert [(r.key, r._salts) for r in skew.hot_keys(hot[1], "key", 100, 1.0).collect()] == [("hot", 3)]
-    again = [skew.hot_keys(hot[1].repartition(n), "key", 20, 0.5).orderBy("key").collect() for n in (1, 5)]
-    assert again[0] == again[1]  # the sample does not depend on the order of rows
+    for a, b in ((left, right), (left, right.where("r < 0")), (left.where("l < 0"), right), (right, left)):
+        want = sorted(a.join(b, "key", "left").select("key", "l", "r").collect(), key=str)
+        assert sorted(skew.left_join_apart(a, b, "key").select("key", "l", "r").collect(), key=str) == want
+
+
+def test_join_apart_splits_a_hot_right_key(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    left = spark.range(200).selectExpr("concat('k', id) AS key", "id AS l")
+    right = spark.range(0, 60000, 1, 6).selectExpr("CASE WHEN id % 3 = 0 THEN 'k1' ELSE concat('k', id % 190) END AS key", "id AS r")
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = skew.left_join_apart(left, right, "key")
+        assert df.count() == 60010
+        df = skew.left_join_apart(left, right, "key")
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_position_in_group(spark):
@@ -206,6 +212,46 @@ def test_trace_has_no_hop_bound(spark):
     assert sorted(r.position for r in got) == list(range(1, 16))
 
 
+def walked(edges, starts, first_only, hops):
+    """One hop at a time, in one process."""
+    out = []
+    for way, here, there in (("up", 1, 0), ("down", 0, 1)):
+        for start in starts:
+            reached, front, hop = {start}, [start], 0
+            while front and (hops is None or hop < hops):
+                hop, nxt = hop + 1, []
+                for node in front:
+                    steps = [(i, e) for i, e in enumerate(edges) if e[here] == node]
+                    for _, e in steps[:1] if first_only else steps:
+                        out.append((start, way, -hop if way == "up" else hop, *e))
+                        if e[there] not in reached:
+                            reached.add(e[there])
+                            nxt.append(e[there])
+                front = nxt
+    return sorted(out)
+
+
+@pytest.mark.parametrize("first_only", [True, False])
+@pytest.mark.parametrize("hops", [None, 1, 3, 4])
+def test_trace_of_chains_trees_and_cycles(spark, first_only, hops):
+    rng = random.Random(8)
+    edges = [(f"c{i}", f"c{(i + 1) % 7}", f"cycle{i}") for i in range(7)] + [(f"t{i}", f"c{i % 7}", f"tail{i}") for i in range(3)]
+    edges += [(f"d{i}", f"d{i + 1}", "deep") for i in range(9)] + [("s", "s", "self"), ("s", "d0", "out")]
+    edges += [(f"r{rng.randrange(12)}", f"r{rng.randrange(12)}", f"random{i}") for i in range(14)]
+    rng.shuffle(edges)
+    starts = ["c0", "t1", "d0", "d4", "s", "r1", "r2", "r3", "nowhere"]
+    got = lineage.trace(lineage.edges_from(spark, edges), spark.createDataFrame([(s,) for s in starts], "start string"), first_only, hops)
+    assert sorted(tuple(r) for r in got.collect()) == walked(edges, starts, first_only, hops)
+
+
+def test_trace_takes_few_rounds(spark, monkeypatch):
+    edges = lineage.edges_from(spark, [(f"n{i}", f"n{i + 1}", str(i)) for i in range(100)])
+    written, real = [], lineage._counted
+    monkeypatch.setattr(lineage, "_counted", lambda df, name: (written.append(name), real(df, name))[1])
+    assert lineage.trace(edges, spark.createDataFrame([("n0",)], "start string")).count() == 100
+    assert written.count("walk") <= 9
+
+
 # --- query log ------------------------------------------------------------------------------------
 
 LOG = ("job_id string, user_email string, job_type string, state string, creation_time timestamp, end_time timestamp, "
