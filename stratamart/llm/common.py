@@ -20,6 +20,19 @@ def doc_bytes(docs: DataFrame, *more: Column, text: str = "text", doc_id: str =
                        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"), *more)
 
 
+def text_mark(text: str = "text") -> Column:
+    """A hash of the text (null: empty); with the id it tells the rows of a table apart, as an id may be missing or shared."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("mark")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id, null or not, and text are not among ``gone`` (doc_id, mark), with all their columns."""
+    left = docs.withColumn("_row_mark", text_mark())
+    right = gone.select(F.col("doc_id").alias("_gone_id"), F.col("mark").alias("_gone_mark")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")) & (F.col("_row_mark") == F.col("_gone_mark"))
+    return left.join(right, same, "left_anti").drop("_row_mark")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the cluster's shared folder and read back: later jobs survive lost executors and reuse the rows."""
     spark = df.sparkSession

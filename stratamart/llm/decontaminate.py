@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import doc_bytes
+from .common import doc_bytes, text_mark, without
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.7
@@ -41,7 +41,7 @@ SHARD_BYTES = 32_000_000
 _WORD = re.compile(r"\w+")
 _TERMS = "item_id long, term string, tf int, length int"
 _HITS = ("doc_id long, item_id long, score double, question_overlap double, answer_overlap double, "
-         "first_word long, n_passages long")
+         "first_word long, n_passages long, mark long")
 
 
 def words_of(text: str) -> list[str]:
@@ -126,6 +126,7 @@ class Index:
                 r = bisect.bisect_right(self.edges, i) - 1
                 self.by_range[t, r] = max(self.by_range[t, r], w)
         self.block, self.shingle = block, shingle
+        self.names: dict[int, int] = {}  # the ids to report, where items are numbered otherwise
 
     def search(self, terms: list[int], threshold: float, first: int = 0, end: int | None = None) -> list[tuple[int, float]]:
         """Block-max WAND: all items numbered from ``first`` to before ``end`` whose summed impacts over ``terms`` reach the threshold."""
@@ -244,27 +245,28 @@ def _candidates(index: Index, texts: list[list[str]], threshold: float):
 
 
 def _search(index: Index, threshold: float, least: float):
-    def hits(doc_ids, texts):
+    def hits(rows, texts):
         best: dict[tuple[int, int], list] = {}
         for d, start, end, terms, ranges in _candidates(index, texts, threshold):
             for r in ranges:
                 for item, score in index.search(terms, threshold, index.edges[r], index.edges[r + 1]):
                     q, a = (overlap(p, texts[d][start:end], index.shingle) for p in index.parts[item])
                     if q >= least and a >= least:
-                        seen = best.setdefault((d, item), [score, q, a, start, 0])
+                        seen = best.setdefault((d, index.names.get(index.items[item], index.items[item])), [score, q, a, start, 0])
                         seen[4] += 1
                         if (q + a, score) > (seen[1] + seen[2], seen[0]):
                             seen[:4] = [score, q, a, start]
-        out = [(doc_ids[d], index.items[i], *v) for (d, i), v in sorted(best.items())]
+        out = [(rows[d][0], i, *v, rows[d][1]) for (d, i), v in sorted(best.items())]
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(
-            (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()))],
-            names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word", "n_passages"])
+            (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()))],
+            names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word", "n_passages", "mark"])
 
     def run(batches):
         for b in batches:
             ids, texts, held = [], [], 0
-            for doc_id, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids.append(doc_id)
+            marks = b.column(2).to_pylist() if b.num_columns > 2 else [None] * b.num_rows
+            for doc_id, raw, mark in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), marks):
+                ids.append((doc_id, mark))
                 texts.append(words_of(raw.decode("utf-8", "replace")))
                 held += len(texts[-1])
                 if held >= CHUNK_WORDS:
@@ -281,20 +283,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
     Null texts have no words and match nothing; an item without words is never
     found; a null id is carried along; a repeated document row is searched again
-    and repeats its rows; of items that share an id the last by text counts. Empty
-    tables give no rows; extra columns are ignored.
+    and repeats its rows; items that share an id are searched each, and the best of them is
+    reported. Of equal scores the first passage counts. Empty tables give no rows; extra
+    columns are ignored. A text is searched whole by one task, whose memory grows with it.
     """
+    return _hits_of(docs, benchmark, threshold, least, shard_bytes).drop("mark")
+
+
+def _hits_of(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP,
+             shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``contaminated`` with the mark of each row's text."""
     spark = docs.sparkSession
     items = divided(benchmark).filter(F.col("item_id").isNotNull())
-    items = items.groupBy("item_id").agg(F.max(F.struct("question", "answer")).alias("x")).select("item_id", "x.*")
+    named = items.distinct().withColumn("number", F.xxhash64("item_id", "question", "answer"))
+    items = named.select(F.col("number").alias("item_id"), "question", "answer")
     size = items.agg(F.sum(F.octet_length("question") + F.octet_length("answer"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
     weights = impacts(items)
-    texts, found = doc_bytes(docs), None
+    texts, found = doc_bytes(docs, text_mark()), None
     for k in range(shards):
         own = F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k
         part = [tuple(r) for r in items.filter(own).collect()]
         index = Index(part, [tuple(r) for r in weights.filter(own).collect()])
+        index.names = {r["number"]: r["item_id"] for r in named.filter(F.pmod(F.xxhash64("number"), F.lit(shards)) == k).select("number", "item_id").collect()}
         shipped = spark.sparkContext.broadcast(index)
         hits = texts.mapInArrow(_shipped_search(shipped, threshold, least), _HITS)
         found = hits if found is None else found.unionByName(hits)
@@ -308,6 +319,5 @@ def _shipped_search(shipped, threshold, least):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all their columns; rows without an id stay."""
-    gone = contaminated(docs, benchmark).filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` in which no item is found, with all their columns; each row by its own text, whatever its id."""
+    return without(docs, _hits_of(docs, benchmark))

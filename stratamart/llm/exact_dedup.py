@@ -1,12 +1,11 @@
 """Exact duplicates: owners of equal texts from Patricia tries.
 
-Texts are equal when their bytes are, after lower-casing A-Z. Rows are dealt by
-(byte length, 64-bit content hash) and sorted by it, so a task sees one such key
-after another and holds one radix trie at a time. The trie takes the full byte
-strings: equal hashes never make two texts equal. Its terminal nodes carry the
-owner (largest id, or smallest on demand) and the number of rows. A trie that
+Texts are equal when their bytes are, after lower-casing A-Z. Rows are dealt to
+partitions by (byte length, 64-bit content hash); each partition inserts the full
+byte strings of all its texts into one compressed radix trie, whose terminal nodes carry
+the owner (largest id, or smallest on demand) and the number of rows. A trie that
 outgrows its budget writes its largest subtree to a task-local file and finishes
-that subtree after the rest.
+that subtree after the rest, so a partition of any size fits.
 
 Each Arrow batch first merges its own copies, so of a text that makes up a third
 of all rows one row per batch is shuffled, not one per document. Documents get
@@ -27,9 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes
+from .common import doc_bytes, text_mark, without
 
-TRIE_BYTES = 64_000_000
+TRIE_BYTES = 128_000_000
+NODE_BYTES = 400  # what a node takes besides its edge
 
 
 class Node:
@@ -42,7 +42,7 @@ class Node:
 class PatriciaTrie:
     """Byte strings in a path-compressed radix trie; values of equal strings are merged.
 
-    ``budget`` bounds the bytes held in edges. Beyond it, the heaviest child of the
+    ``budget`` bounds the bytes held in edges and nodes. Beyond it, the heaviest child of the
     root is spilled: its strings, and later ones that start like it, go to a file.
     ``items`` yields the strings held, then those of each spilled subtree from a
     trie of its own, whose strings no longer repeat the shared prefix.
@@ -73,7 +73,7 @@ class PatriciaTrie:
             child = node.children.get(key[at])
             if child is None:
                 node.children[key[at]] = Node(key[at:], value)
-                self.held += len(key) - at
+                self.held += len(key) - at + NODE_BYTES
                 return
             edge = child.edge
             if key.startswith(edge, at):
@@ -84,6 +84,7 @@ class PatriciaTrie:
             child.edge = edge[same:]
             middle.children[child.edge[0]] = child
             node.children[key[at]] = middle
+            self.held += NODE_BYTES
             node, at = middle, at + same
 
     def _one_string(self) -> bool:
@@ -166,30 +167,20 @@ def _texts_of_batch(merge):
 
 
 def _owners_of_partition(merge, budget):
-    def flush(trie, out):
-        for text, (owner, copies) in trie.items():
-            out.append((hashlib.sha256(text).digest(), owner, copies))
-
     def batch(out):
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.int64()),
                                            pa.array([x[2] for x in out], pa.int64())], names=["digest", "owner", "copies"])
 
     def run(batches):
-        now, trie, out = None, None, []
+        trie, out = PatriciaTrie(merge, budget), []
         for b in batches:
-            n, h, text, owner, copies = (b.column(i) for i in range(5))
-            for i in range(b.num_rows):
-                key = n[i].as_py(), h[i].as_py()
-                if key != now:
-                    if trie:
-                        flush(trie, out)
-                    now, trie = key, PatriciaTrie(merge, budget)
-                    if len(out) >= 5000:
-                        yield batch(out)
-                        out = []
-                trie.insert(text[i].as_py(), (owner[i].as_py(), copies[i].as_py()))
-        if trie:
-            flush(trie, out)
+            for text, owner, copies in zip(*(b.column(i) for i in range(3))):
+                trie.insert(text.as_py(), (owner.as_py(), copies.as_py()))
+        for text, (owner, copies) in trie.items():
+            out.append((hashlib.sha256(text).digest(), owner, copies))
+            if len(out) >= 5000:
+                yield batch(out)
+                out = []
         yield batch(out)
     return run
 
@@ -197,15 +188,14 @@ def _owners_of_partition(merge, budget):
 def _digests(batches):
     for b in batches:
         digests = [hashlib.sha256(t.lower()).digest() for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.binary())], names=["doc_id", "text_digest"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.binary()), b.column(2)], names=["doc_id", "text_digest", "mark"])
 
 
 def text_owners(docs: DataFrame, keep: str = "largest", trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """One row per different text: its ``digest``, the id that owns it and the number of rows that carry it."""
     merge = {"largest": _merge_largest, "smallest": _merge_smallest}[keep]
     texts = doc_bytes(docs).mapInArrow(_texts_of_batch(merge), _TEXTS)
-    return (texts.repartition("n", "h").sortWithinPartitions("n", "h")
-                 .mapInArrow(_owners_of_partition(merge, trie_bytes), _OWNERS))
+    return texts.repartition("n", "h").select("text", "owner", "copies").mapInArrow(_owners_of_partition(merge, trie_bytes), _OWNERS)
 
 
 def exact_duplicates(docs: DataFrame, keep: str = "largest", trie_bytes: int = TRIE_BYTES) -> DataFrame:
@@ -214,17 +204,21 @@ def exact_duplicates(docs: DataFrame, keep: str = "largest", trie_bytes: int = T
     Null text is empty text. A null id never owns a text that a row with an id
     carries; if no row has one, keep_id is null and these rows stay. Rows that
     repeat the owner's id are one document and stay together. An empty table gives
-    no rows; other columns are ignored.
+    no rows; other columns are ignored. Of equally long texts nothing is compared but
+    whole bytes; a text is held whole, with its trie, by one task.
     """
-    rows = doc_bytes(docs).mapInArrow(_digests, "doc_id long, text_digest binary")
+    return _owned(docs, keep, trie_bytes).drop("mark")
+
+
+def _owned(docs: DataFrame, keep: str = "largest", trie_bytes: int = TRIE_BYTES) -> DataFrame:
+    """``exact_duplicates`` with the mark of each row's text."""
+    rows = doc_bytes(docs, text_mark()).mapInArrow(_digests, "doc_id long, text_digest binary, mark long")
     owners = text_owners(docs, keep, trie_bytes)
     return rows.join(owners, rows["text_digest"] == owners["digest"]).select(
         "doc_id", F.col("owner").alias("keep_id"), F.col("copies").alias("group_size"),
-        F.col("doc_id").eqNullSafe(F.col("owner")).alias("kept"), F.lower(F.hex("text_digest")).alias("text_sha256"))
+        F.col("doc_id").eqNullSafe(F.col("owner")).alias("kept"), F.lower(F.hex("text_digest")).alias("text_sha256"), "mark")
 
 
 def drop_exact_duplicates(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_duplicates(docs, keep).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone"))
-    lost_null = F.col("doc_id").isNull()
-    return docs.filter(lost_null).unionByName(docs.filter(~lost_null).join(gone, F.col("doc_id") == F.col("_gone"), "left_anti"))
+    """The rows of ``docs`` that stay, with all their columns; each row by its own text, also where an id is missing or shared."""
+    return without(docs, _owned(docs, keep).filter("NOT kept"))

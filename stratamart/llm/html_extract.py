@@ -6,7 +6,8 @@ comments) is told by its element, role or class and taken out. Every word left s
 how often words in its place (nearest block element, linked or not) are main text on
 labelled pages; every tag costs something, more the seldomer it stands inside main
 text. One linear scan finds the contiguous region with the greatest sum; it is widened to
-the declared container (``article``, ``main``) it lies in.
+the declared container (``article``, ``main``) it lies in, or else to the innermost element
+around it, short of the whole page, leaving out blocks that are mostly links.
 
 Labelled pages are those that declare their text themselves, by one closed container,
 unless others are given. The weights are sums over a fixed list of places, so a few
@@ -171,13 +172,13 @@ def visible(found: list) -> list:
 class Page:
     """Blocks of text and the scored sequence of one page.
 
-    ``blocks`` holds (text, start, end, container) and ``sequence`` (place, block, words) for
+    ``blocks`` holds (text, start, end, container, element around, more links than words) and ``sequence`` (place, block, words) for
     words, (tag name, None, container) for tags; a container is the number of the declared one around.
     With ``everything``, boilerplate stays in, as text outside any container.
     """
 
     def __init__(self, page: str, everything: bool = False):
-        self.blocks: list[tuple[str, int, int, int]] = []
+        self.blocks: list[tuple[str, int, int, int, int, bool]] = []
         self.sequence: list[tuple] = []
         self.closed: set[int] = set()
         nearest, links, container = ["body"], 0, []
@@ -190,7 +191,8 @@ class Page:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 n = len(self.blocks)
-                self.blocks.append((text, start, end, pending_inside))
+                linked = sum((w if p.endswith("/a") else -w) for p, w, _ in pending if w is not None) > 0
+                self.blocks.append((text, start, end, pending_inside, around[-1] if around else -1, linked))
                 self.sequence.extend((p, n, w) if w is not None else (p, None, c) for p, w, c in pending)
             else:
                 self.sequence.extend((p, None, c) for p, w, c in pending if w is None)
@@ -199,6 +201,9 @@ class Page:
             start = None
 
         found = tokens(page)
+        around: list[int] = []  # block elements with an end tag, from the outside in
+        self.outer: dict[int, int] = {}
+        self.spans: dict[int, tuple[int, int]] = {}
         for k, t, hidden in visible(found):
             if hidden and not everything:
                 continue
@@ -227,6 +232,12 @@ class Page:
                 links = 0
             elif t.name == "a":
                 links = 0 if t.close else 1
+            while around and found[around[-1]].match <= k:
+                around.pop()
+            if t.name in BLOCKS and not t.close and t.match is not None:
+                if t.name not in ("html", "body"):
+                    self.outer[k], self.spans[k] = (around[-1] if around else -1), (t.at, found[t.match].at)
+                    around.append(k)
             if t.name in CONTAINERS and not t.close and t.match is not None and not hidden:
                 container.append(k)
                 self.closed.add(k)
@@ -267,12 +278,29 @@ class Page:
         if last < first:
             return [], 0.0
         size: Counter = Counter()
-        for text, _, _, container in self.blocks[first:last + 1]:
+        for text, _, _, container, *_ in self.blocks[first:last + 1]:
             size[container] += len(text)
         container = max(size, key=lambda c: (size[c], -c))
-        if container < 0:
+        if container >= 0:
+            return [b for b in self.blocks if b[3] == container], score
+        shared = self._innermost(first, last)
+        if shared < 0:
             return self.blocks[first:last + 1], score
-        return [b for b in self.blocks if b[3] == container], score
+        lo, hi = self.spans[shared]
+        return [b for k, b in enumerate(self.blocks) if first <= k <= last or (lo <= b[1] < hi and not b[5])], score
+
+    def _innermost(self, first: int, last: int) -> int:
+        """The innermost closed element around all blocks of a region; -1 if that is the page."""
+        chain, k = [], self.blocks[first][4]
+        while k >= 0:
+            chain.append(k)
+            k = self.outer[k]
+        depth, at = {k: i for i, k in enumerate(chain)}, 0
+        for own in {b[4] for b in self.blocks[first:last + 1]}:
+            while own >= 0 and own not in depth:
+                own = self.outer[own]
+            at = max(at, depth.get(own, len(chain)))
+        return chain[at] if at < len(chain) else -1
 
 
 def _tally(batches):

@@ -14,9 +14,11 @@ or failure arcs until there is one, and adds up log10 weights.
 No task holds the whole model. Texts are dealt into blocks of bounded size. A
 block sends its different runs, as sorted 64-bit keys with training counts, to
 buckets by key; a bucket adds them up over all blocks and answers with what each
-count lacks, in the order it was sent, which packs to little. The block builds the part of the automaton its own
-texts can reach and walks it. A run that fills a third of the corpus is one entry
-per block.
+count lacks, in the order it was sent, which packs to little. Words and pairs go first;
+a longer run can only be in another block too if both runs of one token less that it
+holds are, so of these only such go, in a round for each length. The block builds the part of
+the automaton its own texts can reach and walks it. A run that fills a third of the corpus
+is one entry per block.
 
 64-bit keys: among 10^7 different runs two share a key with a probability of
 3 in a million; totals and vocabulary size are counted on the words themselves.
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import block_count, block_of, doc_bytes, id_remainder, mix64, partitions_of
 
-ORDER = 2
+ORDER = 3
 STRENGTH = 5.0
 SLICE_TOKENS = 400_000
 BLOCK_BYTES = 6_000_000
@@ -45,7 +47,7 @@ _MARK_KEYS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
 _MULTIPLY = np.uint64(0xD6E8FEB86659FD93)
 
 _GRAMS = "bucket int, block int, size int, keys binary, counts binary"
-_TOTALS = "block int, bucket int, size int, more binary"
+_TOTALS = "block int, bucket int, size int, more binary, shared binary"
 _SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -122,12 +124,18 @@ class BlockGrams:
             self.at.append(at)
             self.keys.append(keys)
 
-    def by_bucket(self, size: int, buckets: int):
-        """Run numbers in key order, and (bucket, first, end) of each bucket's share of that order. No start mark."""
+    def by_bucket(self, size: int, buckets: int, elsewhere: list[np.ndarray]):
+        """Numbers of the runs that are sent, in key order, and (bucket, first, end) of each bucket's share. No start mark.
+
+        ``elsewhere`` tells of each shorter run whether other blocks have it too.
+        """
         keys = self.keys[size]
         by = np.argsort(keys)
         if size == 0:
             by = by[by != START]
+        elif size > 1:
+            shorter = elsewhere[size - 1]
+            by = by[(shorter[self.prefix[size]] & shorter[self.suffix[size]])[by]]
         bucket = ((keys[by] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(2**63))).tolist()
         return by, [(int(bucket[lo]), lo, hi) for lo, hi in zip(edges, [*edges[1:], len(by)])]
@@ -219,21 +227,54 @@ def _block_grams(table: pa.Table, order: int) -> BlockGrams:
     return BlockGrams(table.column("text").to_pylist(), ~np.array(table.column("held_out").to_pylist(), bool), order)
 
 
+def _sent(grams: BlockGrams, block: int, sizes: range, buckets: int, elsewhere: list[np.ndarray]) -> pa.Table:
+    rows = []
+    for k in sizes:
+        by, shares = grams.by_bucket(k, buckets, elsewhere)
+        for bucket, lo, hi in shares:
+            rows.append((bucket, block, k, pack_keys(grams.keys[k][by[lo:hi]]), pack_counts(grams.counts[k][by[lo:hi]])))
+    return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(
+        (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "block", "size", "keys", "counts"])
+
+
+def _answered(grams: BlockGrams, totals: pa.Table, sizes: int, buckets: int) -> list[np.ndarray]:
+    """Complete the counts of the runs of up to ``sizes`` tokens; per size, which runs other blocks have."""
+    answers = {(z, b): (m, s) for z, b, m, s in zip(*(totals.column(c).to_pylist() for c in ("size", "bucket", "more", "shared")))}
+    elsewhere: list[np.ndarray] = []
+    for k in range(sizes):
+        more, shared = np.zeros(len(grams.keys[k]), np.int64), np.zeros(len(grams.keys[k]), bool)
+        by, shares = grams.by_bucket(k, buckets, elsewhere)
+        for bucket, lo, hi in shares:
+            if (k, bucket) in answers:
+                lacking, bits = answers[k, bucket]
+                if lacking is not None:
+                    more[by[lo:hi]] = unpack_counts(lacking)
+                shared[by[lo:hi]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
+        if k == 0:
+            shared[START] = True
+        grams.counts[k] = grams.counts[k] + more
+        elsewhere.append(shared)
+    return elsewhere
+
+
 def _send(order: int, buckets: int):
     def run(key, table):
-        grams, rows = _block_grams(table, order), []
-        block = key[0].as_py()
-        for k in range(order):
-            by, shares = grams.by_bucket(k, buckets)
-            for bucket, lo, hi in shares:
-                rows.append((bucket, block, k, pack_keys(grams.keys[k][by[lo:hi]]), pack_counts(grams.counts[k][by[lo:hi]])))
-        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-            (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "block", "size", "keys", "counts"])
+        return _sent(_block_grams(table, min(order, 2)), key[0].as_py(), range(min(order, 2)), buckets, [])
+    return run
+
+
+def _send_longer(size: int, buckets: int):
+    """The runs of ``size`` + 1 tokens, after the answers on all shorter ones."""
+    def run(texts, totals):
+        grams = _block_grams(_ordered(texts), size + 1)
+        elsewhere = _answered(grams, totals, size, buckets)
+        block = texts.column("block")[0].as_py() if texts.num_rows else 0
+        return _sent(grams, block, range(size, size + 1) if texts.num_rows else range(0), buckets, elsewhere)
     return run
 
 
 def _add(key, table):
-    """What each block's counts of the bucket's keys lack to the totals, in the order in which the block sent them."""
+    """What each block's counts of the bucket's keys lack to the totals, and which keys other blocks sent too, in the order sent."""
     out = []
     sizes = np.array(table.column("size").to_pylist())
     for size in np.unique(sizes):
@@ -241,28 +282,23 @@ def _add(key, table):
         blocks = part.column("block").to_pylist()
         keys = [unpack_keys(x) for x in part.column("keys").to_pylist()]
         counts = [unpack_counts(x) for x in part.column("counts").to_pylist()]
-        _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)[inverse]
+        _, inverse, senders = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        totals, shared = np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)[inverse], (senders > 1)[inverse]
         at = 0
         for block, local in zip(blocks, counts):
-            more = totals[at:at + len(local)] - local
+            more, common = totals[at:at + len(local)] - local, shared[at:at + len(local)]
             at += len(local)
-            if more.any():
-                out.append((block, key[0].as_py(), int(size), pack_counts(more)))
+            if common.any():
+                out.append((block, key[0].as_py(), int(size), pack_counts(more) if more.any() else None, np.packbits(common).tobytes()))
     return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(
-        (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], names=["block", "bucket", "size", "more"])
+        (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "size", "more", "shared"])
 
 
 def _walk(order: int, buckets: int, strength: float, tokens: int, types: int):
     def run(texts, totals):
         table = _ordered(texts)
         grams = _block_grams(table, order)
-        answers = {(z, b): m for z, b, m in zip(*(totals.column(c).to_pylist() for c in ("size", "bucket", "more")))}
-        for k in range(order):
-            by, shares = grams.by_bucket(k, buckets)
-            for bucket, lo, hi in shares:
-                if (k, bucket) in answers:
-                    grams.counts[k][by[lo:hi]] += unpack_counts(answers[k, bucket])
+        _answered(grams, totals, order, buckets)
         grams.counts[0][START] = grams.counts[0][END]  # each training text begins once, as it ends once
         automaton = Automaton(grams, order, strength, tokens, types)
         starts = grams.ends - grams.sizes  # start marks are not tokens of the text
@@ -299,7 +335,8 @@ def lm_scores(docs: DataFrame, order: int = ORDER, strength: float = STRENGTH, h
     Rows whose id remainder modulo ``held_out`` is ``remainder`` are scored but teach
     nothing. Null text is empty and is one end; a null id counts as empty text in the
     remainder; repeated rows count each; without training rows every token is unseen.
-    Extra columns are ignored; an empty table gives no rows.
+    Extra columns are ignored; an empty table gives no rows. Equal texts have equal
+    scores; a block is at least one text, so a task's memory grows with the longest.
     """
     spark = docs.sparkSession
     blocks = block_count(docs, block_bytes=block_bytes)
@@ -307,7 +344,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER, strength: float = STRENGTH, h
     rows = doc_bytes(docs, held).withColumn("block", block_of(blocks))
     tokens, types = training_size(rows.filter("NOT held_out").select("text"))
     dealt = rows.repartition(max(partitions_of(spark), 1), "block")
-    sent = dealt.groupBy("block").applyInArrow(_send(order, blocks), _GRAMS)
-    totals = sent.groupBy("bucket").applyInArrow(_add, _TOTALS)
+    totals = dealt.groupBy("block").applyInArrow(_send(order, blocks), _GRAMS).groupBy("bucket").applyInArrow(_add, _TOTALS)
+    for size in range(2, order):
+        longer = dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(_send_longer(size, blocks), _GRAMS)
+        totals = totals.unionByName(longer.groupBy("bucket").applyInArrow(_add, _TOTALS))
     return dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
         _walk(order, blocks, strength, tokens, types), _SCORES)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import partitions_of, running_before, stored
+from .common import partitions_of, running_before, stored, text_mark
 
 SLOT_WORDS = 32
 WEIGHTS = (3, 1, 2)
@@ -86,10 +86,10 @@ def schedule(targets: DataFrame, slot_words: int = SLOT_WORDS, most: int = MOST_
 def pieces(sized: DataFrame, slot_words: int = SLOT_WORDS) -> DataFrame:
     """Rows (row, number, block, words): the share of each document in the blocks of its source's shuffled stream."""
     cells = max(1, sized.count() // CELL_ROWS)
-    key = F.xxhash64(F.lit("shuffle"), F.col("doc_id"))
+    key = F.xxhash64(F.lit("shuffle"), F.col("doc_id"), F.col("mark"))
     shuffled = sized.filter("size > 0").withColumn("key", key)
     cell = F.floor((F.shiftright(F.col("key"), 32) + 2**31) * cells / F.lit(2**32))
-    placed = running_before(shuffled, "number", ["key", "doc_id", "row"], "size", "start", cell)
+    placed = running_before(shuffled, "number", ["key", "doc_id", "mark", "row"], "size", "start", cell)
     end = F.col("start") + F.col("size")
     spread = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / slot_words), F.floor((end - 1) / slot_words))))
     words = F.least(end, (F.col("block") + 1) * slot_words) - F.greatest(F.col("start"), F.col("block") * slot_words)
@@ -100,33 +100,40 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
         slot_words: int = SLOT_WORDS) -> DataFrame:
     """Per document: doc_id, size, source, source_size, target and taken words.
 
-    A document is taken at most ``most`` times. The shuffle depends on doc_id alone,
-    with ties in row order of the stored sizes; a null id or source is a value like
+    A document is taken at most ``most`` times. The shuffle depends on id and text alone, so
+    reruns agree however the rows are dealt; rows equal in both are interchangeable, and
+    which of them has which share is not told apart. A null id or source is a value like
     any other, null text has no words, repeated rows count each, an empty table
     gives no rows. Columns other than doc_id, text and source are ignored.
     """
+    return _mix(docs, weights, share, most, slot_words).drop("mark")
+
+
+def _mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST_REPEATS, slot_words: int = SLOT_WORDS) -> DataFrame:
+    """``mix`` with the mark of each row's text."""
     sized = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                               word_count("text").alias("size"), F.monotonically_increasing_id().alias("row")), "mix-sizes")
+                               word_count("text").alias("size"), text_mark(), F.monotonically_increasing_id().alias("row")), "mix-sizes")
     targets = stored(source_targets(sized, weights, share, most), "mix-targets")
     numbered = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(
-        "row", "doc_id", "size", sized["source"], "number", "source_size", "target")
+        "row", "doc_id", "size", "mark", sized["source"], "number", "source_size", "target")
     uses = schedule(targets, slot_words, most).groupBy("number", "block").agg(F.count("*").alias("uses"))
-    taken = (pieces(numbered.select("row", "doc_id", "size", "number"), slot_words).join(uses, ["number", "block"])
+    taken = (pieces(numbered.select("row", "doc_id", "size", "mark", "number"), slot_words).join(uses, ["number", "block"])
              .groupBy("row").agg(F.sum(F.col("words") * F.col("uses")).alias("taken")))
     return numbered.join(taken, "row", "left").select(
-        "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "mark")
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with size, source_size, target and taken beside their own columns.
 
-    Rows that repeat an id are one document: their taken words are added up. Columns
-    of ``docs`` named like the added ones are replaced.
+    Rows with the same id and text are one document: their taken words are added up.
+    Columns of ``docs`` named like the added ones are replaced.
     """
     added = ("size", "source_size", "target", "taken")
-    rows = mix(docs, **how).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(
+    rows = _mix(docs, **how).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("mark").alias("_mark")).agg(
         F.max("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"),
         F.sum("taken").alias("taken")).filter("taken > 0")
     own = docs.drop(*added)
-    return own.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))).select(
-        *own.columns, *added)
+    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source"))
+            & (F.col("_own_mark") == F.col("_mark")))
+    return own.withColumn("_own_mark", text_mark()).join(rows, same).select(*own.columns, *added)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, mix64, stored
+from .common import doc_bytes, mix64, stored, text_mark, without
 from .components import components
 
 SLOTS, BANDS = 128, 32
@@ -85,7 +85,7 @@ def superminhash(elements: np.ndarray, owner: np.ndarray, sets: int, slots: int
 
 
 def _sign(words: int):
-    def flush(ids, sets):
+    def flush(ids, marks, sets):
         sizes = np.array([len(s) for s in sets])
         owner = np.repeat(np.arange(len(sets)), sizes)
         signed = superminhash(np.concatenate(sets) if sets else np.zeros(0, np.uint64), owner, len(sets))
@@ -93,20 +93,22 @@ def _sign(words: int):
         return pa.RecordBatch.from_arrays([
             pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array([int(k[0]) for k in keys], pa.int64()),
             pa.array([int(k[1]) for k in keys], pa.int64()),
-            pa.array([r.tobytes() if n else b"" for r, n in zip(signed, sizes)], pa.binary())], names=["doc_id", "n", "k1", "k2", "signature"])
+            pa.array([r.tobytes() if n else b"" for r, n in zip(signed, sizes)], pa.binary()), pa.array(marks, pa.int64())],
+            names=["doc_id", "n", "k1", "k2", "signature", "mark"])
 
     def run(batches):
         for b in batches:
-            ids, sets, held = [], [], 0
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            ids, marks, sets, held = [], [], [], 0
+            for doc_id, text, mark in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 ids.append(doc_id)
+                marks.append(mark)
                 sets.append(hashed(shingle_set(text, words)))
                 held += len(sets[-1])
                 if held >= ELEMENTS:
-                    yield flush(ids, sets)
-                    ids, sets, held = [], [], 0
+                    yield flush(ids, marks, sets)
+                    ids, marks, sets, held = [], [], [], 0
             if ids:
-                yield flush(ids, sets)
+                yield flush(ids, marks, sets)
     return run
 
 
@@ -277,19 +279,26 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = PERCENT) ->
 
     Documents are linked when 100 * intersection >= percent * union of their
     shingle sets; component_id is the smallest id reachable over links. A text
-    that is null or has no words has an empty set and no links. A row without an id
-    takes no part: component_id is null and it is kept. Rows that repeat an id share
-    its component if their texts are linked, and are kept together. Extra columns
-    are ignored; an empty table gives no rows.
+    that is null or has no words has an empty set and no links. A row without an id is
+    linked like any other and is kept only if no linked row has an id; component_id is then
+    null. Rows that repeat an id share its component if their texts are linked, and are kept
+    together; rows with one id and unlinked texts are told apart. A text's set is held whole by a
+    task. Extra columns are ignored; an empty table gives no rows.
 
     At 32 bands of 4 slots a pair at the threshold is missed with a probability of
-    5e-8, a closer pair less.
+    5e-8, a closer pair less. Pairs whose signatures agree in less than the percentage less
+    ``MARGIN`` are not compared, which misses about one in a million at the threshold.
     """
-    signed = doc_bytes(docs).mapInArrow(_sign(words), "doc_id long, n long, k1 long, k2 long, signature binary")
+    return _resolved(docs, words, percent).drop("mark")
+
+
+def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with the mark of each row's text."""
+    signed = doc_bytes(docs, text_mark()).mapInArrow(_sign(words), "doc_id long, n long, k1 long, k2 long, signature binary, mark long")
     signed = stored(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
-    present = signed.filter("n > 0 AND doc_id IS NOT NULL")
+    present = signed.filter("n > 0")
     classes = present.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id"))
-    classes = stored(classes.join(present.select("row", "n", "signature", F.col("doc_id").alias("node_id")), F.col("node") == F.col("row")).drop("row"),
+    classes = stored(classes.join(present.select("row", "n", "signature", F.col("doc_id").alias("node_id"), F.col("mark").alias("node_mark")), F.col("node") == F.col("row")).drop("row"),
                      "shingle-classes")
     bands = classes.select("node", "n", "signature").mapInArrow(_bands, "band long, node long, n long")
     buckets = bands.groupBy("band").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n"),
@@ -298,8 +307,9 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = PERCENT) ->
     near_enough = "100 * least(n, pivot_n) >= {0} * greatest(n, pivot_n)".format(int(percent))
     to_pivot = (members.filter(f"node <> pivot AND {near_enough}").groupBy("node", "pivot").agg(F.count("*").alias("shared"))
                 .groupBy("node").agg(F.max_by("pivot", F.struct("shared", -F.col("pivot"))).alias("v")).select(F.col("node").alias("u"), "v"))
-    wanted = members.select("node").distinct().join(classes.select("node", "node_id", "k1", "k2"), "node")
-    texts = doc_bytes(docs).join(wanted, F.col("doc_id") == F.col("node_id")).select("node", "k1", "k2", "text")
+    wanted = members.select("node").distinct().join(classes.select("node", "node_id", "node_mark", "k1", "k2"), "node")
+    same = F.col("doc_id").eqNullSafe(F.col("node_id")) & (F.col("mark") == F.col("node_mark"))
+    texts = doc_bytes(docs, text_mark()).join(wanted, same).select("node", "k1", "k2", "text")
     sets = stored(texts.mapInArrow(_sets(words), "node long, elements binary").dropDuplicates(["node"]), "shingle-sets")
     links = stored(confirmed(to_pivot, sets, percent), "links-to-pivots")
     first = stored(components(links), "first-components")
@@ -310,13 +320,12 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = PERCENT) ->
     smallest = ids.groupBy("component").agg(F.min("first_id").alias("component_id"))
     reached = ids.join(smallest, "component").select("node", "component_id")
     resolved = classes.join(reached, "node", "left").select("k1", "k2", F.coalesce("component_id", "first_id").alias("component_id"))
-    linked = present.select("doc_id", "n", "k1", "k2").join(resolved, ["k1", "k2"]).select("doc_id", "n", "component_id")
-    alone = signed.filter("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    linked = present.select("doc_id", "n", "mark", "k1", "k2").join(resolved, ["k1", "k2"]).select("doc_id", "n", "mark", "component_id")
+    alone = signed.filter("n = 0").select("doc_id", "n", "mark", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                                            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+                                            F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "mark")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each group, with all their columns."""
-    gone = near_duplicates(docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, one document of each group, with all their columns; each row by its own text."""
+    return without(docs, _resolved(docs, words, percent).filter("NOT kept"))

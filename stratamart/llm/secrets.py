@@ -3,21 +3,26 @@
 The values the fixed patterns find are labelled credentials. Their prefix tree,
 over character classes, is folded by merging states whose outgoing frequencies
 are statistically compatible (Hoeffding bound), giving a probabilistic automaton.
-Ordinary long tokens give a second one. Every other token-like string is scored
-by the log-likelihood ratio of the two and becomes a span if it is far more
-likely a credential.
-
-Texts are read once, in Arrow batches; spans and candidates are stored, and the
-automata, learned from bounded samples, go to the tasks that score.
+Ordinary tokens give a second one. Every other token-like string of at least the length
+of the shortest labelled value is scored by the log-likelihood ratio of the two, and
+becomes a span if it is far more likely a credential, and no less likely per character than
+the least likely labelled value.
+
+Texts are read twice in Arrow batches and nothing of them is stored. The first pass
+sends the labelled values and token-like strings of least hash of each batch, so that
+both automata learn from a bounded sample of all there are; the second finds the fixed
+patterns and scores all candidates where they stand, each different one once per task.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import deque
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +35,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of [0-9a-f]+ that are long enough
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "learned")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{6,}")  # maximal runs as long as the shortest labelled value
 
 SAMPLE = 2000
 ALPHA = 0.05
 MARGIN = math.log(1000.0)
 
-_SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
-_FOUND = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, base string, "
-          "labelled array<string>, candidates array<struct<start:int,end:int,value:string>>")
+MEMO = 400_000
+
+_SPANS = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_learned long, best_score double")
 _CLASSES = str.maketrans({**dict.fromkeys("abcdef", "a"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "z"),
                           **dict.fromkeys("ABCDEF", "A"), **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "Z"),
                           **dict.fromkeys("0123456789", "0")})
@@ -56,36 +61,38 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
-def candidates(text: str, base: list) -> list[dict]:
-    """Token-like strings with a digit that no base span touches."""
-    out, k, reach = [], 0, 0
+def candidates(text: str, base: list):
+    """The matches of token-like strings that no base span touches."""
+    k, reach = 0, 0
     for m in CANDIDATE.finditer(text):
         while k < len(base) and base[k][0] < m.end():
             reach = max(reach, base[k][1])
             k += 1
         if reach <= m.start():
-            out.append({"start": m.start(), "end": m.end(), "value": m[0]})
-    return out
-
-
-def _find(batches):
-    for b in batches:
-        rows = {name: [] for name in ("n_assign", "n_access", "n_hex", "sha", "base", "labelled", "candidates")}
-        for raw in b.column(1).to_pylist():
-            text = raw.decode("utf-8", "replace")
-            base = base_spans(text)
-            spans = ",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k, _ in base)
-            for i, name in enumerate(("n_assign", "n_access", "n_hex")):
-                rows[name].append(sum(x[2] == i for x in base))
-            rows["sha"].append(sha256_hex(spans.encode()))
-            rows["base"].append(spans)
-            rows["labelled"].append([x[3] for x in base])
-            rows["candidates"].append(candidates(text, base))
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0)] + [pa.array(rows[c], t) for c, t in (
-                ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("sha", pa.string()),
-                ("base", pa.string()), ("labelled", pa.list_(pa.string())), ("candidates", pa.list_(_SPAN)))],
-            names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "base", "labelled", "candidates"])
+            yield m
+
+
+def _least(values, size: int) -> list[tuple[int, str]]:
+    """The ``size`` different values of least hash, with their hashes."""
+    return heapq.nsmallest(size, {(xxhash.xxh3_64_intdigest(v.encode()) - 2**63, v) for v in values})
+
+
+def _samples(size: int):
+    """Per batch, the labelled values and the ordinary token-like strings of least hash."""
+    def run(batches):
+        for b in batches:
+            labelled, ordinary = set(), set()
+            for raw in b.column(1):
+                text = raw.as_py().decode("utf-8", "replace")
+                base = base_spans(text)
+                labelled.update(x[3] for x in base)
+                ordinary.update(m[0] for m in candidates(text, base))
+                if len(ordinary) > 50 * size:
+                    ordinary = {v for _, v in _least(ordinary, size)}
+            rows = [(True, *x) for x in _least(labelled, size)] + [(False, *x) for x in _least(ordinary, size)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.bool_(), pa.int64(), pa.string()))],
+                                             names=["labelled", "hash", "value"])
+    return run
 
 
 class Automaton:
@@ -190,51 +197,68 @@ def learn_automaton(values: list[str], alpha: float = ALPHA) -> Automaton:
     return Automaton(_Learner(values, alpha).learn(), symbols)
 
 
-def find_spans(docs: DataFrame) -> DataFrame:
-    """Per document: the spans of the fixed patterns, their values, and the other token-like strings."""
-    return doc_bytes(docs).mapInArrow(_find, _FOUND)
+def samples(docs: DataFrame, size: int = SAMPLE) -> tuple[list[str], list[str]]:
+    """Labelled values and ordinary token-like strings: at most ``size`` different ones each, those of least hash of all texts."""
+    rows = doc_bytes(docs).mapInArrow(_samples(size), "labelled boolean, hash long, value string").distinct()
+    pick = lambda which: [r["value"] for r in rows.filter(which).orderBy("hash", "value").limit(size).collect()]
+    rows = stored(rows, "secret-samples")
+    return pick(F.col("labelled")), pick(~F.col("labelled"))
+
+
+class Scores(dict):
+    """Token-like string -> log-likelihood ratio, at most 0 for what no labelled value is like; emptied when it has grown large."""
 
+    def __init__(self, labelled: list[str], ordinary: list[str], alpha: float = ALPHA):
+        super().__init__()
+        self.credential, self.ordinary = learn_automaton(labelled, alpha), learn_automaton(ordinary, alpha)
+        self.least = min((self.credential.log_likelihood(v) / (len(v) + 1) for v in labelled), default=0.0)
 
-def _sample(found: DataFrame, column, size: int) -> list[str]:
-    values = found.select(F.explode(column).alias("value")).distinct()
-    return [r["value"] for r in values.orderBy(F.xxhash64("value"), "value").limit(size).collect()]
+    def __missing__(self, value: str) -> float:
+        own = self.credential.log_likelihood(value)
+        found = own - self.ordinary.log_likelihood(value)
+        if own < self.least * (len(value) + 1):
+            found = min(found, 0.0)
+        if len(value) <= 64:
+            if len(self) > MEMO:
+                self.clear()
+            self[value] = found
+        return found
 
 
-def _score(credential: Automaton, ordinary: Automaton, margin: float):
-    order = {k: i for i, k in enumerate(KINDS)}
+def _scan(scores: Scores, margin: float):
+    names = [x.split()[0] for x in _SPANS.split(", ")]
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.float64())
 
     def run(batches):
         for b in batches:
-            spans, n_learned, best = [], [], []
-            for base, cands in zip(b.column("base").to_pylist(), b.column("candidates").to_pylist()):
-                scored = [(credential.log_likelihood(c["value"]) - ordinary.log_likelihood(c["value"]), c) for c in cands]
-                more = [(c["start"], c["end"], "learned") for s, c in scored if s >= margin]
-                if more:
-                    own = [(int(s), int(e), k) for k, s, e in (x.split(":") for x in base.split(",") if x)]
-                    base = ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(own + more, key=lambda x: (x[0], order[x[2]])))
-                spans.append(base)
-                n_learned.append(len(more))
-                best.append(max((s for s, _ in scored), default=None))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")]
-                + [pa.array(spans, pa.string()), pa.array(n_learned, pa.int64()), pa.array(best, pa.float64())],
-                names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_learned", "best_score"])
+            rows = []
+            for doc_id, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                text = raw.as_py().decode("utf-8", "replace")
+                base = base_spans(text)
+                spans, learned, best = [x[:3] for x in base], 0, None
+                for m in candidates(text, base):
+                    score = scores[m[0]]
+                    if best is None or score > best:
+                        best = score
+                    if score >= margin:
+                        spans.append((m.start(), m.end(), len(KINDS) - 1))
+                        learned += 1
+                told = lambda found: ",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in found)
+                rows.append((doc_id, *(sum(x[2] == k for x in base) for k in range(3)), sha256_hex(told(x[:3] for x in base).encode()),
+                             told(sorted(spans, key=lambda x: (x[0], x[2]))), learned, best))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
     return run
 
 
 def scan_secrets(docs: DataFrame, sample: int = SAMPLE, alpha: float = ALPHA, margin: float = MARGIN) -> DataFrame:
     """Per document: counts and digest of the base spans, all spans, and the best score of a candidate.
 
-    Both automata learn from at most ``sample`` different values each, the first by
-    hash; patterns and scoring cover every text whole. Without labelled values
-    nothing is added. Null text is empty and has no spans; null ids, repeated rows
-    and extra columns pass through or are ignored; an empty table gives no rows.
+    Both automata learn from at most ``sample`` different values each, those of least
+    hash; patterns and scoring cover every text whole, every token-like string of six or more
+    characters. Without labelled values nothing is added. Spans that start together come in
+    the order of the kinds. Null text is empty and has no spans; null ids, repeated rows
+    and extra columns pass through or are ignored; an empty table gives no rows. A text is
+    held whole by one task.
     """
-    found = stored(find_spans(docs), "secret-spans")
-    labelled = _sample(found, F.col("labelled"), sample)
-    ordinary = _sample(found, F.col("candidates.value"), sample)
-    learned = learn_automaton(labelled), learn_automaton(ordinary)
-    rows = found.drop("labelled")
-    return rows.mapInArrow(_score(*learned, margin if labelled else math.inf),
-                           "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
-                           "n_learned long, best_score double")
+    labelled, ordinary = samples(docs, sample)
+    return doc_bytes(docs).mapInArrow(_scan(Scores(labelled, ordinary, alpha), margin if labelled else math.inf), _SPANS)

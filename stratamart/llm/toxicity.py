@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, id_remainder, stored
+from .common import doc_bytes, id_remainder, stored, text_mark, without
 from .linear import matrix_sum, stack
 
 HELD_OUT, HELD_REMAINDER = 3, 1
@@ -96,13 +96,15 @@ def mined_units(texts: DataFrame, marked: DataFrame, size: int = MINED, rows: in
 
     ``texts`` has doc_id and text, ``marked`` _id and label. At most about ``rows``
     labels are used, chosen by a hash of the id; being that few, they are broadcast
-    and the texts are not shuffled. Of a set of near copies one counts. Of units that
+    and the texts are not shuffled. Of the labelled texts with the same least
+    run of three words, mostly near copies, one counts: the least by its bytes. Of units that
     are beginnings of each other the best stays. A unit of fewer than five toxic texts is no unit.
     """
     ring = 1_000_000
     share = min(1.0, rows / max(1, marked.count()))
     chosen = F.broadcast(marked.filter(F.pmod(F.xxhash64("_id"), F.lit(ring)) < int(ring * share)))
-    texts = texts.join(chosen, F.col("doc_id") == F.col("_id")).select("text", "label").mapInArrow(_with_key, "text binary, label int, key long").dropDuplicates(["key"])
+    keyed = texts.join(chosen, F.col("doc_id") == F.col("_id")).select("text", "label").mapInArrow(_with_key, "text binary, label int, key long")
+    texts = stored(keyed.groupBy("key").agg(F.min(F.struct("text", "label")).alias("x")).select("x.text", "x.label"), "toxicity-mining")
     counts = texts.mapInArrow(_unit_counts, "unit string, a long, b long").groupBy("unit").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     n1, n0 = texts.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     if not n1 or not n0:
@@ -171,8 +173,8 @@ def _votes(voters: Voters):
             for text in b.column("text").to_pylist():
                 hits, n = voters.hits(text.decode("utf-8", "replace"))
                 rows.append(np.array([*hits, n], np.float64).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("remainder"), pa.array(rows, pa.binary())],
-                                             names=["doc_id", "remainder", "hits"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("remainder"), b.column("mark"), pa.array(rows, pa.binary())],
+                                             names=["doc_id", "remainder", "mark", "hits"])
     return run, width
 
 
@@ -256,9 +258,9 @@ def _inputs(hits: np.ndarray) -> np.ndarray:
 
 
 def fit_classifier(rows: DataFrame, width: int, label_model: LabelModel, penalty: float = 1.0, steps: int = NEWTON) -> np.ndarray:
-    """Logistic regression on each row's posterior label, by Newton steps on partition sums.
+    """Logistic regression on the posterior label of each row (hits), by Newton steps on partition sums.
 
-    The posterior of a row (hits, label) with a label is the label, of any other what the label model says.
+    Given labels fix the label model; the classifier sees what that says of every row, labelled or not.
     """
     size = 3 * width + 1
     w = np.zeros(size)
@@ -268,8 +270,6 @@ def fit_classifier(rows: DataFrame, width: int, label_model: LabelModel, penalty
         def step(b, w=w):
             hits = stack(b.column("hits"), width + 1)
             x, y = _inputs(hits), label_model.posterior((hits[:, :-1] > 0).astype(float))
-            known = np.array([np.nan if k is None else k for k in b.column("label").to_pylist()], float)
-            y = np.where(np.isnan(known), y, known)
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             return np.vstack([(x * (p * (1 - p) + 1e-6)[:, None]).T @ x, x.T @ (y - p)])
         sums = matrix_sum(rows, (size + 1, size), step)
@@ -284,17 +284,24 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT
                     cut: float = 0.7) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
+    Equal texts have equal scores. A text is read whole, by one task, whose memory grows with it.
+
     Only rows whose id remainder modulo ``held_out`` is not ``remainder`` teach.
     Null text is empty, fires no voter and gets the lowest score; null labels and
     ids teach nothing; a repeated label counts again; without labels the fixed
     voters work alone. Extra columns are ignored; an empty table gives no rows.
     """
-    texts = doc_bytes(docs, id_remainder(held_out).cast("int").alias("remainder"))
+    return _scored(docs, labels, held_out, remainder, cut).drop("mark")
+
+
+def _scored(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT, remainder: int = HELD_REMAINDER, cut: float = 0.7) -> DataFrame:
+    """``toxicity_scores`` with the mark of each row's text."""
+    texts = doc_bytes(docs, id_remainder(held_out).cast("int").alias("remainder"), text_mark())
     marked = labels.filter("toxic IS NOT NULL").select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("label"))
     teaching = marked.filter(id_remainder(held_out, "_id") != remainder)
     voters = Voters(mined_units(texts, teaching))
     run, width = _votes(voters)
-    rows = stored(texts.mapInArrow(run, "doc_id long, remainder int, hits binary"), "toxicity-votes")
+    rows = stored(texts.mapInArrow(run, "doc_id long, remainder int, mark long, hits binary"), "toxicity-votes")
     training = stored(rows.filter(F.col("remainder") != remainder).join(marked, F.col("doc_id") == F.col("_id"), "left")
                       .select("hits", "label"), "toxicity-training")
 
@@ -320,12 +327,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT
         for b in batches:
             s = 1 / (1 + np.exp(-np.clip(_inputs(stack(b.column("hits"), width + 1)) @ weights, -30, 30)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([r == remainder for r in b.column("remainder").to_pylist()], pa.bool_()),
-                                              pa.array(s, pa.float64()), pa.array((s >= cut).astype(np.int32), pa.int32())],
-                                             names=["doc_id", "held_out", "score", "predicted"])
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+                                              pa.array(s, pa.float64()), pa.array((s >= cut).astype(np.int32), pa.int32()), b.column("mark")],
+                                             names=["doc_id", "held_out", "score", "predicted", "mark"])
+    return rows.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int, mark long")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` not predicted toxic, with all their columns; rows without an id stay."""
-    gone = toxicity_scores(docs, labels, cut=cut).filter("predicted = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` not predicted toxic, with all their columns; each row by its own text, whatever its id."""
+    return without(docs, _scored(docs, labels, cut=cut).filter("predicted = 1"))

@@ -75,3 +75,63 @@ def test_isotonic_is_the_best_monotone_fit():
 def test_statistics_of_odd_texts():
     for t in (b"", b" \n", b"a", b"\x00\xff", b"word " * 50_000):
         assert len(Q.statistics(t)) == len(Q.NAMES) and np.isfinite(Q.statistics(t)).all()
+
+
+def test_quality_fit_is_plain_ridge(spark):
+    """Partition sums and one process over all rows give the same weights and calibration counts."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, len(Q.NAMES)))
+    y = (x[:, 0] + 0.3 * rng.normal(size=500) > 0).astype(int)
+    calibrate = rng.random(500) < 0.25
+    df = spark.createDataFrame([(r.tobytes(), int(v), bool(c)) for r, v, c in zip(x, y, calibrate)], "stats binary, label int, calibrate boolean").repartition(6)
+    model = Q.fit(df)
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.deviation, x.std(0))
+    own = Q.Model(x.mean(0), x.std(0), Q.FEATURES, Q.SEED)
+    phi = own.map(x[~calibrate])
+    penalty = np.full(phi.shape[1], Q.PENALTY)
+    penalty[-1] = 1e-9
+    want = np.linalg.solve(phi.T @ phi + np.diag(penalty), phi.T @ y[~calibrate])
+    assert np.allclose(model.weights, want, rtol=1e-5, atol=1e-7)
+    own.weights = want
+    raw = own.raw(x[calibrate])
+    edges = np.linspace(-1, 2, Q.BINS + 1)
+    at = np.clip(np.searchsorted(edges, raw) - 1, 0, Q.BINS - 1)
+    curve = L.isotonic((edges[1:] + edges[:-1]) / 2, np.bincount(at, y[calibrate], Q.BINS), np.bincount(at, minlength=Q.BINS))
+    assert np.allclose(model.curve[0], curve[0]) and np.allclose(model.curve[1], curve[1])
+
+
+def test_toxicity_fit_against_one_process(spark):
+    """EM over vote patterns and Newton steps over partition sums, against the same sums over all rows at once."""
+    rng = np.random.default_rng(5)
+    width, n = 4, 600
+    y = rng.random(n) < 0.3
+    hits = np.where(y[:, None], rng.poisson(1.2, (n, width)), rng.poisson(0.1, (n, width))).astype(float)
+    hits = np.hstack([hits, rng.integers(20, 200, (n, 1))])
+    votes = hits[:, :-1] > 0
+    patterns, count = np.unique(votes, axis=0, return_counts=True)
+    pdf = spark.createDataFrame([(v.astype(float).tobytes(), int(k)) for v, k in zip(patterns, count)], "votes binary, n long").repartition(3)
+    known = rng.random(n) < 0.4
+    fired = votes.astype(float)
+    seen = np.vstack([[w.sum(), *(w @ fired), w @ ~votes.any(1)] for w in ((known & ~y).astype(float), (known & y).astype(float))])
+    model = T.fit_label_model(pdf, seen, width, rounds=3)
+    (n0, *f0, none0), (n1, *f1, none1) = seen
+    f0, f1 = np.array(f0), np.array(f1)
+    silent = (none1 + 0.5) / (none0 + none1 + 10.0)
+    own = T.LabelModel((n1 + 1) / (n0 + n1 + 2), (f1 + 0.5) / (n1 + 1), (f0 + 0.5) / (n0 + 1), silent)
+    share = model.share
+    for _ in range(3):
+        own.share = share
+        p = own.posterior(fired)
+        weight = min(1.0, (n0 + n1) / n)
+        t, a, b = weight * p.sum(), weight * (p @ fired), weight * ((1 - p) @ fired)
+        c = weight * (1 - p).sum()
+        m = t + c + n0 + n1
+        own = T.LabelModel((t + n1 + 1) / (m + 2), (a + f1 + 0.5) / (t + n1 + 1), (b + f0 + 0.5) / (m - t - n1 + 1), silent)
+    own.share = share
+    assert np.allclose(model.toxic, own.toxic) and np.allclose(model.clean, own.clean) and model.prior == pytest.approx(own.prior)
+    rows = spark.createDataFrame([(h.tobytes(), int(v)) for h, v in zip(hits, y)], "hits binary, label int").repartition(5)
+    w = T.fit_classifier(rows, width, model)
+    x, target = T._inputs(hits), own.posterior(fired)
+    assert (T.fit_classifier(rows.withColumn("label", Q.F.lit(None).cast("int")), width, model) == pytest.approx(w))  # labels are not read
+    gradient = x.T @ (target - 1 / (1 + np.exp(-x @ w))) - np.append(np.full(x.shape[1] - 1, 1.0), 1e-6) * w
+    assert np.abs(gradient).max() < 0.05 * n ** 0.5

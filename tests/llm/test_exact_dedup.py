@@ -34,7 +34,30 @@ def test_smallest_owner_and_kept_rows(messy, messy_rows):
     stay = X.drop_exact_duplicates(messy)
     assert stay.columns == messy.columns
     ids = [r["doc_id"] for r in stay.select("doc_id").collect()]
-    assert 1 not in ids and ids.count(4) == 2 and ids.count(None) == 2 and 2 in ids
+    assert 1 not in ids and ids.count(4) == 2 and ids.count(None) == 0 and 2 in ids
+
+
+def test_rows_with_shared_or_missing_ids_are_told_apart(spark):
+    rows = [(1, "aaa"), (1, "bbb"), (2, "aaa"), (None, "dup"), (None, "dup"), (3, "dup"), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, X.drop_exact_duplicates(df).collect()), key=str) == sorted([(1, "bbb"), (2, "aaa"), (3, "dup"), (None, "alone")], key=str)
+
+
+@pytest.mark.parametrize("budget", [1_000, 10**9])
+def test_one_trie_for_all_texts_of_a_partition(spark, monkeypatch, small_docs, budget):
+    spills, tries = [], []
+    spill, init = X.PatriciaTrie._spill, X.PatriciaTrie.__init__
+    monkeypatch.setattr(X.PatriciaTrie, "_spill", lambda self, byte: (spills.append(byte), spill(self, byte)))
+    monkeypatch.setattr(X.PatriciaTrie, "__init__", lambda self, *a: (tries.append(1), init(self, *a))[1])
+    import pyarrow as pa
+    texts = [low(t) for _, t in small_docs]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array([d for d, _ in small_docs], pa.int64()),
+                                        pa.array([1] * len(texts), pa.int64())], names=["text", "owner", "copies"])
+    out = [r for b in X._owners_of_partition(X._merge_largest, budget)(iter([batch])) for r in b.to_pylist()]
+    assert len(out) == len(set(texts)) and bool(spills) == (budget < 10**9) and (len(tries) == 1) == (budget == 10**9)
+    assert {r["digest"]: r["copies"] for r in out} == {hashlib.sha256(t).digest(): texts.count(t) for t in set(texts)}
+    owners = X.text_owners(spark.createDataFrame(small_docs, "doc_id long, text string"), trie_bytes=budget)
+    assert sorted((r["owner"], r["copies"]) for r in owners.collect()) == sorted((r["owner"], r["copies"]) for r in out)
 
 
 def test_empty_table(empty):

@@ -56,6 +56,9 @@ def test_weights_are_learned(weights):
     ("<div class='cookie-notice'><p>we use many many many cookies</p></div><div class='has-sidebar'><p>x y</p></div>", "x y"),
     ("<article><p>long text of it</p><article class='comment'><p>nice nice nice</p></article></article>", "long text of it"),
     ("<article><p title='a>b'>in</p><ul><li>point</li></ul></article>", "in\npoint"),
+    ("<div><p>side</p></div><div id=c><h1>T</h1><p>a b c d e f g</p><p>h i</p><ul><li>point one</li><li><a href=x>more</a></li></ul></div><div>z</div>",
+     "T\na b c d e f g\nh i\npoint one"),
+    ("<p>a b c</p><ul><li><a href=x>l</a></li></ul>", "a b c"),
     ("<div class='menu-wrap'><article><p>a b c</p></article></div>", "a b c"),
     ("x < y and y > z", "x < y and y > z"),
     ("<article></article><nav><a>n</a></nav>", ""), ("<style>p{}</style><script>", ""), ("<p", ""), ("&amp", "&")])

@@ -74,3 +74,46 @@ def test_hot_source_and_long_document(spark):
     rows = [(i, "word " * (i % 7), "hot") for i in range(3000)] + [(5000 + i, "w " * 50, f"s{i % 4}") for i in range(100)] + [(9999, "z " * 40_000, "s1")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     check(M.mix(df).collect(), 4 * M.SLOT_WORDS)
+
+
+def test_reruns_agree_for_repeated_and_missing_ids(spark):
+    import random
+    rnd = random.Random(6)
+    rows = [(rnd.choice([1, 2, 3, None]), " ".join(["w"] * rnd.randint(1, 40)) + f" {i % 150}", f"s{i % 4}") for i in range(400)]
+    out = []
+    for parts in (3, 7):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        out.append((sorted(map(str, M.mix(df, slot_words=16).collect())), sorted(map(str, M.mixed(df, slot_words=16).collect()))))
+    assert out[0] == out[1]
+
+
+def test_taken_words_against_one_process(spark, small_docs):
+    """Blocks, ranks and uses counted by a plain loop over the shuffled streams."""
+    from pyspark.sql import functions as F
+    slot = 64
+    df = spark.createDataFrame([(i, t, f"s{i % 5}") for i, t in small_docs], "doc_id long, text string, source string")
+    keyed = df.select("doc_id", "source", F.xxhash64(F.lit("shuffle"), F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))).alias("key"),
+                      M.word_count("text").alias("size"))
+    rows = sorted((r for r in keyed.collect() if r["size"]), key=lambda r: (r["key"], r["doc_id"]))
+    got = M.mix(df, slot_words=slot).collect()
+    target = {r["source"]: r["target"] for r in got}
+    size = {r["source"]: r["source_size"] for r in got}
+    names, words = sorted(target), sum(target[s] for s in sorted(target))
+    ends, total = [], 0.0
+    for s in names:
+        total += target[s]
+        ends.append(round(total / words * M.RING))
+    uses = {s: [0] * -(-size[s] // slot) for s in names}
+    rank = dict.fromkeys(names, 0)
+    for k in range(-(-round(words) // slot)):
+        point = (k % M.RING) * M.GOLDEN % M.RING
+        s = next(n for n, e in zip(names, ends) if point < e)
+        if rank[s] < 2 * len(uses[s]):
+            uses[s][rank[s] % len(uses[s])] += 1
+        rank[s] += 1
+    want, at = {}, dict.fromkeys(names, 0)
+    for r in rows:
+        s, lo = r["source"], at[r["source"]]
+        hi = at[s] = lo + r["size"]
+        want[r["doc_id"]] = sum((min(hi, (b + 1) * slot) - max(lo, b * slot)) * uses[s][b] for b in range(lo // slot, (hi - 1) // slot + 1))
+    assert {r["doc_id"]: r["taken"] for r in got if r["size"]} == want

@@ -25,8 +25,6 @@ def brute(rows, words, percent=80):
 
     where = defaultdict(list)
     for i, s in enumerate(sets):
-        if rows[i][0] is None:
-            continue
         shared = Counter(j for x in s for j in where[x])
         for j, n in shared.items():
             if 100 * n >= percent * (len(s) + len(sets[j]) - n):
@@ -37,7 +35,7 @@ def brute(rows, words, percent=80):
     for i, (d, _) in enumerate(rows):
         if d is not None:
             least[root(i)] = min(d, least.get(root(i), d))
-    return [(d, len(sets[i]), None if d is None else (least[root(i)] if sets[i] else d)) for i, (d, _) in enumerate(rows)]
+    return [(d, len(sets[i]), least.get(root(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)]
 
 
 def result(df):
@@ -78,10 +76,20 @@ def test_messy_and_empty(messy, messy_rows, empty):
     assert N.near_duplicates(empty, 2).count() == 0
 
 
+def test_rows_with_shared_or_missing_ids_are_told_apart(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, near, other = " ".join(words), " ".join(words[:59]), "quite another text with more than five words"
+    rows = [(5, near), (5, other), (3, text), (None, near), (None, text), (None, "a lone text that nobody else has written")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(3, text), (5, other), (None, rows[-1][1])]
+    assert sorted(map(tuple, N.drop_near_duplicates(df).collect()), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("held", [1, 2, 1000])
 def test_a_batch_may_end_with_a_full_chunk(monkeypatch, held):
     monkeypatch.setattr(N, "ELEMENTS", held)
-    batches = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([b"a b c", b"", b"d e f g"][:n], pa.binary())], names=["doc_id", "text"])
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([b"a b c", b"", b"d e f g"][:n], pa.binary()),
+                                                pa.array(range(n), pa.int64())], names=["doc_id", "text", "mark"])
                for n in (3, 1, 0)]
     rows = [(r["doc_id"], r["n"]) for b in N._sign(2)(iter(batches)) for r in b.to_pylist()]
     assert rows == [(0, 2), (1, 0), (2, 3), (0, 2)]

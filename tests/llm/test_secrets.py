@@ -57,5 +57,40 @@ def test_automaton_generalises_a_format():
     assert learned.log_likelihood(word) - words.log_likelihood(word) < 0
 
 
+def test_all_candidates_are_scored(spark):
+    """Letters alone, a digit far in, and fewer than sixteen characters: each is a candidate and, being like the labelled ones, a span."""
+    rnd = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    make = lambda n, chars: "".join(rnd.choice(chars) for _ in range(n))
+    words = ["".join(rnd.choice("eaintrsolh") for _ in range(rnd.randint(6, 11))) for _ in range(400)]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(40)) + f" token = {make(rnd.choice((15, 36, 70)), letters + '0123456789')}") for i in range(200)]
+    own = [make(36, letters), make(68, letters) + "7" + make(3, letters), make(15, letters + "0123456789")]
+    rows += [(1000 + i, f"see {x} there") for i, x in enumerate(own)] + [(2000, " ".join(words))]
+    got = {r["doc_id"]: r for r in S.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, x in enumerate(own):
+        assert got[1000 + i]["spans"] == f"learned:4:{4 + len(x)}"
+    assert got[2000]["n_learned"] == 0
+
+
+def test_learned_spans_against_one_process(spark):
+    """Samples, automata and spans as a plain loop over all texts gives them."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").repartition(5)
+    small_docs = [tuple(r) for r in df.collect()]
+    labelled, ordinary, found = set(), set(), {}
+    for i, t in small_docs:
+        base = S.base_spans(t or "")
+        labelled |= {x[3] for x in base}
+        found[i] = [m for m in re.finditer(r"[A-Za-z0-9+/_=-]{6,}", t or "") if not any(m.start() < e and s < m.end() for s, e, _, _ in base)]
+        ordinary |= {m[0] for m in found[i]}
+    pick = lambda values: [v for _, v in S._least(values, 100)]
+    assert S.samples(df, 100) == (pick(labelled), pick(ordinary))
+    a, b = S.learn_automaton(pick(labelled)), S.learn_automaton(pick(ordinary))
+    least = min(a.log_likelihood(v) / (len(v) + 1) for v in pick(labelled))
+    like = lambda v: a.log_likelihood(v) >= least * (len(v) + 1) and a.log_likelihood(v) - b.log_likelihood(v) >= S.MARGIN
+    for r in S.scan_secrets(df, sample=100).collect():
+        want = [f"learned:{m.start()}:{m.end()}" for m in found[r["doc_id"]] if like(m[0])]
+        assert [x for x in r["spans"].split(",") if x.startswith("learned")] == want and r["n_learned"] == len(want)
+
+
 def test_messy_and_empty(messy, empty, messy_rows):
     assert S.scan_secrets(messy).count() == len(messy_rows) and S.scan_secrets(empty).count() == 0
