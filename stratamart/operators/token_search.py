@@ -43,11 +43,11 @@ def token_bucket(token, partitions: int):
 
 
 def search_tokens(token_table: DataFrame, row_id: str, query: str, partitions: int | None = None) -> DataFrame:
-    """Row ids that contain every token of the query."""
+    """Row ids that contain every token of the query; the table has a row per id and token."""
     words = sorted({w for w in re.split(r"[\W_]+", query.lower()) if w})
     hits = token_table.where(F.col("token").isin(words))
     if partitions:
         wanted = [token_bucket(F.lit(w), partitions) for w in words]
         hits = hits.where(F.col("bucket").isin(wanted))
-    return (hits.groupBy(row_id).agg(F.count_distinct("token").alias("_n"))
+    return (hits.groupBy(row_id).agg(F.count("*").alias("_n"))
             .where(F.col("_n") == len(words)).select(row_id))
