@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import doc_bytes, mix64, stored, text_mark, without
 from .components import components
@@ -35,6 +36,7 @@ PART = 2048
 CELL_BYTES = 16_000_000
 ROW_BYTES = 600  # of a member, without its shingles
 PERCENT = 80
+PIVOTS = 4  # of its buckets' pivots a text is compared with first; the comparison across components finds the rest
 MARGIN = 0.17  # five standard deviations of an estimate of 0.8 from 128 slots
 ELEMENTS = 1_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -301,12 +303,18 @@ def _resolved(docs: DataFrame, words: int, percent: int) -> DataFrame:
     classes = stored(classes.join(present.select("row", "n", "signature", F.col("doc_id").alias("node_id"), F.col("mark").alias("node_mark")), F.col("node") == F.col("row")).drop("row"),
                      "shingle-classes")
     bands = classes.select("node", "n", "signature").mapInArrow(_bands, "band long, node long, n long")
-    buckets = bands.groupBy("band").agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n"),
-                                        F.count("*").alias("size")).filter("size > 1").drop("size")
-    members = stored(bands.join(buckets, "band"), "buckets")
+    sizes = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    crowd = stored(bands.join(sizes, "band"), "buckets")
+    # a bucket's pivot is the member with the most others over all its buckets: of a group of near copies, one like most of them
+    company = crowd.groupBy("node").agg(F.sum("size").alias("company"))
+    first = F.struct("company", -F.col("node"))
+    pivots = crowd.join(company, "node").groupBy("band").agg(F.max_by("node", first).alias("pivot"), F.max_by("n", first).alias("pivot_n"))
+    members = stored(crowd.drop("size").join(pivots, "band"), "pivots")
     near_enough = "100 * least(n, pivot_n) >= {0} * greatest(n, pivot_n)".format(int(percent))
-    to_pivot = (members.filter(f"node <> pivot AND {near_enough}").groupBy("node", "pivot").agg(F.count("*").alias("shared"))
-                .groupBy("node").agg(F.max_by("pivot", F.struct("shared", -F.col("pivot"))).alias("v")).select(F.col("node").alias("u"), "v"))
+    shared = members.filter(f"node <> pivot AND {near_enough}").groupBy("node", "pivot").agg(F.count("*").alias("shared"))
+    likeliest = Window.partitionBy("node").orderBy(F.desc("shared"), "pivot")  # at most a row per band
+    to_pivot = (shared.withColumn("rank", F.row_number().over(likeliest)).filter(F.col("rank") <= PIVOTS)
+                .select(F.col("node").alias("u"), F.col("pivot").alias("v")))
     wanted = members.select("node").distinct().join(classes.select("node", "node_id", "node_mark", "k1", "k2"), "node")
     same = F.col("doc_id").eqNullSafe(F.col("node_id")) & (F.col("mark") == F.col("node_mark"))
     texts = doc_bytes(docs, text_mark()).join(wanted, same).select("node", "k1", "k2", "text")
