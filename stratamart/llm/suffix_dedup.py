@@ -6,7 +6,9 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
   bytes is its anchor. Equal windows have equal anchors at equal places, so a
   repeated window shows up as a repeated anchor, and the bytes around an anchor,
   its context, hold every window that has it. Blocks of texts send their
-  different (anchor, context hash) pairs with counts, packed, to buckets.
+  different (anchor, context hash) pairs with counts, packed, to buckets by pair; a
+  bucket sends how many different contexts it has of each anchor, which are added up
+  by anchor. So an anchor in a third of all texts is one number per bucket.
 * A context that occurs twice repeats as a whole. An anchor with one occurrence
   repeats nothing. Only anchors with several different contexts are open; of each
   of their contexts one copy goes on.
@@ -51,6 +53,8 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _TOP = np.iinfo(np.uint64).max
 
 _PAIRS = "bucket int, block int, anchors binary, contexts binary, counts binary"
+_CONTEXTS = "owner int, bucket int, anchors binary, counts binary"
+_OPENED = "bucket int, anchors binary, states binary"
 _VERDICTS = "block int, anchors binary, contexts binary, verdicts binary"
 _FOUND = ("kind string, bucket int, block int, refs binary, starts binary, ends binary, anchor long, context binary, "
           "left int, keys binary")
@@ -186,7 +190,7 @@ def _send(length: int, piece: int, buckets: int):
         order, first, group = _pair_order(block.anchors, block.contexts)
         counts = np.minimum(np.bincount(group, minlength=len(first)), 2).astype(np.uint8)
         anchors, contexts = block.anchors[order][first], block.contexts[order][first]
-        bucket = _bucket(anchors, buckets)
+        bucket = _bucket(anchors ^ mix64(contexts), buckets)  # an anchor's contexts are spread over all buckets
         by = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[by], prepend=-1))
         rows = []
@@ -206,27 +210,69 @@ def _numbers(column, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in column.to_pylist()]
 
 
-def _judge(key, table):
-    """Per (anchor, context): COVERED if it occurs twice, OPEN in one block if its anchor has other contexts, HOT beside OPEN if it has many."""
+def _sorted_pairs(table):
+    """The pairs of one bucket by block, and over all of them their order, sorted anchors and where a new pair begins."""
     blocks = table.column("block").to_pylist()
     anchors, contexts = (_numbers(table.column(c), np.uint64) for c in ("anchors", "contexts"))
-    sizes = [len(a) for a in anchors]
     a, c = np.concatenate(anchors), np.concatenate(contexts)
-    n = np.concatenate(_numbers(table.column("counts"), np.uint8)).astype(np.int64)
     # of equal pairs the one of the least block carries the context on
-    order = np.lexsort((np.repeat(blocks, sizes), c, a))
+    order = np.lexsort((np.repeat(blocks, [len(x) for x in anchors]), c, a))
     sa, sc = a[order], c[order]
     new = np.ones(len(sa), bool)
     new[1:] = (sa[1:] != sa[:-1]) | (sc[1:] != sc[:-1])
+    return blocks, anchors, contexts, order, sa, new
+
+
+def _count_contexts(buckets: int):
+    """How many different contexts each anchor has in one bucket of pairs, by bucket of the anchor."""
+    def run(key, table):
+        *_, sa, new = _sorted_pairs(table)
+        anchors, n = np.unique(sa[new], return_counts=True)
+        bucket = _bucket(anchors, buckets)
+        by = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[by], prepend=-1))
+        rows = [(int(bucket[by[lo]]), key[0].as_py(), anchors[by[lo:hi]].tobytes(), n[by[lo:hi]].astype(np.uint32).tobytes())
+                for lo, hi in zip(edges, [*edges[1:], len(by)])]
+        return _table(rows, ("owner", pa.int32()), ("bucket", pa.int32()), ("anchors", pa.binary()), ("counts", pa.binary()))
+    return run
+
+
+def _open_anchors(group: int):
+    """The anchors with several contexts over all buckets, back to the buckets that have pairs of them; HOT if more than ``group``."""
+    def run(key, table):
+        buckets = table.column("bucket").to_pylist()
+        anchors, counts = _numbers(table.column("anchors"), np.uint64), _numbers(table.column("counts"), np.uint32)
+        every, inverse = np.unique(np.concatenate(anchors), return_inverse=True)
+        total = np.zeros(len(every), np.int64)
+        np.add.at(total, inverse, np.concatenate(counts))
+        state = (np.where(total > 1, OPEN, 0) | np.where(total > group, HOT, 0)).astype(np.uint8)[inverse]
+        rows, at = [], 0
+        for bucket, own in zip(buckets, anchors):
+            told = state[at:at + len(own)]
+            at += len(own)
+            if told.any():
+                rows.append((bucket, own[told > 0].tobytes(), told[told > 0].tobytes()))
+        return _table(rows, ("bucket", pa.int32()), ("anchors", pa.binary()), ("states", pa.binary()))
+    return run
+
+
+def _judge(table, opened):
+    """Per (anchor, context): COVERED if it occurs twice, OPEN in one block if its anchor has other contexts, HOT beside OPEN if it has many."""
+    columns = (("block", pa.int32()), ("anchors", pa.binary()), ("contexts", pa.binary()), ("verdicts", pa.binary()))
+    if not table.num_rows:
+        return _table([], *columns)
+    blocks, anchors, contexts, order, sa, new = _sorted_pairs(table)
+    n = np.concatenate(_numbers(table.column("counts"), np.uint8)).astype(np.int64)
     group = np.cumsum(new) - 1
     total = np.bincount(group, weights=n[order])
-    first = np.flatnonzero(new)
-    other = np.ones(len(first), bool)
-    other[1:] = sa[first][1:] != sa[first][:-1]
-    family = np.cumsum(other) - 1
-    many = np.bincount(family)[family]
-    verdict = np.where(total[group] > 1, COVERED, 0) | np.where(new & (many[group] > 1), OPEN, 0)
-    verdict |= np.where((verdict & OPEN > 0) & (many[group] > GROUP), HOT, 0)
+    state = np.zeros(len(sa), np.uint8)
+    if opened.num_rows:
+        known = np.concatenate(_numbers(opened.column("anchors"), np.uint64))
+        told = np.concatenate(_numbers(opened.column("states"), np.uint8))
+        by = np.argsort(known)
+        at = np.minimum(np.searchsorted(known[by], sa), len(known) - 1)
+        state = np.where(known[by][at] == sa, told[by][at], 0)
+    verdict = np.where(total[group] > 1, COVERED, 0) | np.where(new, state, 0)
     back = np.empty(len(order), np.uint8)
     back[order] = verdict
     rows, at = [], 0
@@ -236,7 +282,7 @@ def _judge(key, table):
         told = v > 0
         if told.any():
             rows.append((block, own_a[told].tobytes(), own_c[told].tobytes(), v[told].tobytes()))
-    return _table(rows, ("block", pa.int32()), ("anchors", pa.binary()), ("contexts", pa.binary()), ("verdicts", pa.binary()))
+    return _table(rows, *columns)
 
 
 def _merged(refs, starts, ends):
@@ -524,7 +570,9 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, piece: int = PIECE)
     rows = doc_bytes(docs).withColumn("block", block_of(blocks))
     dealt = rows.repartition(partitions_of(docs.sparkSession), "block")
     pairs = dealt.groupBy("block").applyInArrow(_send(length, piece, blocks), _PAIRS)
-    verdicts = pairs.groupBy("bucket").applyInArrow(_judge, _VERDICTS)
+    counted = pairs.groupBy("bucket").applyInArrow(_count_contexts(blocks), _CONTEXTS)
+    opened = counted.groupBy("owner").applyInArrow(_open_anchors(GROUP), _OPENED)
+    verdicts = pairs.groupBy("bucket").cogroup(opened.groupBy("bucket")).applyInArrow(_judge, _VERDICTS)
     found = stored(dealt.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(_examine(length, piece, blocks), _FOUND), "repeat-contexts")
     none = F.lit(None).cast("binary")
     repeats = (found.filter("kind = 'open'").groupBy("bucket").applyInArrow(_intervals(length), _RUNS)
