@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import business, casts, display, text
@@ -96,8 +99,16 @@ on_table("F19_text_previews", "documents", "doc_id",
 on_raw("F20_email_local_part", "customers", "customer_id", {"local": lambda: display.email_local_part(C("email"))},
        "split_part(email, '@', 1) AS local")
 _BIG = "CAST(o_orderkey AS BIGINT) * o_orderkey * o_custkey"
+
+
+def _exact_product(*names: str) -> Column:
+    """Product of whole numbers beyond 64 bits; past 38 digits, where no type is exact, as a double."""
+    exact = reduce(F.try_multiply, [C(n).cast("decimal(38,0)") for n in names])
+    return F.coalesce(exact.cast("double"), reduce(lambda a, b: a * b, [C(n).cast("double") for n in names]))
+
+
 on_table("F21_human_bytes", "orders", "o_orderkey",
-         {"size": lambda: display.human_bytes(C("o_orderkey") * C("o_orderkey") * C("o_custkey")),
+         {"size": lambda: display.human_bytes(_exact_product("o_orderkey", "o_orderkey", "o_custkey")),
           "small": lambda: display.human_bytes(C("o_custkey"))},
          f"{bytes_sql(_BIG)} AS size, {bytes_sql('o_custkey')} AS small")
 _END = "(ts + to_milliseconds(CAST(floor(value * value * 100) AS BIGINT)))"

@@ -128,3 +128,11 @@ def test_datetimes_are_utc_whatever_the_machine_zone(spark):
     oslo = dt.timezone(dt.timedelta(hours=2))
     for value in (dt.datetime(2024, 5, 1, 10), dt.datetime(2024, 5, 1, 12, tzinfo=oslo)):
         assert one(spark, lambda: fn.utc_instant(value).cast("string")) == "2024-05-01 10:00:00"
+
+
+def test_human_bytes_of_products_beyond_64_bits(spark, tmp_path):
+    from stratamart.queries import REGISTRY
+    rows = [(9_000_000, 900_000), (10 ** 15, 10 ** 15), (3, 2), (None, 1), (1, None)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.o_orderkey: r["size"] for r in REGISTRY["F21_human_bytes"].run(spark, str(tmp_path)).collect()}
+    assert got == {9_000_000: "66302163.76 TB", 10 ** 15: "909494701772928300000000000000000 TB", 3: "18 B", None: "0 B", 1: "0 B"}
