@@ -1,12 +1,13 @@
 """Column profiler and quality reports.
 
-All columns of a table are profiled together. Counts, extremes, moments and
-lengths come from one aggregate over one scan. Exact distinct counts come from
-a second narrow pass in long form: every cell becomes (column, value), equal
-pairs merge inside each task before the shuffle, and the shuffle spreads by
-value, so neither a hot value nor a wide table ends up in one task. With
-``distinct="approx"`` the sketch joins the first aggregate and the second pass
-disappears.
+All columns of a table are profiled together, in two narrow passes. Row counts and the
+moments of numbers come from one aggregate over one scan. Everything that the different
+values tell comes from a second pass in long form: every cell becomes (column, value),
+equal pairs merge inside each task before the shuffle and keep how many they were, and
+the shuffle spreads by value, so neither a hot value nor a wide table ends up in one
+task. Distinct and filled counts, text lengths and extremes of times are read off these
+pairs. With ``distinct="approx"`` the first aggregate has all figures and a sketch, and
+the second pass disappears.
 """
 
 from __future__ import annotations
@@ -43,6 +44,19 @@ def _is_time(t: T.DataType) -> bool:
     return isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
+def _text(c: Column, t: T.DataType) -> Column | None:
+    """The text form of values that are compared as text, whatever their length."""
+    if isinstance(t, T.StringType):
+        return c
+    if isinstance(t, T.BinaryType):
+        return F.base64(c)
+    if isinstance(t, T.MapType):
+        return F.to_json(F.array_sort(F.map_entries(c)))
+    if isinstance(t, (T.ArrayType, T.StructType)):
+        return F.when(c.isNotNull(), F.to_json(c))
+    return None
+
+
 def _comparable(c: Column, t: T.DataType, utc: bool) -> tuple[str, Column] | None:
     """A value that is equal exactly when the cells are, and the slot of the long form it goes to.
 
@@ -59,27 +73,27 @@ def _comparable(c: Column, t: T.DataType, utc: bool) -> tuple[str, Column] | Non
         return "l", F.unix_micros(c.cast("timestamp"))
     if isinstance(t, (T.DecimalType, T.TimestampNTZType)):
         return "t", c.cast("string")
-    if isinstance(t, T.StringType):
-        text = c
-    elif isinstance(t, T.BinaryType):
-        text = F.base64(c)
-    elif isinstance(t, T.MapType):
-        text = F.to_json(F.array_sort(F.map_entries(c)))
-    elif isinstance(t, (T.ArrayType, T.StructType)):
-        text = F.when(c.isNotNull(), F.to_json(c))
-    else:
-        return None
-    return "t", F.when(F.length(text) <= MAX_PLAIN_VALUE, F.concat(F.lit("v"), text)).otherwise(
-        F.concat(F.lit("h"), F.sha2(text, 256)))
+    text = _text(c, t)
+    # A digest with the length behind it is longer than any plain value, so the two never meet.
+    return None if text is None else ("t", F.when(F.length(text) <= MAX_PLAIN_VALUE, text).otherwise(
+        F.concat(F.sha2(text, 256), F.lit(":"), F.length(text))))
 
 
 def comparable_value(c: Column, t: T.DataType, utc: bool) -> Column | None:
-    """A value that is equal exactly when the cells are, or None for types that cannot be compared."""
+    """A value that is equal exactly when the cells are, or None for types that cannot be compared.
+
+    Stored sketches hold hashes of it, so its form stays as it is.
+    """
+    text = _text(c, t)
+    if text is not None:
+        return F.when(F.length(text) <= MAX_PLAIN_VALUE, F.concat(F.lit("v"), text)).otherwise(
+            F.concat(F.lit("h"), F.sha2(text, 256)))
     key = _comparable(c, t, utc)
     return None if key is None else key[1]
 
 
-def _distinct_counts(df: DataFrame, keyed: dict[int, tuple[str, Column]]) -> DataFrame:
+def _value_figures(df: DataFrame, keyed: dict[int, tuple[str, Column]], figures: bool) -> DataFrame:
+    """A row per column with a value: its different and filled cells, and the lengths and extremes of the values."""
     slots = {"l": "long", "d": "double", "t": "string"}
     used = [s for s in slots if any(k[0] == s for k in keyed.values())]
     cells: list[Column] = []
@@ -87,11 +101,25 @@ def _distinct_counts(df: DataFrame, keyed: dict[int, tuple[str, Column]]) -> Dat
         cells += [F.lit(i), *[value if s == slot else F.lit(None).cast(slots[s]) for s in used]]
     long = df.select(F.stack(F.lit(len(keyed)), *cells).alias("i", *used))
     filled = reduce(lambda a, b: a | b, [F.col(s).isNotNull() for s in used])
-    return (long.where(filled).distinct().groupBy("i").agg(F.count("*").alias("n_distinct")))
+    values = long.where(filled).groupBy("i", *used).agg(F.count("*").alias("n"))
+    aggs = [F.count("*").alias("n_distinct"), F.sum("n").alias("n_present")]
+    if figures and "l" in used:
+        aggs += [F.min("l").alias("l_min"), F.max("l").alias("l_max")]
+    if figures and "t" in used:
+        size = F.when(F.length("t") <= MAX_PLAIN_VALUE, F.length("t").cast("long")).otherwise(
+            F.split_part("t", F.lit(":"), F.lit(2)).try_cast("long"))
+        aggs += [F.min(size).alias("t_min"), F.max(size).alias("t_max"), F.sum(size * F.col("n")).alias("t_sum")]
+    return values.groupBy("i").agg(*aggs)
+
+
+def _instant(micros: Column, t: T.DataType) -> Column:
+    if isinstance(t, T.DateType):
+        return F.date_from_unix_date(micros.cast("int"))
+    return F.timestamp_micros(micros).cast(t)
 
 
-def profile_table(spec: TableSpec, distinct: str = "exact", rsd: float = 0.05) -> DataFrame:
-    """One row per column of one table."""
+def profile_table(spec: TableSpec, distinct: str = "exact", rsd: float = 0.05, figures: bool = True) -> DataFrame:
+    """One row per column of one table. Without ``figures`` only counts are filled in."""
     df, fields = spec.df, spec.df.schema.fields
     dbl, txt = T.DoubleType(), T.StringType()
     none = lambda t: F.lit(None).cast(t)
@@ -99,42 +127,62 @@ def profile_table(spec: TableSpec, distinct: str = "exact", rsd: float = 0.05) -
     utc = df.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC"
     keyed: dict[int, tuple[str, Column]] = {}
     rows: list[Column] = []
+    texts: list[int] = []
+    times: dict[int, T.DataType] = {}
     for i, f in enumerate(fields):
         c, t = F.col(f"`{f.name}`"), f.dataType
         key = _comparable(c, t, utc)
-        aggs.append(F.count(c).alias(f"n{i}"))
         number = [none(dbl)] * 4
         text = [none(txt)] * 2
         lengths = [none(T.LongType())] * 2 + [none(dbl)]
-        if isinstance(t, T.NumericType):
+        present = approx = none(T.LongType())
+        if key is None or distinct == "approx":
+            aggs.append(F.count(c).alias(f"n{i}"))
+            present = F.col(f"n{i}")
+        if figures and isinstance(t, T.NumericType):
             x = c.cast("double")
             aggs += [F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}"), F.avg(x).alias(f"m{i}"),
                      F.stddev_samp(x).alias(f"s{i}")]
             number = [F.col(f"a{i}"), F.col(f"b{i}"), F.round(f"m{i}", 4), F.round(f"s{i}", 4)]
-        elif isinstance(t, T.StringType):
-            size = F.length(c)
-            aggs += [F.min(size).alias(f"a{i}"), F.max(size).alias(f"b{i}"), F.avg(size).alias(f"m{i}")]
-            lengths = [F.col(f"a{i}").cast("long"), F.col(f"b{i}").cast("long"), F.round(f"m{i}", 1)]
-        elif _is_time(t):
-            aggs += [F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}")]
-            text = [F.col(f"a{i}").cast("string"), F.col(f"b{i}").cast("string")]
-        approx = none(T.LongType())
+        elif figures and isinstance(t, T.StringType):
+            if distinct == "approx":
+                size = F.length(c)
+                aggs += [F.min(size).alias(f"a{i}"), F.max(size).alias(f"b{i}"), F.avg(size).alias(f"m{i}")]
+                lengths = [F.col(f"a{i}").cast("long"), F.col(f"b{i}").cast("long"), F.round(f"m{i}", 1)]
+            else:
+                texts.append(i)
+        elif figures and _is_time(t):
+            if distinct == "approx" or key[0] != "l":
+                aggs += [F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}")]
+                text = [F.col(f"a{i}").cast("string"), F.col(f"b{i}").cast("string")]
+            else:
+                times[i] = t
         if key is not None:
             keyed[i] = key
             if distinct == "approx":
-                aggs.append(F.approx_count_distinct(c if isinstance(t, T.AtomicType) else key[1], rsd).alias(f"d{i}"))
+                aggs.append(F.approx_count_distinct(c if isinstance(t, T.AtomicType) else comparable_value(c, t, utc), rsd).alias(f"d{i}"))
                 approx = F.col(f"d{i}")
         names = ["i", "column_name", "data_type", "present", "min_number", "max_number", "mean", "stddev",
                  "min_text", "max_text", "min_length", "max_length", "avg_length", "approx"]
-        values = [F.lit(i), F.lit(f.name), F.lit(t.simpleString()), F.col(f"n{i}"), *number, *text,
+        values = [F.lit(i), F.lit(f.name), F.lit(t.simpleString()), present, *number, *text,
                   *lengths, approx]
         rows.append(F.struct(*[v.alias(n) for n, v in zip(names, values)]))
     stats = df.agg(*aggs).select("total", F.inline(F.array(*rows)))
+    known = F.col("i").isin(*keyed) if keyed else F.lit(False)
     if distinct == "approx" or not keyed:
         found = stats.withColumn("n_distinct", F.col("approx"))
     else:
-        found = stats.join(F.broadcast(_distinct_counts(df, keyed)), "i", "left")  # a row per column
-    known = F.col("i").isin(*keyed) if keyed else F.lit(False)
+        found = stats.join(F.broadcast(_value_figures(df, keyed, figures)), "i", "left")  # a row per column
+        found = found.withColumn("present", F.when(known, F.coalesce("n_present", F.lit(0))).otherwise(F.col("present")))
+        for i, t in times.items():
+            here = F.col("i") == i
+            found = found.withColumns({n: F.when(here, _instant(F.col(v), t).cast("string")).otherwise(F.col(n))
+                                       for n, v in (("min_text", "l_min"), ("max_text", "l_max"))})
+        if texts:
+            text_row = F.col("i").isin(*texts)
+            found = found.withColumns({
+                "min_length": F.when(text_row, F.col("t_min")), "max_length": F.when(text_row, F.col("t_max")),
+                "avg_length": F.when(text_row, F.round(F.col("t_sum").cast("double") / F.col("n_present"), 1))})
     counted = F.when(known, F.coalesce("n_distinct", F.lit(0)))
     total = F.col("total")
     return found.where(total > 0).select(
@@ -149,7 +197,7 @@ def profile_table(spec: TableSpec, distinct: str = "exact", rsd: float = 0.05) -
     ).to(PROFILE_SCHEMA)
 
 
-def profile_tables(specs: list[TableSpec], distinct: str = "exact") -> DataFrame:
+def profile_tables(specs: list[TableSpec], distinct: str = "exact", figures: bool = True) -> DataFrame:
     """Profiles of many tables as one plan. Views give one note row; empty tables give none."""
     parts = []
     for s in specs:
@@ -159,7 +207,7 @@ def profile_tables(specs: list[TableSpec], distinct: str = "exact") -> DataFrame
                 F.lit(VIEW_NOTE).alias("status"))
             parts.append(note.to(PROFILE_SCHEMA))
         else:
-            parts.append(profile_table(s, distinct))
+            parts.append(profile_table(s, distinct, figures=figures))
     return reduce(DataFrame.unionByName, parts)
 
 

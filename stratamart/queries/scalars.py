@@ -153,7 +153,7 @@ query("F31_traffic_lights", with_layers(f"""
 SELECT table_name, column_name, CASE WHEN null_pct = 0 THEN 'good' WHEN null_pct < 10 THEN 'warn' ELSE 'bad' END AS nulls,
  CASE WHEN distinct_pct > 80 THEN 'good' WHEN distinct_pct > 50 THEN 'neutral' ELSE 'warn' END AS distincts
  FROM ({_QUALITY_SQL})""", *_STAGED_COLUMNS))(
-    lambda spark, sf_dir: quality_rows(_staged_profile(spark, sf_dir)).select(
+    lambda spark, sf_dir: quality_rows(_staged_profile(spark, sf_dir, figures=False)).select(
         "table_name", "column_name", display.null_bucket(C("null_pct")).alias("nulls"),
         display.distinct_bucket(C("distinct_pct")).alias("distincts")))
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 from decimal import Decimal as D
 
 import pytest
@@ -335,3 +336,26 @@ def test_guarded_read_refuses(spark, where):
     with pytest.raises(ValueError):
         read_partitioned(spark, path, "day", where)
     assert read_partitioned(spark, path, "day", "day >= '2024-01-01' AND total > 3").count() == 5
+
+
+# --- profiler passes --------------------------------------------------------------------------------
+
+def test_profile_reads_text_and_times_once(spark, tmp_path):
+    """Text, dates and flags are read by the pass over values alone, and counts need no lengths or moments."""
+    spark.createDataFrame(DATA, SCHEMA).select("n", "s", "d", "b").write.parquet(f"{tmp_path}/t")
+    spec = TableSpec("d", "t", spark.read.parquet(f"{tmp_path}/t"))
+    reads = lambda df: sorted(re.findall(r"ReadSchema: struct<(.*?)>", df._jdf.queryExecution().executedPlan().toString()))
+    assert reads(profile.profile_table(spec)) == ["n:int", "n:int,s:string,d:date,b:boolean"]
+    assert reads(profile.profile_table(spec, figures=False)) == ["", "n:int,s:string,d:date,b:boolean"]
+    counts = ["column_name", "total_rows", "null_count", "null_pct", "distinct_count", "uniqueness_pct", "status"]
+    whole, short = profile.profile_table(spec), profile.profile_table(spec, figures=False)
+    assert sorted(whole.select(*counts).collect()) == sorted(short.select(*counts).collect())
+
+
+def test_profile_of_values_at_the_digest_border(spark):
+    import hashlib
+    long = "x" * 65
+    like = f"{hashlib.sha256(long.encode()).hexdigest()}:65"
+    df = spark.createDataFrame([("x" * 64,), (long,), (like,), ("",), ("a:b",), (None,)], "s string")
+    r = profile.profile_table(TableSpec("d", "t", df)).first()
+    assert (r.distinct_count, r.null_count, r.min_length, r.max_length, r.avg_length) == (5, 1, 0, 67, 39.8)
