@@ -6,9 +6,11 @@ Everything is written under the shared work folder, in a new path per run.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import catalog, token_search
 from ..operators.inventory import partition_stats
@@ -331,18 +333,24 @@ def _buffer_stats(spark: SparkSession, sink: str) -> DataFrame:
         F.lit(len(sizes) == 4).alias("one_file_per_slice"))
 
 
-def _streamed_summary(spark: SparkSession, sf_dir: str, files: int, per_batch: int | None) -> DataFrame:
-    arrivals = fresh_path(spark, "orders-arriving")
-    retail.raw(spark, sf_dir, "orders").repartition(files, "order_id").write.parquet(arrivals)
-    landing, summary, state = (fresh_path(spark, n) for n in ("orders-landed", "summary", "orders-checkpoint"))
-    stream = append.read_arrivals(spark, arrivals, RAW_SCHEMAS["orders"], "parquet", files_per_batch=per_batch)
-    refresh.keep_daily_summary(stream, landing, summary, state).awaitTermination()
+def _arrive(df: DataFrame, slices: int, path: str, run: Callable[[], StreamingQuery]) -> None:
+    """Write the orders slice by slice, each from as many tasks as the source has, and let the stream take each as a batch."""
+    number = F.pmod(F.xxhash64("order_id"), F.lit(slices))
+    for k in range(slices):
+        df.where(number == k).write.mode("append").parquet(path)
+        run().awaitTermination()
+
+
+def _streamed_summary(spark: SparkSession, sf_dir: str, slices: int) -> DataFrame:
+    arrivals, landing, summary, state = (fresh_path(spark, n) for n in ("orders-arriving", "orders-landed", "summary", "orders-checkpoint"))
+    _arrive(retail.raw(spark, sf_dir, "orders"), slices, arrivals, lambda: refresh.keep_daily_summary(
+        append.read_arrivals(spark, arrivals, RAW_SCHEMAS["orders"], "parquet"), landing, summary, state))
     return upkeep.read_daily_summary(spark, summary)
 
 
 # Three micro-batches that touch the same months, and one scheduled run over everything that arrived.
-query("T3_stream_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 3, 1))
-query("T4_scheduled_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 2, None))
+query("T3_stream_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 3))
+query("T4_scheduled_refresh", _SUMMARY_SQL)(lambda spark, sf_dir: _streamed_summary(spark, sf_dir, 1))
 
 
 @query("T3_stream_customers", _C360_SQL)
@@ -354,9 +362,8 @@ def stream_customers(spark, sf_dir):
     orders = staged(spark, sf_dir, "orders")
     first = build(customers, orders.limit(0)).withColumn("bucket", refresh.customer_bucket(16))
     sinks.write_partitioned(first, path, "bucket")
-    orders.repartition(3, "order_id").write.parquet(arrivals)
-    stream = append.read_arrivals(spark, arrivals, orders.schema, "parquet", files_per_batch=1)
-    refresh.keep_customer_360(stream, landing, lambda: customers, build, path, state, 16).awaitTermination()
+    _arrive(orders, 3, arrivals, lambda: refresh.keep_customer_360(
+        append.read_arrivals(spark, arrivals, orders.schema, "parquet"), landing, lambda: customers, build, path, state, 16))
     return spark.read.parquet(path).drop("bucket")
 
 

@@ -132,3 +132,17 @@ def test_refreshes_merge_the_landing(spark, shop, scratch):
         refresh.land_batch(staged.where(F.pmod(F.xxhash64("order_id"), F.lit(5)) == b), b, path)
         refresh.compact(staged, path, fan=2)
     assert landing.landed(staged, path).count() == staged.count() and len(landing.live_segments(spark, path)) == 2
+
+
+def test_arrivals_are_written_by_the_source_tasks(spark, scratch):
+    """A slice is one batch of as many files as the source has parts; none gathers the slice."""
+    from stratamart.queries.writes import _arrive
+    path, seen = scratch("arriving"), []
+    df = spark.range(0, 4000, 1, 8).select(F.concat(F.lit("o"), "id").alias("order_id"))
+
+    class Done:
+        def awaitTermination(self):
+            seen.append((spark.read.parquet(path).count(), len(spark.read.parquet(path).inputFiles())))
+    _arrive(df, 3, path, Done)
+    assert [files for _, files in seen] == [8, 16, 24]
+    assert seen[0][0] < seen[1][0] < seen[2][0] == 4000 and spark.read.parquet(path).distinct().count() == 4000
