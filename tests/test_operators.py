@@ -359,3 +359,17 @@ def test_profile_of_values_at_the_digest_border(spark):
     df = spark.createDataFrame([("x" * 64,), (long,), (like,), ("",), ("a:b",), (None,)], "s string")
     r = profile.profile_table(TableSpec("d", "t", df)).first()
     assert (r.distinct_count, r.null_count, r.min_length, r.max_length, r.avg_length) == (5, 1, 0, 67, 39.8)
+
+
+def test_closure_does_not_walk_into_dead_ends(spark, monkeypatch):
+    rows = [(f"p{i}", "s", "t") for i in range(50)] + [("s", "n", "t"), ("s", "n", "t"), ("n", "s", "back"), (None, "s", "t")]
+    edges = lineage.edges_from(spark, rows)
+    walked = []
+    whole = lineage._spread
+    monkeypatch.setattr(lineage, "_spread", lambda starts, steps, hops: walked.append(steps.count()) or whole(starts, steps, hops))
+    starts = spark.createDataFrame([("n",), ("p0",)], "start string")
+    got = lineage.trace(edges, starts, first_only=False)
+    assert walked == [2 * 3 + 50]  # both ways along s and n, and down from each p, but never up into one
+    by = {(r.start, r.direction, r.position): r["count"] for r in got.groupBy("start", "direction", "position").count().collect()}
+    assert by == {("n", "up", -1): 2, ("n", "up", -2): 52, ("n", "down", 1): 1, ("n", "down", 2): 2,
+                  ("p0", "down", 1): 1, ("p0", "down", 2): 2, ("p0", "down", 3): 1}
