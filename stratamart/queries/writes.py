@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import catalog, token_search
 from ..operators.inventory import partition_stats
+from ..operators.skew import stored
 from ..plans import analytics, pipeline, reporting, upkeep
 from ..plans.staging import STAGING
 from ..session import fresh_path
@@ -78,7 +79,7 @@ SELECT * FROM (SELECT order_id, total_amount, {_MONTH} FROM ({_STG_ORDERS_SQL}))
 def clustered_table(spark, sf_dir):
     path = fresh_path(spark, "fulfilment-clustered")
     return spark.read.parquet(sinks.write_clustered(
-        mart(spark, sf_dir, "order_fulfillment"), path, "order_status", "payment_method"))
+        stored(mart(spark, sf_dir, "order_fulfillment"), "fulfilment-plain"), path, "order_status", "payment_method"))
 
 
 @query("S8_logical_view", with_layers("""
