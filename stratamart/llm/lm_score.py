@@ -39,7 +39,7 @@ from .common import block_count, block_of, doc_bytes, id_remainder, mix64, parti
 
 ORDER = 3
 STRENGTH = 5.0
-SLICE_TOKENS = 400_000
+SLICE_TOKENS = 100_000
 BLOCK_BYTES = 6_000_000
 HELD_OUT, HELD_REMAINDER = 5, 1
 START, END = 0, 1  # token numbers in every block; their keys are not hashes of words
@@ -77,21 +77,34 @@ class _Vocabulary(dict):
         return n
 
 
+def _numbered(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different value, in order of the values, and the number of the value at each place."""
+    by = np.argsort(code)
+    ordered = code[by]
+    new = np.ones(len(code), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    del ordered
+    number = np.empty(len(code), np.int32)
+    number[by] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return by[new], number
+
+
 class BlockGrams:
     """The runs of up to ``order`` tokens in one block of texts, each numbered, with local training counts.
 
     ``at[k]`` numbers the run of k + 1 tokens that ends at each token (-1 at the
     start mark, or where the text is too short); ``prefix[k]`` and ``suffix[k]``
-    give the runs of k tokens it begins and ends with, ``last[k]`` its last token.
+    give the runs of k tokens it begins and ends with. Numbers have 32 bits, as an
+    Arrow batch has less than 2^31 bytes of text.
     """
 
     def __init__(self, texts: list[bytes], training: np.ndarray, order: int):
         vocabulary = _Vocabulary()
         number = vocabulary.__getitem__
-        words = [np.fromiter(map(number, w), np.int64, len(w)) for w in (t.lower().split() for t in texts)]
+        words = [np.fromiter(map(number, w), np.int32, len(w)) for w in (t.lower().split() for t in texts)]
         self.sizes = np.array([len(w) + 2 for w in words], np.int64)  # with both marks
         self.ends = np.cumsum(self.sizes)
-        self.tokens = np.full(int(self.sizes.sum()), END, np.int64)
+        self.tokens = np.full(int(self.sizes.sum()), END, np.int32)
         starts = self.ends - self.sizes
         self.tokens[starts] = START
         inside = np.ones(len(self.tokens), bool)
@@ -101,28 +114,35 @@ class BlockGrams:
             self.tokens[inside] = np.concatenate(words)
         train = np.repeat(training, self.sizes)
         n_words = len(vocabulary) + 2
-        del words
+        del words, inside
         hashes = np.concatenate([_MARK_KEYS, np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary), np.uint64, len(vocabulary))])
         del vocabulary, number
-        self.at, self.keys, self.counts, self.prefix, self.suffix, self.last = [self.tokens], [hashes], [], [None], [None], [None]
+        self.at, self.keys, self.counts, self.prefix, self.suffix = [self.tokens], [hashes], [], [None], [None]
         self.counts.append(np.bincount(self.tokens[train], minlength=n_words))
         self.n_words = n_words
         for _ in range(1, order):
-            before, shorter = np.concatenate([[-1], self.at[-1][:-1]]), self.at[-1]
+            before, shorter = np.concatenate([np.array([-1], np.int32), self.at[-1][:-1]]), self.at[-1]
             fits = (before >= 0) & (self.tokens != START)
-            code = before[fits] * n_words + self.tokens[fits]
-            runs, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-            at = np.full(len(self.tokens), -1, np.int64)
-            at[fits] = inverse
+            code = before[fits].astype(np.int64)
+            code *= n_words
+            code += self.tokens[fits]
+            first, numbers = _numbered(code)
+            del code
+            at = np.full(len(self.tokens), -1, np.int32)
+            at[fits] = numbers
+            self.counts.append(np.bincount(numbers[train[fits]], minlength=len(first)))
+            del numbers
             where = np.flatnonzero(fits)[first]
-            with np.errstate(over="ignore"):
-                keys = mix64(self.keys[-1][before[where]] * _MULTIPLY + hashes[self.tokens[where]])
-            self.counts.append(np.bincount(inverse[train[fits]], minlength=len(runs)))
+            del first, fits
             self.prefix.append(before[where])
             self.suffix.append(shorter[where])
-            self.last.append(self.tokens[where])
+            del before
+            with np.errstate(over="ignore"):
+                keys = self.keys[-1][self.prefix[-1]]
+                keys *= _MULTIPLY
+                keys += hashes[self.tokens[where]]
             self.at.append(at)
-            self.keys.append(keys)
+            self.keys.append(mix64(keys))
 
     def by_bucket(self, size: int, buckets: int, elsewhere: list[np.ndarray]):
         """Numbers of the runs that are sent, in key order, and (bucket, first, end) of each bucket's share. No start mark.
@@ -130,92 +150,98 @@ class BlockGrams:
         ``elsewhere`` tells of each shorter run whether other blocks have it too.
         """
         keys = self.keys[size]
-        by = np.argsort(keys)
+        by = np.argsort(keys).astype(np.int32)
         if size == 0:
             by = by[by != START]
         elif size > 1:
             shorter = elsewhere[size - 1]
             by = by[(shorter[self.prefix[size]] & shorter[self.suffix[size]])[by]]
-        bucket = ((keys[by] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        bucket = keys[by]
+        bucket >>= np.uint64(32)
+        bucket *= np.uint64(buckets)
+        bucket >>= np.uint64(32)
         edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(2**63))).tolist()
         return by, [(int(bucket[lo]), lo, hi) for lo, hi in zip(edges, [*edges[1:], len(by)])]
 
 
 class Automaton:
-    """States are runs of fewer than ``order`` tokens seen in training; state 0 is the empty run."""
+    """States are runs of fewer than ``order`` tokens seen in training, numbered by length; state 0 is the empty run.
+
+    ``weight[k]`` has the log10 weight of the arc that ends each run of k + 1 tokens.
+    """
 
     def __init__(self, grams: BlockGrams, order: int, strength: float, tokens: int, types: int):
-        c = [x.astype(float) for x in grams.counts]
-        root = (c[0] + 0.5) / (tokens + 0.5 * (types + 1))
-        self.root_weight = np.log10(root)
-        context = [x.copy() for x in c]  # a start mark is a context once per training text
-        p = [root]
+        c = grams.counts
+        p = (c[0] + 0.5) / (tokens + 0.5 * (types + 1))
+        self.weight = [np.log10(p)]
+        # a start mark is a context once per training text
         for k in range(1, order):
-            below, over = p[k - 1][grams.suffix[k]], context[k - 1][grams.prefix[k]]
-            p.append(np.where(over > 0, (c[k] + strength * below) / (over + strength), below))
-        # number the states: the empty run, then the seen runs by length
-        offset, self.state_of = 1, []
+            below, over = p[grams.suffix[k]], c[k - 1][grams.prefix[k]]
+            p = np.where(over > 0, (c[k] + strength * below) / (over + strength), below)
+            del below, over
+            self.weight.append(np.log10(p))
+        # number the states: the empty run, then the seen runs by length; first[k] is the first of k tokens
+        self.first, self.state_of = [0, 1], []
         for k in range(order - 1):
-            seen = context[k] > 0
-            number = np.full(len(seen), 0, np.int64)
-            number[seen] = offset + np.arange(int(seen.sum()))
+            seen = c[k] > 0
+            number = np.zeros(len(seen), np.int32)
+            number[seen] = np.arange(self.first[-1], self.first[-1] + int(seen.sum()), dtype=np.int32)
             self.state_of.append(number)
-            offset += int(seen.sum())
-        self.start = int(self.state_of[0][START]) if order > 1 else 0
-        self.fail, self.fail_weight = np.zeros(offset, np.int64), np.zeros(offset)
+            self.first.append(self.first[-1] + int(seen.sum()))
+        self.fail, self.fail_weight = np.zeros(self.first[-1], np.int32), np.zeros(self.first[-1])
         for k in range(order - 1):
-            own = self.state_of[k]
-            seen = np.flatnonzero(own)
+            seen = np.flatnonzero(self.state_of[k])
+            own = self.state_of[k][seen]
             if k:
-                self.fail[own[seen]] = self.state_of[k - 1][grams.suffix[k][seen]]
-            self.fail_weight[own[seen]] = np.log10(strength / (context[k][seen] + strength))
-        self.root_target = self.state_of[0] if order > 1 else np.zeros(grams.n_words, np.int64)
-        self.grams, self.p, self.order, self.width = grams, p, order, grams.n_words
-
-    def _arcs(self, first: int, end: int) -> tuple[dict, list, list]:
-        """Arcs that the tokens from ``first`` to ``end`` can take: (state, token) -> number; weights; target states."""
-        g, arcs, weights, targets = self.grams, [], [], []
-        for k in range(1, self.order):
-            runs = np.unique(g.at[k][first:end])
-            runs = runs[runs >= 0]
-            runs = runs[g.counts[k][runs] > 0]
-            last = np.empty(0, np.int64) if not len(runs) else g.last[k][runs]
-            arcs.append(self.state_of[k - 1][g.prefix[k][runs]] * self.width + last)
-            weights.append(np.log10(self.p[k][runs]))
-            targets.append(self.state_of[k][runs] if k < self.order - 1 else self.state_of[k - 1][g.suffix[k][runs]])
-        if not arcs:
-            return {}, [], []
-        keys = np.concatenate(arcs).tolist()
-        return dict(zip(keys, range(len(keys)))), np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
-
-    def scores(self) -> list[float]:
-        """log10 probability of each text of the block, read from left to right, a slice of texts at a time."""
+                self.fail[own] = self.state_of[k - 1][grams.suffix[k][seen]]
+            self.fail_weight[own] = np.log10(strength / (c[k][seen] + strength))
+        self.grams, self.order = grams, order
+
+    def _states(self, first: int, end: int) -> np.ndarray:
+        """The state after each token from ``first`` to ``end``: the longest run there that is one."""
+        state = np.zeros(end - first, np.int32)
+        for k, number in enumerate(self.state_of):
+            run = self.grams.at[k][first:end]
+            found = np.where(run >= 0, number[run], 0)
+            np.copyto(state, found, where=found > 0)
+        return state
+
+    def _steps(self, first: int, end: int) -> np.ndarray:
+        """The log10 weights that the traversal adds at each token: those of failure arcs, then that of the token's arc; 0 else.
+
+        A state is the longest seen run before the token, so all tokens of a slice take their steps side by side.
+        """
         g = self.grams
-        root_weight, root_target = self.root_weight.tolist(), self.root_target.tolist()
-        fail, fail_weight, width = self.fail.tolist(), self.fail_weight.tolist(), self.width
-        starts = g.ends - g.sizes
-        out: list[float] = []
-        at = 0
-        while at < len(starts):
-            upto = max(at + 1, int(np.searchsorted(g.ends, starts[at] + SLICE_TOKENS, "right")))
-            arcs, weights, targets = self._arcs(int(starts[at]), int(g.ends[upto - 1]))
-            arc = arcs.get
-            for lo, hi in zip((starts[at:upto] + 1).tolist(), g.ends[at:upto].tolist()):
-                state, total = self.start, 0.0
-                for w in g.tokens[lo:hi].tolist():
-                    while state:
-                        a = arc(state * width + w)
-                        if a is not None:
-                            total += weights[a]
-                            state = targets[a]
-                            break
-                        total += fail_weight[state]
-                        state = fail[state]
-                    else:
-                        total += root_weight[w]
-                        state = root_target[w]
-                out.append(total)
-            at = upto
+        state = self._states(max(first - 1, 0), end - 1)
+        if first == 0:
+            state = np.concatenate([np.zeros(1, np.int32), state])
+        steps = np.zeros((end - first, self.order))
+        moving = g.tokens[first:end] != START
+        for k in range(self.order - 1, 0, -1):
+            on = np.flatnonzero(moving & (state >= self.first[k]))  # in a state of k tokens
+            run = g.at[k][first:end][on]
+            arc = g.counts[k][run] > 0
+            steps[on[arc], -1 - k] = self.weight[k][run[arc]]
+            moving[on[arc]] = False
+            on = on[~arc]
+            steps[on, -1 - k] = self.fail_weight[state[on]]
+            state[on] = self.fail[state[on]]
+        on = np.flatnonzero(moving)
+        steps[on, -1] = self.weight[0][g.tokens[first:end][on]]
+        return steps
+
+    def scores(self) -> np.ndarray:
+        """log10 probability of each text of the block, added up from left to right, a slice of tokens at a time."""
+        ends = self.grams.ends
+        out = np.zeros(len(ends))
+        for first in range(0, len(self.grams.tokens), SLICE_TOKENS):
+            end = min(first + SLICE_TOKENS, len(self.grams.tokens))
+            owner = np.searchsorted(ends, np.arange(first, end), "right")
+            low = int(owner[0])
+            weights = np.concatenate([out[low:low + 1], self._steps(first, end).ravel()])  # goes on from the slice before
+            owner = np.concatenate([np.zeros(1, np.int64), np.repeat(owner - low, self.order)])
+            added = np.bincount(owner, weights)
+            out[low:low + len(added)] = added
         return out
 
 
@@ -302,12 +328,13 @@ def _walk(order: int, buckets: int, strength: float, tokens: int, types: int):
         grams.counts[0][START] = grams.counts[0][END]  # each training text begins once, as it ends once
         automaton = Automaton(grams, order, strength, tokens, types)
         starts = grams.ends - grams.sizes  # start marks are not tokens of the text
-        base, known = automaton.root_weight[grams.tokens], (grams.counts[0] > 0)[grams.tokens].astype(np.int64)
+        scores = automaton.scores()
+        base, known = automaton.weight[0][grams.tokens], (grams.counts[0] > 0)[grams.tokens].astype(np.int64)
         base[starts], known[starts] = 0.0, 0
         return pa.table([
             table.column("doc_id"), table.column("held_out"), pa.array(grams.sizes - 1, pa.int64()),
             pa.array(np.add.reduceat(known, starts), pa.int64()), pa.array([tokens] * len(starts), pa.int64()),
-            pa.array(np.add.reduceat(base, starts), pa.float64()), pa.array(automaton.scores(), pa.float64())],
+            pa.array(np.add.reduceat(base, starts), pa.float64()), pa.array(scores, pa.float64())],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -69,3 +70,32 @@ def test_packing():
     assert (M.unpack_keys(M.pack_keys(keys)) == keys).all() and len(M.unpack_keys(M.pack_keys(keys[:0]))) == 0
     assert (M.unpack_counts(M.pack_counts(np.arange(9))) == np.arange(9)).all()
     assert len(M.pack_keys(keys)) < 8 * len(keys)
+
+
+def walked(texts):
+    grams = M.BlockGrams(texts, np.ones(len(texts), bool), M.ORDER)
+    grams.counts[0][M.START] = grams.counts[0][M.END]
+    return M.Automaton(grams, M.ORDER, M.STRENGTH, int(grams.counts[0].sum()), grams.n_words), grams
+
+
+def test_memory_of_a_block_per_token():
+    """Two tasks and the JVM share an executor: a block of a million tokens has to stay well below 300 MB."""
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(20_000)]
+    texts = [" ".join(rnd.choices(words, k=1000)).encode() for _ in range(200)]
+    tracemalloc.start()
+    automaton, grams = walked(texts)
+    automaton.scores()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * len(grams.tokens)
+
+
+def test_a_text_cut_into_slices_has_the_same_score(monkeypatch):
+    rnd = random.Random(4)
+    texts = [" ".join(f"w{rnd.randrange(9)}" for _ in range(n)).encode() for n in (0, 1, 500, 500, 3, 0)]
+    automaton, _ = walked(texts)
+    whole = list(automaton.scores())
+    for size in (1, 7, 100, 499):
+        monkeypatch.setattr(M, "SLICE_TOKENS", size)
+        assert list(automaton.scores()) == whole
