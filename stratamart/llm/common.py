@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,6 +14,7 @@ from pyspark.sql.window import Window
 from ..session import fresh_path
 
 BLOCK_BYTES = 12_000_000
+SLICE_ROWS = 256
 
 
 def doc_bytes(docs: DataFrame, *more: Column, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -61,6 +64,12 @@ def block_of(n: int, doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.pmod(F.xxhash64(F.col(doc_id), F.substring(F.col(text), 1, 64)), F.lit(n)).cast("int")
 
 
+def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Parts of an Arrow batch, not copied: Python objects are made of the values of a few rows at a time, not of a whole batch."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def packed(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import doc_bytes, text_mark, without
+from .common import doc_bytes, slices, text_mark, without
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.7
@@ -264,14 +264,15 @@ def _search(index: Index, threshold: float, least: float):
     def run(batches):
         for b in batches:
             ids, texts, held = [], [], 0
-            marks = b.column(2).to_pylist() if b.num_columns > 2 else [None] * b.num_rows
-            for doc_id, raw, mark in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), marks):
-                ids.append((doc_id, mark))
-                texts.append(words_of(raw.decode("utf-8", "replace")))
-                held += len(texts[-1])
-                if held >= CHUNK_WORDS:
-                    yield hits(ids, texts)
-                    ids, texts, held = [], [], 0
+            for part in slices(b):
+                marks = part.column(2).to_pylist() if part.num_columns > 2 else [None] * part.num_rows
+                for doc_id, raw, mark in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), marks):
+                    ids.append((doc_id, mark))
+                    texts.append(words_of(raw.decode("utf-8", "replace")))
+                    held += len(texts[-1])
+                    if held >= CHUNK_WORDS:
+                        yield hits(ids, texts)
+                        ids, texts, held = [], [], 0
             if ids:
                 yield hits(ids, texts)
     return run

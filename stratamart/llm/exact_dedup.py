@@ -20,13 +20,14 @@ import os
 import pickle
 import tempfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, text_mark, without
+from .common import SLICE_ROWS, doc_bytes, slices, text_mark, without
 
 TRIE_BYTES = 128_000_000
 NODE_BYTES = 400  # what a node takes besides its edge
@@ -154,15 +155,17 @@ def _texts_of_batch(merge):
     def run(batches):
         for b in batches:
             seen: dict[bytes, tuple] = {}
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                key = text.lower()
-                seen[key] = merge(seen[key], (doc_id, 1)) if key in seen else (doc_id, 1)
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([len(k) for k in keys], pa.int64()),
-                pa.array([xxhash.xxh3_64_intdigest(k) - 2**63 for k in keys], pa.int64()),
-                pa.array(keys, pa.binary()), pa.array([seen[k][0] for k in keys], pa.int64()),
-                pa.array([seen[k][1] for k in keys], pa.int64())], names=["n", "h", "text", "owner", "copies"])
+            for part in slices(b):
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    key = text.lower()
+                    seen[key] = merge(seen[key], (doc_id, 1)) if key in seen else (doc_id, 1)
+            every = iter(seen)
+            while keys := list(islice(every, SLICE_ROWS)):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([len(k) for k in keys], pa.int64()),
+                    pa.array([xxhash.xxh3_64_intdigest(k) - 2**63 for k in keys], pa.int64()),
+                    pa.array(keys, pa.binary()), pa.array([seen[k][0] for k in keys], pa.int64()),
+                    pa.array([seen[k][1] for k in keys], pa.int64())], names=["n", "h", "text", "owner", "copies"])
     return run
 
 
@@ -187,7 +190,7 @@ def _owners_of_partition(merge, budget):
 
 def _digests(batches):
     for b in batches:
-        digests = [hashlib.sha256(t.lower()).digest() for t in b.column(1).to_pylist()]
+        digests = [hashlib.sha256(t.lower()).digest() for part in slices(b) for t in part.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.binary()), b.column(2)], names=["doc_id", "text_digest", "mark"])
 
 

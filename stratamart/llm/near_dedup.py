@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import doc_bytes, mix64, stored, text_mark, without
+from .common import doc_bytes, mix64, slices, stored, text_mark, without
 from .components import components
 
 SLOTS, BANDS = 128, 32
@@ -38,7 +38,7 @@ ROW_BYTES = 600  # of a member, without its shingles
 PERCENT = 80
 PIVOTS = 4  # of its buckets' pivots a text is compared with first; the comparison across components finds the rest
 MARGIN = 0.17  # five standard deviations of an estimate of 0.8 from 128 slots
-ELEMENTS = 1_000_000
+ELEMENTS = 250_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -101,14 +101,15 @@ def _sign(words: int):
     def run(batches):
         for b in batches:
             ids, marks, sets, held = [], [], [], 0
-            for doc_id, text, mark in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                ids.append(doc_id)
-                marks.append(mark)
-                sets.append(hashed(shingle_set(text, words)))
-                held += len(sets[-1])
-                if held >= ELEMENTS:
-                    yield flush(ids, marks, sets)
-                    ids, marks, sets, held = [], [], [], 0
+            for part in slices(b):
+                for doc_id, text, mark in zip(*(part.column(i).to_pylist() for i in range(3))):
+                    ids.append(doc_id)
+                    marks.append(mark)
+                    sets.append(hashed(shingle_set(text, words)))
+                    held += len(sets[-1])
+                    if held >= ELEMENTS:
+                        yield flush(ids, marks, sets)
+                        ids, marks, sets, held = [], [], [], 0
             if ids:
                 yield flush(ids, marks, sets)
     return run
@@ -131,7 +132,7 @@ def _bands(batches):
 
 def _sets(words: int):
     def run(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             nodes, sets = [], []
             for node, k1, k2, text in zip(*(b.column(c).to_pylist() for c in ("node", "k1", "k2", "text"))):
                 s = hashed(shingle_set(text, words)).tobytes()
@@ -144,7 +145,7 @@ def _sets(words: int):
 
 def _confirm(percent: int):
     def run(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             u, v = [], []
             for a, c, x, y in zip(*(b.column(k).to_pylist() for k in ("u", "v", "x", "y"))):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -164,7 +165,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(batches):
-    for b in batches:
+    for b in (part for batch in batches for part in slices(batch)):
         cut = [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in b.column("elements").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(cut, pa.binary())], names=["node", "prefixes"])
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_bytes, id_remainder, stored, text_mark, without
+from .common import doc_bytes, id_remainder, slices, stored, text_mark, without
 from .linear import matrix_sum, stack
 
 HELD_OUT, HELD_REMAINDER = 3, 1
@@ -31,6 +31,8 @@ MINING_ROWS = 40_000
 STEM = (3, 8)
 ROUNDS = 8
 NEWTON = 8
+UNITS_HELD = 200_000  # by a task that counts them, before it sends them
+WORDS_HELD = 150_000  # whose voters a task remembers
 
 # Words of abuse by kind, in the languages of the corpus.
 LEXICONS = {
@@ -71,7 +73,7 @@ def _thinning_key(text: bytes) -> int:
 
 def _with_key(batches):
     for b in batches:
-        keys = [_thinning_key(t) for t in b.column("text").to_pylist()]
+        keys = [_thinning_key(t) for part in slices(b) for t in part.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("text"), b.column("label"), pa.array(keys, pa.int64())], names=["text", "label", "key"])
 
 
@@ -81,14 +83,20 @@ def _units(word: str) -> list[str]:
 
 
 def _unit_counts(batches):
-    for b in batches:
-        counts = Counter(), Counter()
+    def flush():
+        units = list(counts[0].keys() | counts[1].keys())
+        return pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array([counts[1][u] for u in units], pa.int64()),
+                                           pa.array([counts[0][u] for u in units], pa.int64())], names=["unit", "a", "b"])
+
+    counts = Counter(), Counter()
+    for b in (part for batch in batches for part in slices(batch)):
         for text, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
             words = set(_WORD.findall(text.decode("utf-8", "replace").lower()))
             counts[label].update({u for w in words for u in _units(w)})
-        units = list(counts[0].keys() | counts[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), pa.array([counts[1][u] for u in units], pa.int64()),
-                                          pa.array([counts[0][u] for u in units], pa.int64())], names=["unit", "a", "b"])
+        if len(counts[0]) + len(counts[1]) > UNITS_HELD:
+            yield flush()
+            counts = Counter(), Counter()
+    yield flush()
 
 
 def mined_units(texts: DataFrame, marked: DataFrame, size: int = MINED, rows: int = MINING_ROWS, least: float = 1.5) -> list[str]:
@@ -129,7 +137,7 @@ class _Memo(dict):
         self.whole, self.stems = whole, stems
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 400_000:
+        if len(self) > WORDS_HELD:
             self.clear()
         own = list(self.whole.get(word, ()))
         own += [self.stems[u] for u in _units(word) if u in self.stems]
@@ -170,7 +178,7 @@ def _votes(voters: Voters):
     def run(batches):
         for b in batches:
             rows = []
-            for text in b.column("text").to_pylist():
+            for text in (t for part in slices(b) for t in part.column("text").to_pylist()):
                 hits, n = voters.hits(text.decode("utf-8", "replace"))
                 rows.append(np.array([*hits, n], np.float64).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("remainder"), b.column("mark"), pa.array(rows, pa.binary())],

@@ -1,12 +1,15 @@
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from stratamart.llm import components as G
+from stratamart.llm import exact_dedup as E
 from stratamart.llm import near_dedup as N
 
 
@@ -156,3 +159,24 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in G.components(df).collect()}
     assert got == {x: root(x) for x in {y for a, b in links if a != b for y in (a, b)}}
     assert G.components(df.filter("u < 0")).count() == 0
+
+
+@pytest.mark.parametrize("step", ["sets", "confirm", "digests"])
+def test_a_task_holds_few_rows_of_a_batch_at_a_time(step):
+    """An Arrow batch has thousands of whole texts or sets: no step may copy all of them into Python objects."""
+    rnd = random.Random(7)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(200)).encode() for _ in range(3000)]
+    sets = [N.hashed(N.shingle_set(t, 5)).tobytes() for t in texts]
+    digests = [np.frombuffer(xxhash.xxh3_128_digest(x), np.int64) for x in sets]
+    ids = pa.array(range(len(texts)), pa.int64())
+    k1, k2 = (pa.array([int(d[i]) for d in digests], pa.int64()) for i in range(2))
+    make, columns = {"sets": (N._sets(5), {"node": ids, "k1": k1, "k2": k2, "text": pa.array(texts, pa.binary())}),
+                     "confirm": (N._confirm(80), {"u": ids, "v": ids, "x": pa.array(sets, pa.binary()), "y": pa.array(sets, pa.binary())}),
+                     "digests": (E._digests, {"doc_id": ids, "text": pa.array(texts, pa.binary()), "mark": ids})}[step]
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    del texts, sets, digests
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in make(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 3000 and peak < batch.nbytes / 2
