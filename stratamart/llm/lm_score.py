@@ -35,12 +35,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_count, block_of, doc_bytes, id_remainder, mix64, partitions_of
+from .common import block_count, block_of, doc_bytes, id_remainder, mix64, partitions_of, slices
 
 ORDER = 3
 STRENGTH = 5.0
 SLICE_TOKENS = 100_000
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 10_000_000
 HELD_OUT, HELD_REMAINDER = 5, 1
 START, END = 0, 1  # token numbers in every block; their keys are not hashes of words
 _MARK_KEYS = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)
@@ -342,8 +342,9 @@ def _walk(order: int, buckets: int, strength: float, tokens: int, types: int):
 def _count_words(batches):
     for b in batches:
         counts: Counter = Counter()
-        for text in b.column("text").to_pylist():
-            counts.update(text.lower().split())
+        for part in slices(b):
+            for text in part.column("text").to_pylist():
+                counts.update(text.lower().split())
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
 
