@@ -26,7 +26,8 @@ is one entry per block.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -71,12 +72,6 @@ def unpack_counts(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint64).ravel().astype(np.int64)
 
 
-class _Vocabulary(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self) + 2
-        return n
-
-
 def _numbered(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A place of each different value, in order of the values, and the number of the value at each place."""
     by = np.argsort(code)
@@ -99,7 +94,7 @@ class BlockGrams:
     """
 
     def __init__(self, texts: list[bytes], training: np.ndarray, order: int):
-        vocabulary = _Vocabulary()
+        vocabulary = defaultdict(count(2).__next__)  # word -> its number, by first place
         number = vocabulary.__getitem__
         words = [np.fromiter(map(number, w), np.int32, len(w)) for w in (t.lower().split() for t in texts)]
         self.sizes = np.array([len(w) + 2 for w in words], np.int64)  # with both marks
