@@ -26,7 +26,7 @@ is one entry per block.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from itertools import count
 
 import numpy as np
@@ -334,19 +334,24 @@ def _walk(order: int, buckets: int, strength: float, tokens: int, types: int):
     return run
 
 
-def _count_words(batches):
+def _different_words(batches):
+    """The different words of a batch, and in a row without a word how many words it has."""
     for b in batches:
-        counts: Counter = Counter()
+        seen: set[bytes] = set()
+        n = 0
         for part in slices(b):
             for text in part.column("text").to_pylist():
-                counts.update(text.lower().split())
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+                words = text.lower().split()
+                seen.update(words)
+                n += len(words)
+        yield pa.RecordBatch.from_arrays([pa.array([None, *seen], pa.binary()), pa.concat_arrays([pa.array([n], pa.int64()), pa.nulls(len(seen), pa.int64())])],
+                                         names=["word", "n"])
 
 
 def training_size(rows: DataFrame) -> tuple[int, int]:
     """Tokens and different tokens of the training rows (text), one end per text included."""
-    words = rows.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    n, v = words.agg(F.sum("n"), F.count("*")).first()
+    words = rows.mapInArrow(_different_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    n, v = words.agg(F.sum("n"), F.count("word")).first()
     ends = rows.count()
     return (n or 0) + ends, v + (ends > 0)
 
