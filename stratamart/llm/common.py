@@ -81,9 +81,12 @@ def sha256_hex(data: bytes) -> str:
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64 over an array of uint64."""
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        x = x ^ (x >> np.uint64(30))  # the only copy
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 def running_before(df: DataFrame, group: str, order: list[str], value: str, out: str, cell: Column) -> DataFrame:

@@ -14,10 +14,11 @@ A byte goes if a string of ``length`` bytes that covers it also starts anywhere
   of their contexts one copy goes on.
 * Open contexts meet by anchor. Their suffixes are sorted for each distance from
   the anchor, the next distance by induced sorting from the last, and the longest
-  common prefixes of neighbours are kept. These enhanced suffix arrays are scanned
-  with a stack for intervals of common prefixes of at least ``length``; those whose
-  occurrences have different bytes to the left are the maximal repeat groups,
-  given with all occurrences. The union of the occurrences is what repeats.
+  common prefixes of neighbours are kept. The intervals of common prefixes of at
+  least ``length`` in these enhanced suffix arrays, found for a whole array at once,
+  whose occurrences have different bytes to the left are the maximal repeat groups.
+  The union of their occurrences is what repeats. Groups lie inside each other, so a
+  group is painted over its interval, the longest last, and not listed by member.
 * An anchor with more than GROUP different contexts, such as a line in a third
   of all texts, is not gathered: its windows are counted by hash over all
   buckets, which finds the same intervals of common prefixes of ``length``.
@@ -41,11 +42,10 @@ from .common import block_count, block_of, doc_bytes, mix64, partitions_of, stor
 LENGTH = 200
 PIECE = 48
 SEGMENT = 1_000_000
-CHUNK = 262_144
+CHUNK = 65_536
 GROUP = 20_000
 BATCH = 2_000_000
 BLOCK = 8_000_000
-HELD = 300_000
 COVERED, OPEN, HOT = 1, 2, 4
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -161,9 +161,7 @@ class _Block:
         refs, places, hashes, contexts = [], [], [], []
         for ref, at, own in anchors_of(self.texts, length, piece):
             text = self.texts[ref]
-            for p in at.tolist():
-                left, c = context_of(text, p, length, piece)
-                contexts.append(xxhash.xxh3_64_intdigest(c, left))
+            contexts += [xxhash.xxh3_64_intdigest(c, left) for left, c in (context_of(text, p, length, piece) for p in at.tolist())]
             refs.append(np.full(len(at), ref, np.int32))
             places.append(at)
             hashes.append(own)
@@ -304,12 +302,34 @@ _FOUND_COLUMNS = (("kind", pa.string()), ("bucket", pa.int32()), ("block", pa.in
                   ("ends", pa.binary()), ("anchor", pa.int64()), ("context", pa.binary()), ("left", pa.int32()), ("keys", pa.binary()))
 
 
-def window_keys(anchor: int, left: int, context: bytes, length: int) -> np.ndarray:
-    """A key for each window of a context: its bytes and how far the anchor lies in it."""
-    windows = piece_hashes(np.frombuffer(context, np.uint8), length)
-    offset = (np.uint64(left) - np.arange(len(windows), dtype=np.uint64)) * _BASE
+def window_keys(anchors: np.ndarray, lefts: np.ndarray, contexts: list[bytes], length: int):
+    """Per window of every context, in order: number of the context, first byte in it, a key of its bytes and how far the anchor lies in it."""
+    sizes = np.array([len(c) for c in contexts])
+    n = np.maximum(sizes - length + 1, 0)
+    own = np.repeat(np.arange(len(contexts)), n)
+    at = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+    windows = piece_hashes(np.frombuffer(b"".join(contexts), np.uint8), length)[(np.cumsum(sizes) - sizes)[own] + at]
     with np.errstate(over="ignore"):
-        return mix64(windows ^ mix64(offset + np.uint64(anchor)))
+        offset = (lefts[own] - at).astype(np.uint64) * _BASE
+        return own, at, mix64(windows ^ mix64(offset + anchors[own]))
+
+
+def _hot_windows(texts: list[bytes], refs: np.ndarray, places: np.ndarray, length: int, piece: int):
+    """Some contexts at a time: yield the text, first byte and key of every window around the anchors at ``places``."""
+    step = max(1, CHUNK // (2 * length))
+    for lo in range(0, len(refs), step):
+        r, p = refs[lo:lo + step], places[lo:lo + step]
+        around = [context_of(texts[i], x, length, piece) for i, x in zip(r.tolist(), p.tolist())]
+        lefts = np.array([left for left, _ in around])
+        anchors = piece_hashes(np.frombuffer(b"".join(c[left:left + piece] for left, c in around), np.uint8), piece)[::piece]
+        own, at, keys = window_keys(anchors, lefts, [c for _, c in around], length)
+        yield r[own], (p - lefts)[own] + at, keys
+
+
+def _cells(values: np.ndarray) -> list[bytes]:
+    """The bytes of each value."""
+    raw, width = values.tobytes(), values.itemsize
+    return [raw[k:k + width] for k in range(0, len(raw), width)]
 
 
 def _examine(length: int, piece: int, buckets: int):
@@ -323,8 +343,13 @@ def _examine(length: int, piece: int, buckets: int):
             a = np.concatenate(_numbers(verdicts.column("anchors"), np.uint64))
             c = np.concatenate(_numbers(verdicts.column("contexts"), np.uint64))
             v = np.concatenate(_numbers(verdicts.column("verdicts"), np.uint8))
-            told = {x: y for x, y in zip(zip(a.tolist(), c.tolist()), v.tolist())}
-            state = np.fromiter((told.get(x, 0) for x in zip(block.anchors.tolist(), block.contexts.tolist())), np.uint8, len(block.anchors))
+            n = len(block.anchors)
+            order, first, group = _pair_order(np.concatenate([block.anchors, a]), np.concatenate([block.contexts, c]))
+            pair = np.empty(len(order), np.int64)
+            pair[order] = group
+            told = np.zeros(len(first), np.uint8)
+            told[pair[n:]] = v
+            state = told[pair[:n]]
             covered = np.flatnonzero(state & COVERED)
             place = block.places[covered]
             sizes = np.array([len(t) for t in block.texts])
@@ -333,27 +358,24 @@ def _examine(length: int, piece: int, buckets: int):
             r, s, e = _merged(block.refs[covered], starts, ends)
             if len(r):
                 rows.append(("run", None, number, r.astype(np.int32).tobytes(), s.tobytes(), e.tobytes(), None, None, None, None))
-            seen, hot = set(), []
-            for i in np.flatnonzero(state & OPEN).tolist():
-                pair = int(block.anchors[i]), int(block.contexts[i])
-                if pair in seen:
-                    continue
-                seen.add(pair)
-                at = int(block.places[i])
-                left, context = context_of(block.texts[block.refs[i]], at, length, piece)
-                if state[i] & HOT:
-                    hot.append((int(block.refs[i]), at, window_keys(pair[0], left, context, length)))
-                    continue
-                bucket = int(_bucket(block.anchors[i:i + 1], buckets)[0])
-                rows.append(("open", bucket, number, np.int32(block.refs[i]).tobytes(), np.int64(at).tobytes(),
-                             np.uint8(state[i] & COVERED).tobytes(), pair[0] - 2**63, context, left, None))
-            if hot:
-                rows.append(("place", None, number, np.array([h[0] for h in hot], np.int32).tobytes(),
-                             np.array([h[1] for h in hot], np.int64).tobytes(), None, None, None, None, None))
-                keys = np.concatenate([h[2] for h in hot])
+            opened = np.flatnonzero(state & OPEN)
+            opened = opened[np.sort(np.unique(pair[opened], return_index=True)[1])]  # one copy of each context
+            hot = opened[(state[opened] & HOT) > 0]
+            opened = opened[(state[opened] & HOT) == 0]
+            refs, places, anchors = block.refs[opened], block.places[opened], block.anchors[opened]
+            around = [context_of(block.texts[r], p, length, piece) for r, p in zip(refs.tolist(), places.tolist())]
+            rows += [("open", b, number, r, p, twice, anchor, context, left, None) for b, r, p, twice, anchor, (left, context)
+                     in zip(_bucket(anchors, buckets).tolist(), _cells(refs), _cells(places), _cells(state[opened] & np.uint8(COVERED)),
+                            (anchors ^ np.uint64(2**63)).view(np.int64).tolist(), around)]
+            if len(hot):
+                refs, places = block.refs[hot], block.places[hot]
+                rows.append(("place", None, number, refs.tobytes(), places.tobytes(), None, None, None, None, None))
+                keys = np.concatenate([k for _, _, k in _hot_windows(block.texts, refs, places, length, piece)])
                 bucket = _bucket(keys, buckets)
-                for b in np.unique(bucket):
-                    rows.append(("keys", int(b), number, None, None, None, None, None, None, keys[bucket == b].tobytes()))
+                by = np.argsort(bucket, kind="stable")
+                edges = np.flatnonzero(np.diff(bucket[by], prepend=-1))
+                for lo, hi in zip(edges, [*edges[1:], len(by)]):
+                    rows.append(("keys", int(bucket[by[lo]]), number, None, None, None, None, None, None, keys[by[lo:hi]].tobytes()))
         return _table(rows, *_FOUND_COLUMNS)
     return run
 
@@ -426,51 +448,90 @@ def _range_minimum(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np
     return out
 
 
-def common_prefix_intervals(prefixes: np.ndarray, least: int):
-    """Stack scan: yield (first, last, common prefix) of every interval of suffixes sharing at least ``least`` bytes.
+def _nearest_smaller(values: np.ndarray, at: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place in ``at`` the nearest place of a smaller value, to the left (step -1) or right (1), and if an equal one lies between.
 
-    ``prefixes[i]`` is what suffix i shares with suffix i - 1; the first is 0.
+    All of ``at`` jump together, over what those they land on have jumped over already.
     """
-    stack: list[list[int]] = []  # [first, common prefix]
-    for i, p in enumerate([*prefixes.tolist(), 0]):
-        first = i - 1
-        while stack and stack[-1][1] > p:
-            first, shared = stack.pop()
-            yield first, i - 1, shared
-        if p >= least and (not stack or stack[-1][1] < p):
-            stack.append([first, p])
+    near, equal = np.arange(len(values)) + step, np.zeros(len(values), bool)
+    todo = at
+    while len(todo):
+        land = near[todo]
+        equal[todo] |= values[land] == values[todo]
+        more = values[land] >= values[todo]
+        todo = todo[more]
+        near[todo] = near[land[more]]
+    return near[at], equal[at]
+
+
+def _prefix_intervals(prefixes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last suffix and common prefix of every interval of suffixes sharing at least ``least`` bytes, all at once."""
+    values = np.append(np.where(prefixes >= least, prefixes, 0), 0)
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))  # of runs of equal values
+    values = values[starts]
+    at = np.flatnonzero(values)
+    first, again = _nearest_smaller(values, at, -1)
+    end, _ = _nearest_smaller(values, at, 1)
+    own = ~again  # an interval is told by the first of its least values
+    return starts[first[own] + 1] - 1, starts[end[own]] - 1, values[at[own]]
 
 
-def maximal_repeats(anchors: np.ndarray, lefts: np.ndarray, contexts: list[bytes], length: int):
-    """Maximal repeat groups among contexts: yield (context numbers, starts in them, common length).
+def common_prefix_intervals(prefixes: np.ndarray, least: int):
+    """Yield (first, last, common prefix) of every interval of suffixes sharing at least ``least`` bytes.
 
-    Suffixes are compared only with suffixes at the same distance from the same
-    anchor, so two occurrences are always different places of the corpus. A group
-    is maximal if its occurrences continue differently to the right and have
-    different bytes, or none within the context, to the left.
+    ``prefixes[i]`` is what suffix i shares with suffix i - 1; the first is 0.
     """
+    yield from zip(*(x.tolist() for x in _prefix_intervals(prefixes, least)))
+
+
+def _maximal_groups(anchors: np.ndarray, lefts: np.ndarray, contexts: list[bytes], length: int):
+    """Per distance d of the suffixes from the anchor that has any: (d, order, first, last, common) of the maximal repeat groups."""
     _, family = np.unique(anchors, return_inverse=True)
     ahead = [c[:l][::-1] for c, l in zip(contexts, lefts.tolist())]
     depth = int(lefts.max()) + 1
     before_all = np.frombuffer(b"".join(h.ljust(depth, b"\0") for h in ahead), np.uint8).reshape(len(contexts), depth)
     for d, order, shared in aligned_suffix_arrays(family, lefts, contexts):
-        enough = shared >= length
-        if not enough.any():
+        first, last, common = _prefix_intervals(shared, length)
+        if not len(first):
             continue
         before = np.where(lefts[order] > d, before_all[order, min(d, depth - 1)].astype(np.int64), -1 - np.arange(len(order)))
         changes = np.cumsum(np.concatenate([[0], before[1:] != before[:-1]]))
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], enough.astype(np.int8), [0]])))
-        lows, highs = edges[::2], edges[1::2]  # runs of neighbours that share enough
-        diverse = changes[highs - 1] > changes[lows - 1]
-        for lo, hi in zip(lows[diverse].tolist(), highs[diverse].tolist()):
-            inner = shared[lo:hi]
-            least = int(inner.min())
-            flat = least == int(inner.max())
-            for first, last, common in [(0, hi - lo, least)] if flat else common_prefix_intervals(np.concatenate([[0], inner]), length):
-                first, last = lo - 1 + first, lo - 1 + last
-                if changes[last] > changes[first]:
-                    own = order[first:last + 1]
-                    yield own, lefts[own] - d, common
+        diverse = changes[last] > changes[first]
+        if diverse.any():
+            yield d, order, first[diverse], last[diverse], common[diverse]
+
+
+def maximal_repeats(anchors: np.ndarray, lefts: np.ndarray, contexts: list[bytes], length: int):
+    """Maximal repeat groups among contexts: yield (context numbers, starts in them, common length).
+
+    Suffixes are compared only with suffixes at the same distance from the same
+    anchor, so two occurrences are always different places of the corpus. A group
+    is maximal if its occurrences continue differently to the right and have
+    different bytes, or none within the context, to the left.
+    """
+    for d, order, *groups in _maximal_groups(anchors, lefts, contexts, length):
+        for first, last, common in zip(*(g.tolist() for g in groups)):
+            own = order[first:last + 1]
+            yield own, lefts[own] - d, common
+
+
+def covered_by_repeats(anchors: np.ndarray, lefts: np.ndarray, contexts: list[bytes], length: int):
+    """Per context the bytes before and after the start of its anchor that its maximal repeats cover, -1 before if it has none.
+
+    A repeat of ``length`` bytes holds the start of the anchor, which is less than ``length`` bytes
+    from every suffix, so the union of the repeats of a context is one interval.
+    """
+    ahead, after = np.full(len(contexts), -1), np.zeros(len(contexts), np.int64)
+    for d, order, *groups in _maximal_groups(anchors, lefts, contexts, length):
+        reach = np.zeros(len(order), np.int64)
+        by = np.argsort(groups[2], kind="stable")  # a group lies inside those that share less
+        for first, last, common in zip(*(g[by].tolist() for g in groups)):
+            reach[first:last + 1] = common
+        hit = np.flatnonzero(reach)
+        own = order[hit]
+        ahead[own] = d  # distances grow
+        after[own] = np.maximum(after[own], reach[hit] - d)
+    return ahead, after
 
 
 def _intervals(length: int):
@@ -482,35 +543,23 @@ def _intervals(length: int):
         refs = np.concatenate(_numbers(table.column("refs"), np.int32))
         places = np.concatenate(_numbers(table.column("starts"), np.int64))
         contexts = table.column("context").to_pylist()
-        edges = np.flatnonzero(np.diff(anchors, prepend=anchors[0] - 1 if anchors[0] > -2**63 else anchors[0] + 1)).tolist() + [len(anchors)]
-        out, held, lo = [], 0, 0
-
-        def compact():
-            own, starts, ends = (np.concatenate([x[i] for x in out]) for i in range(3))
-            return [_merged(own, starts, ends)]
-
+        edges = np.append(np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1])), len(anchors))
+        sizes = np.append(0, np.cumsum([len(c) for c in contexts]))
+        ahead, after, lo = np.empty(len(anchors), np.int64), np.empty(len(anchors), np.int64), 0
         while lo < len(anchors):  # some megabytes of whole anchor groups at a time
-            hi, held = lo, 0
-            for e in edges:
-                if e > lo and (hi == lo or held < BATCH):
-                    held += sum(map(len, contexts[hi:e]))
-                    hi = e
-            for own, at, common in maximal_repeats(anchors[lo:hi], lefts[lo:hi], contexts[lo:hi], length):
-                start = places[lo + own] - lefts[lo + own] + at
-                out.append((lo + own, start, start + common))
-                held += len(own)
-                if held >= HELD:
-                    out = compact()
-                    held = len(out[0][0]) // 2
+            enough = edges[edges > lo]
+            hi = int(enough[min(np.searchsorted(sizes[enough], sizes[lo] + BATCH), len(enough) - 1)])
+            ahead[lo:hi], after[lo:hi] = covered_by_repeats(anchors[lo:hi], lefts[lo:hi], contexts[lo:hi], length)
             lo = hi
-        if not out:
-            return _table([], ("block", pa.int32()), ("refs", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary()))
-        own, starts, ends = compact()[0]
+        own = np.flatnonzero(ahead >= 0)
+        starts, ends = places[own] - ahead[own], places[own] + after[own]
+        by = np.argsort(blocks[own], kind="stable")
+        edges = np.flatnonzero(np.diff(blocks[own][by], prepend=-1))
         rows = []
-        for b in np.unique(blocks[own]):
-            mine = blocks[own] == b
+        for lo, hi in zip(edges, [*edges[1:], len(by)]):
+            mine = by[lo:hi]
             r, s, e = _merged(refs[own[mine]], starts[mine], ends[mine])
-            rows.append((int(b), r.astype(np.int32).tobytes(), s.tobytes(), e.tobytes()))
+            rows.append((int(blocks[own[mine[0]]]), r.astype(np.int32).tobytes(), s.tobytes(), e.tobytes()))
         return _table(rows, ("block", pa.int32()), ("refs", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary()))
     return run
 
@@ -533,13 +582,10 @@ def _remove(length: int, piece: int):
             again = np.unique(np.concatenate(repeated))
             for r, at in zip(*(_numbers(found.filter(pa.array([k == "place" for k in kinds], pa.bool_())).column(c), t)
                                for c, t in (("refs", np.int32), ("starts", np.int64)))):
-                for ref, p in zip(r.tolist(), at.tolist()):
-                    left, context = context_of(raw[ref], p, length, piece)
-                    anchor = int(piece_hashes(np.frombuffer(context[left:left + piece], np.uint8), piece)[0])
-                    hit = np.flatnonzero(np.isin(window_keys(anchor, left, context, length), again)) + p - left
-                    refs.append(np.full(len(hit), ref, np.int32))
-                    starts.append(hit)
-                    ends.append(hit + length)
+                for ref, first, keys in _hot_windows(raw, r, at, length, piece):
+                    hit = again[np.minimum(np.searchsorted(again, keys), len(again) - 1)] == keys
+                    for x, part in zip((refs, starts, ends), _merged(ref[hit], first[hit], first[hit] + length)):
+                        x.append(part)
         if refs:
             r, s, e = _merged(np.concatenate(refs), np.concatenate(starts), np.concatenate(ends))
         else:

@@ -139,3 +139,64 @@ def test_range_minimum():
     first = rng.integers(0, 199, 300)
     end = first + 1 + rng.integers(0, 200, 300) % (200 - first)
     assert S._range_minimum(v, first, end).tolist() == [int(v[a:b].min()) for a, b in zip(first, end)]
+
+
+def near_copies(seed, length, piece):
+    """Contexts of a few anchors, many alike up to some byte on either side, so that repeat groups lie inside each other."""
+    rnd = random.Random(seed)
+    anchors, lefts, contexts = [], [], []
+    for family in range(4):
+        base = bytes(rnd.choice(b"abcd") for _ in range(2 * length - piece))
+        for _ in range(50):
+            c = bytearray(base)
+            for at in rnd.sample(range(len(c)), rnd.randint(0, 2)):
+                if not length - piece <= at < length:
+                    c[at] = rnd.choice(b"xyz")
+            left = rnd.choice([length - piece, rnd.randint(0, length - piece)])
+            anchors.append(family)
+            lefts.append(left)
+            contexts.append(bytes(c[length - piece - left:rnd.choice([None, len(c) - 3])]))
+    return np.array(anchors, np.int64), np.array(lefts), contexts
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_what_is_covered_is_the_union_of_all_maximal_repeats(seed):
+    anchors, lefts, contexts = near_copies(seed, 20, 6)
+    want = {}
+    for own, starts, common in S.maximal_repeats(anchors, lefts, contexts, 20):
+        for i, at in zip(own.tolist(), starts.tolist()):
+            want.setdefault(i, set()).update(range(at, at + common))
+    ahead, after = S.covered_by_repeats(anchors, lefts, contexts, 20)
+    got = {i: set(range(int(lefts[i] - ahead[i]), int(lefts[i] + after[i]))) for i in np.flatnonzero(ahead >= 0).tolist()}
+    assert got == want and 100 < len(got) < 200
+
+
+def test_occurrences_of_nested_groups_are_not_listed(monkeypatch):
+    import pyarrow as pa
+    anchors, lefts, contexts = near_copies(5, 20, 6)
+    n, merged, whole = len(contexts), [], S._merged
+    monkeypatch.setattr(S, "_merged", lambda r, s, e: merged.append(len(r)) or whole(r, s, e))
+    cells = lambda v, t: [t(x).tobytes() for x in v]
+    table = pa.table({"anchor": anchors, "block": pa.array([0] * n, pa.int32()), "refs": cells(range(n), np.int32),
+                      "starts": cells(lefts, np.int64), "left": pa.array(lefts, pa.int32()), "context": contexts})
+    out = S._intervals(20)(None, table)
+    listed = sum(len(own) for own, _, _ in S.maximal_repeats(anchors, lefts, contexts, 20))
+    assert out.num_rows == 1 and sum(merged) <= n < listed / 5
+
+
+def test_windows_of_a_hot_anchor_are_hashed_some_contexts_at_a_time(monkeypatch):
+    import pyarrow as pa
+    rnd = random.Random(4)
+    line = "the same line everywhere"
+    rows = [(i, "".join(rnd.choice("abcdef") for _ in range(30)) + line + "".join(rnd.choice("abcdef") for _ in range(30))) for i in range(200)]
+    texts = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1].encode() for r in rows]})
+    places = {t: t.index(line) for _, t in rows}
+    again = S.window_keys(S.piece_hashes(np.frombuffer(line[:6].encode(), np.uint8), 6), np.array([0]), [line.encode()], len(line))[2]
+    found = pa.table({"kind": ["place", "again"], "refs": [np.arange(200, dtype=np.int32).tobytes(), None],
+                      "starts": [np.array([places[t] for _, t in rows]).tobytes(), None], "ends": pa.nulls(2, pa.binary()),
+                      "keys": pa.array([None, again.tobytes()], pa.binary())})
+    hashed, piece_hashes = [], S.piece_hashes
+    monkeypatch.setattr(S, "piece_hashes", lambda data, size: hashed.append(len(data)) or piece_hashes(data, size))
+    out = S._remove(len(line), 6)(texts, found)
+    assert out.column("n_removed").to_pylist() == [len(line)] * 200
+    assert len(hashed) < 10
